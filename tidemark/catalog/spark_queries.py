@@ -383,7 +383,7 @@ def dim_customer(spark, d):
 @query
 def dim_seller(spark, d):
     """First load: every seller is new and numbered by id."""
-    existing = dimensions.empty(spark, "gold.dim_seller")
+    existing = audit.align_columns(t.sellers(spark, d).limit(0), schemas.schema_of("gold.dim_seller"))
     built = dimensions.build_dim_seller(t.sellers(spark, d), existing, AS_OF, RUN_TS)
     return built.withColumnRenamed(history.CHANGE, "change")
 

@@ -162,6 +162,8 @@ def _written(df: DataFrame, write: Callable[[DataFrame], None], **metrics) -> di
 def load_silver(warehouse: Warehouse, table: str, batch_id: str, run_ts: datetime) -> dict[str, int]:
     """Transform one batch of a bronze table and merge it into its silver table."""
     bronze = silver.batch_slice(warehouse.read(f"bronze.{table}"), batch_id)
+    if bronze.isEmpty():
+        return {"inserted": 0, "updated": 0}
     target = f"silver.{table}"
     as_of = run_ts.date()
     every = F.count(F.lit(1))
@@ -270,60 +272,107 @@ def seed_lookups(warehouse: Warehouse, run_ts: datetime) -> None:
         load_dim(warehouse, "dim_date", run_ts)
 
 
-def run(
-    spark: SparkSession,
-    raw_dir: str,
-    root: str,
-    run_ts: datetime,
-    sources: list[Source] | None = None,
-    incremental: bool = False,
-    batch_id: str | None = None,
-) -> Outcome:
-    """Bronze, silver and gold in turn. A table that fails is recorded and the others go on.
+class _Recorder:
+    """Runs the steps of a layer one by one, each as a recorded run of its own."""
 
-    `incremental` reads, from sources that have a watermark column, only rows after their watermark.
-    """
-    warehouse = Warehouse(spark, root)
-    outcome = Outcome(batch_id or new_batch_id("full_run", run_ts))
+    def __init__(self, spark: SparkSession, root: str, batch_id: str):
+        self.warehouse = Warehouse(spark, root)
+        self.outcome = Outcome(batch_id)
 
-    def attempt(name: str, layer: str, work: Callable[[], dict[str, int]], **labels) -> None:
+    def step(self, name: str, work: Callable[[], dict[str, int]], **labels) -> None:
+        run_id = f"{self.outcome.batch_id}.{name}"
+        layer = name.split(".")[0]
         try:
-            run_id = f"{outcome.batch_id}.{name}"
-            with PipelineRun(warehouse, name, layer=layer, target_table=name, batch_id=run_id, **labels) as record:
+            with PipelineRun(self.warehouse, name, layer=layer, target_table=name, batch_id=run_id, **labels) as record:
                 counts = work()
                 record.records_read = counts.get("read", 0)
                 record.records_inserted = counts.get("inserted", 0)
                 record.records_updated = counts.get("updated", 0)
                 record.records_rejected = counts.get("rejected", 0)
-            outcome.rows[name] = counts.get("inserted", 0) + counts.get("updated", 0)
+            self.outcome.rows[name] = counts.get("inserted", 0) + counts.get("updated", 0)
         except Exception as error:  # noqa: BLE001 - recorded, and the other tables go on
-            outcome.errors[name] = f"{type(error).__name__}: {error}"
+            self.outcome.errors[name] = f"{type(error).__name__}: {error}"
+
+
+def run_bronze(
+    spark: SparkSession,
+    raw_dir: str,
+    root: str,
+    run_ts: datetime,
+    sources: list[Source] | None = None,
+    incremental: bool = False,
+    batch_id: str | None = None,
+) -> Outcome:
+    """Check the raw files and load them. `incremental` reads, from sources that have a watermark
+    column, only the rows after their watermark."""
+    recorder = _Recorder(spark, root, batch_id or new_batch_id("bronze", run_ts))
+    warehouse, batch = recorder.warehouse, recorder.outcome.batch_id
 
     def ingest(source: Source) -> dict[str, int]:
         df = source.read(spark, raw_dir)
         if incremental and source.watermark_col:
             df = newer_than(df, source.watermark_col, get_watermark(warehouse, source.table))
-        return load_bronze(warehouse, df, source, outcome.batch_id, run_ts)
+        return load_bronze(warehouse, df, source, batch, run_ts)
 
-    seed_lookups(warehouse, run_ts)
-    chosen = SOURCES if sources is None else sources
-    for source in chosen:
-        attempt(
-            f"bronze.{source.table}", "bronze", lambda s=source: ingest(s),
-            source_system=source.system, source_table=source.file, run_mode="INCREMENTAL" if incremental else "FULL",
-        )
-    for table in ("customers", "sellers", "products", "orders", "order_items", "payments"):
-        attempt(
-            f"silver.{table}", "silver", lambda t=table: load_silver(warehouse, t, outcome.batch_id, run_ts),
-            source_table=f"bronze.{table}",
+    for source in SOURCES if sources is None else sources:
+        recorder.step(
+            f"bronze.{source.table}", lambda s=source: ingest(s), source_system=source.system,
+            source_table=source.file, run_mode="INCREMENTAL" if incremental else "FULL",
         )
+    return recorder.outcome
+
+
+def run_silver(spark: SparkSession, root: str, run_ts: datetime, batch_id: str | None = None) -> Outcome:
+    """Bring silver up to a bronze batch; without one, to the batch each table loaded last."""
+    recorder = _Recorder(spark, root, batch_id or new_batch_id("silver", run_ts))
+    warehouse = recorder.warehouse
+    seed_lookups(warehouse, run_ts)
+
+    def transform(table: str) -> dict[str, int]:
+        batch = batch_id or silver.latest_batch(warehouse.read(f"bronze.{table}")).first()[0]
+        return load_silver(warehouse, table, batch, run_ts)
+
+    for table in SOURCE_COLUMNS:
+        recorder.step(f"silver.{table}", lambda t=table: transform(t), source_table=f"bronze.{table}")
+    return recorder.outcome
+
+
+def run_gold(spark: SparkSession, root: str, run_ts: datetime, batch_id: str | None = None) -> Outcome:
+    """Rebuild the gold layer from silver: dimensions, fact, mart and key figures."""
+    recorder = _Recorder(spark, root, batch_id or new_batch_id("gold", run_ts))
+    warehouse = recorder.warehouse
+    seed_lookups(warehouse, run_ts)
     for name in ("dim_customer", "dim_product", "dim_seller"):
-        attempt(f"gold.{name}", "gold", lambda n=name: load_dim(warehouse, n, run_ts))
-    attempt("gold.fact_sales", "gold", lambda: load_fact(warehouse, run_ts))
-    attempt("gold.revenue_mart", "gold", lambda: load_mart(warehouse, run_ts))
-    attempt("gold.kpi_summary", "gold", lambda: load_kpis(warehouse, run_ts))
-    warehouse.publish()
-    return outcome
+        recorder.step(f"gold.{name}", lambda n=name: load_dim(warehouse, n, run_ts))
+    recorder.step("gold.fact_sales", lambda: load_fact(warehouse, run_ts))
+    recorder.step("gold.revenue_mart", lambda: load_mart(warehouse, run_ts))
+    recorder.step("gold.kpi_summary", lambda: load_kpis(warehouse, run_ts))
+    return recorder.outcome
 
 
-__all__ = ["EXPORTED", "MANUAL_SOURCES", "SOURCES", "Outcome", "Source", "run"]
+def run(
+    spark: SparkSession,
+    raw_dir: str,
+    root: str,
+    run_ts: datetime,
+    sources: list[Source] | None = None,
+    incremental: bool = False,
+    batch_id: str | None = None,
+) -> Outcome:
+    """Bronze, silver and gold in turn, under one batch id, and then the SQL names of all tables.
+    A table that fails is recorded and the others go on."""
+    whole = Outcome(batch_id or new_batch_id("full_run", run_ts))
+    for part in (
+        run_bronze(spark, raw_dir, root, run_ts, sources, incremental, whole.batch_id),
+        run_silver(spark, root, run_ts, whole.batch_id),
+        run_gold(spark, root, run_ts, whole.batch_id),
+    ):
+        whole.rows.update(part.rows)
+        whole.errors.update(part.errors)
+    Warehouse(spark, root).publish()
+    return whole
+
+
+__all__ = [
+    "EXPORTED", "MANUAL_SOURCES", "SOURCES", "Outcome", "Source", "run", "run_bronze", "run_gold", "run_silver",
+]

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.moments import date_key
-from tidemark.operators.history import CHANGE, overwrite_dimension, version_dimension
+from tidemark.operators.history import overwrite_dimension, version_dimension
 from tidemark.operators.keys import number_new_rows
-from tidemark.schemas import schema_of
 
 # The columns whose change opens a new version.
 COMPARED = ["city", "state", "zip_code_prefix"]
@@ -60,17 +59,6 @@ def build_dim_product(silver: DataFrame, existing: DataFrame, run_ts: datetime)
     return number_new_rows(merged, "product_key", ["product_id"], existing)
 
 
-def new_rows(built: DataFrame) -> DataFrame:
-    return built.where(F.col(CHANGE).isin("new", "changed"))
-
-
-def empty(spark: SparkSession, table: str) -> DataFrame:
-    """A table of that schema without rows."""
-    schema = schema_of(table)
-    fields = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
-    return spark.sql(f"SELECT {fields} WHERE false")
-
-
 def build_dim_date(bounds: DataFrame) -> DataFrame:
     """One row per day from `first_day` to `last_day` of a one-row frame."""
     d = F.col("full_date")

@@ -82,6 +82,9 @@ def read_json(
     return raw.select(*[null_if_in(c, JSON_NULL_TEXTS).alias(name) for name, c in leaves], *place)
 
 
+_XML_OPTIONS = {
+    "inferSchema": False, "mode": "FAILFAST", "attributePrefix": "_attr_", "ignoreSurroundingSpaces": False
+}
 _TAG = re.compile(r"<([A-Za-z_][\w.\-]*)")
 
 
@@ -112,7 +115,7 @@ def read_xml(
         records = _children(spark, path, encoding, place)
     else:
         reader = spark.read.format("xml").options(
-            rowTag=record_tag, inferSchema=False, encoding=encoding, mode="FAILFAST", attributePrefix="_attr_"
+            rowTag=record_tag, encoding=encoding, **_XML_OPTIONS
         )
         if columns:
             reader = reader.schema(text_schema(columns))
@@ -141,7 +144,7 @@ def _children(spark: SparkSession, path: str, encoding: str, place: list[Column]
     root = opened(lambda: spark.read.text(path), path) and _root_tag(spark, path)
     whole = (
         spark.read.format("xml")
-        .options(rowTag=root, inferSchema=False, encoding=encoding, mode="FAILFAST", attributePrefix="_attr_")
+        .options(rowTag=root, encoding=encoding, **_XML_OPTIONS)
         .load(path)
     )
     parts = []

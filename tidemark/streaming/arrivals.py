@@ -14,9 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.text import null_if_in
 from tidemark.lookups import CSV_NULL_TEXTS, JSON_NULL_TEXTS
+from tidemark.operators.quality import POSITION
 from tidemark.pipeline import Source, load_bronze
 from tidemark.schemas import SOURCE_COLUMNS, text_schema
-from tidemark.sources.position import position
 from tidemark.warehouse import Warehouse
 
 
@@ -37,9 +37,17 @@ def ingest_arrivals(
     else:
         files = reader.format("xml").options(rowTag="product", mode="FAILFAST").load(folder)
     null_texts = CSV_NULL_TEXTS if source.system == "CSV" else [*JSON_NULL_TEXTS, ""]
-    rows = files.select(*[null_if_in(F.col(c), null_texts).alias(c) for c in columns], position())
+    rows = files.select(
+        *[null_if_in(F.col(c), null_texts).alias(c) for c in columns],
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+    )
 
     def load(batch: DataFrame, number: int) -> None:
+        place = F.struct(
+            F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row")
+        )
+        batch = batch.withColumn(POSITION, place).drop("_file", "_block")
         load_bronze(warehouse, batch, source, f"{batch_name}_{number:08d}", run_ts)
 
     return (

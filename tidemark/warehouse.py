@@ -39,6 +39,11 @@ APPENDED = [
 HISTORY = ["silver.customers", "silver.sellers", "gold.dim_customer", "gold.dim_seller"]
 
 
+def _empty(schema: T.StructType) -> str:
+    fields = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
+    return f"SELECT {fields} WHERE false"
+
+
 class Warehouse:
     """Reads and writes the tables of `schemas.TABLES` below one root folder."""
 
@@ -77,8 +82,7 @@ class Warehouse:
             version = self.version(table)
             df = self._load(f"{self.path(table)}/data/version={version}", schema) if version else None
         if df is None:
-            fields = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
-            return self.spark.sql(f"SELECT {fields} WHERE false")
+            return self.spark.sql(_empty(schema))
         return df.select(*schema.names)
 
     def exists(self, table: str) -> bool:
@@ -118,14 +122,17 @@ class Warehouse:
         for layer in dict.fromkeys(t.split(".")[0] for t in TABLES):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         for table in TABLES:
-            self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS {self._select(table)}")
+            try:
+                self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS {self._select(table)}")
+            except AnalysisException as error:
+                # Never written, or written without a row: there is no file to take the columns from.
+                if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                    raise
+                self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS {_empty(schema_of(table))}")
         return list(TABLES)
 
     def _select(self, table: str) -> str:
         schema = schema_of(table)
-        if not self.exists(table):
-            fields = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
-            return f"SELECT {fields} WHERE false"
         fields = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
         if table in BATCHED or table in APPENDED:
             return f"SELECT {fields} FROM parquet.`{self.path(table)}`"
