@@ -15,6 +15,7 @@ from tidemark.functions.moments import moment
 from tidemark.operators import audit, history, quality, rejects
 from tidemark.plans import dimensions, fact, kpis, mart, reports, silver
 from tidemark.runs import last_watermarks, run_states
+from tidemark.session import settled
 from tidemark.sources import newer_than, read_query, read_table
 
 RUN_TS = datetime(2024, 6, 1, 12, 0, 0)
@@ -140,10 +141,11 @@ def dq_one_current(spark, d):
 @query
 def dq_fk_orphans(spark, d):
     """Fact keys that smaller dimensions lack."""
-    sales = fact_sales(spark, d)
-    products = t.dim_product(spark, d).where("product_category_name <> 'promo'")
-    customers = t.dim_customer(spark, d).where("region <> 'ASIA'")
-    sellers = t.dim_seller(spark, d).where("region <> 'EUROPE'")
+    keys = ["product_key", "customer_key", "seller_key", "delivery_date_key"]
+    sales = settled(fact_sales(spark, d).select(*keys))
+    products = t.products(spark, d).where("product_category_name <> 'promo'")
+    customers = t.customers(spark, d).where("region <> 'ASIA'")
+    sellers = t.sellers(spark, d).where("region <> 'EUROPE'")
     parts = [
         quality.orphan_keys(sales, "product_key", products),
         quality.orphan_keys(sales, "customer_key", customers),
@@ -391,7 +393,7 @@ def dim_seller(spark, d):
 @query
 def dim_product(spark, d):
     """Known small parts keep their keys and are replaced; the others are numbered after them."""
-    known = t.dim_product(spark, d).where("product_category_name = 'small'")
+    known = t.products(spark, d).where("product_category_name = 'small'")
     existing = audit.align_columns(
         known.withColumns({"product_category_english": F.lit("Old"), "created_at": moment(datetime(2020, 1, 1))}),
         schemas.schema_of("gold.dim_product"),
@@ -408,20 +410,20 @@ def payments_per_order(spark, d):
 def fact_sales(spark, d):
     return fact.build_fact_sales(
         t.order_items(spark, d), t.orders(spark, d), t.payments(spark, d),
-        t.dim_customer(spark, d), t.dim_product(spark, d), t.dim_seller(spark, d),
+        t.customer_keys(spark, d), t.product_keys(spark, d), t.seller_keys(spark, d),
     )
 
 
 def _months(spark: SparkSession, d: str) -> DataFrame:
     return mart.revenue_by_month(
-        fact_sales(spark, d), _dim_date(spark, d), t.dim_customer(spark, d), t.dim_product(spark, d)
+        fact_sales(spark, d), _dim_date(spark, d), t.customers(spark, d), t.products(spark, d)
     )
 
 
 @query
 def revenue_mart(spark, d):
     return mart.build_revenue_mart(
-        fact_sales(spark, d), _dim_date(spark, d), t.dim_customer(spark, d), t.dim_product(spark, d), RUN_TS
+        fact_sales(spark, d), _dim_date(spark, d), t.customers(spark, d), t.products(spark, d), RUN_TS
     )
 
 
@@ -466,17 +468,17 @@ for _name in ("total_revenue", "total_orders", "avg_order_value", "late_delivery
 
 @query
 def kpi_total_customers(spark, d):
-    return kpis.current_customers(t.dim_customer(spark, d))
+    return kpis.current_customers(t.customers(spark, d))
 
 
 @query
 def kpi_revenue_by_state(spark, d):
-    return kpis.revenue_by_state(fact_sales(spark, d), t.dim_customer(spark, d)).withColumnRenamed("label", "state")
+    return kpis.revenue_by_state(fact_sales(spark, d), t.customers(spark, d)).withColumnRenamed("label", "state")
 
 
 @query
 def kpi_revenue_by_category(spark, d):
-    top = kpis.revenue_by_category(fact_sales(spark, d), t.dim_product(spark, d))
+    top = kpis.revenue_by_category(fact_sales(spark, d), t.products(spark, d))
     return top.withColumnRenamed("label", "category")
 
 
@@ -487,10 +489,11 @@ def kpi_latest_growth(spark, d):
 
 @query
 def kpi_summary(spark, d):
-    return kpis.build_kpi_summary(
-        fact_sales(spark, d), t.dim_customer(spark, d), t.dim_product(spark, d), revenue_mart(spark, d),
-        AS_OF, RUN_TS, GROWTH_STATE,
-    )
+    """All figures read the fact, so it is written once, as in a full run."""
+    sales = settled(fact_sales(spark, d))
+    customers, products = t.customers(spark, d), t.products(spark, d)
+    monthly = mart.build_revenue_mart(sales, _dim_date(spark, d), customers, products, RUN_TS)
+    return kpis.build_kpi_summary(sales, customers, products, monthly, AS_OF, RUN_TS, GROWTH_STATE)
 
 
 # Reports ----------------------------------------------------------------------------------------
@@ -508,12 +511,12 @@ def daily_revenue(spark, d):
 
 @query
 def top_categories(spark, d):
-    return reports.top_categories(fact_sales(spark, d), t.dim_product(spark, d))
+    return reports.top_categories(fact_sales(spark, d), t.products(spark, d))
 
 
 @query
 def orders_by_state(spark, d):
-    return reports.orders_by_state(fact_sales(spark, d), t.dim_customer(spark, d))
+    return reports.orders_by_state(fact_sales(spark, d), t.customers(spark, d))
 
 
 @query

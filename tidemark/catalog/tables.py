@@ -186,7 +186,7 @@ def instalments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    """Current silver customers."""
+    """Current customers, with the key they have in gold."""
     customer = table(spark, folder, "customer")
     return customer.join(places(spark, folder), F.col("c_nationkey") == F.col("nationkey"), "left").select(
         _text("c_custkey").alias("customer_id"),
@@ -197,6 +197,7 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
         "state_name",
         "region",
         F.lit(True).alias("is_current"),
+        (F.col("c_custkey") + 1).alias("customer_key"),
     )
 
 
@@ -210,6 +211,7 @@ def sellers(spark: SparkSession, folder: str) -> DataFrame:
         "state_name",
         "region",
         F.lit(True).alias("is_current"),
+        (F.col("s_suppkey") + 1).alias("seller_key"),
     )
 
 
@@ -224,24 +226,32 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(1).alias("product_photos_qty"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("product_weight_g"),
         F.when(F.col("p_type") != "LARGE", (size * size * size).cast("decimal(12,2)")).alias("product_volume_cm3"),
+        (F.col("p_partkey") + 1).alias("product_key"),
     )
 
 
-def dim_customer(spark: SparkSession, folder: str) -> DataFrame:
-    """A dimension as it stands, with keys of its own."""
-    return customers(spark, folder).withColumn("customer_key", F.col("customer_id").cast("bigint") + 1)
+def day_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """First and last day on which anything was ordered or shipped."""
+    ordered = table(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("d"))
+    shipped = table(spark, folder, "lineitem").select(F.col("l_shipdate").cast("date").alias("d"))
+    return ordered.unionByName(shipped).agg(F.min("d").alias("first_day"), F.max("d").alias("last_day"))
 
 
-def dim_seller(spark: SparkSession, folder: str) -> DataFrame:
-    return sellers(spark, folder).withColumn("seller_key", F.col("seller_id").cast("bigint") + 1)
+def customer_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The columns of the customer dimension that the fact looks up."""
+    key = F.col("c_custkey")
+    return table(spark, folder, "customer").select(
+        _text(key).alias("customer_id"), (key + 1).alias("customer_key"), F.lit(True).alias("is_current")
+    )
 
 
-def dim_product(spark: SparkSession, folder: str) -> DataFrame:
-    return products(spark, folder).withColumn("product_key", F.col("product_id").cast("bigint") + 1)
+def seller_keys(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("s_suppkey")
+    return table(spark, folder, "supplier").select(
+        _text(key).alias("seller_id"), (key + 1).alias("seller_key"), F.lit(True).alias("is_current")
+    )
 
 
-def day_bounds(spark: SparkSession, folder: str) -> DataFrame:
-    """First and last day on which anything was ordered or shipped."""
-    ordered = table(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("d"))
-    shipped = table(spark, folder, "lineitem").select(F.col("l_shipdate").cast("date").alias("d"))
-    return ordered.unionByName(shipped).agg(F.min("d").alias("first_day"), F.max("d").alias("last_day"))
+def product_keys(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("p_partkey")
+    return table(spark, folder, "part").select(_text(key).alias("product_id"), (key + 1).alias("product_key"))

@@ -7,8 +7,6 @@ from datetime import date, datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICROS_PER_DAY = 86_400_000_000
-
 
 def moment(value: datetime) -> Column:
     """Literal timestamp that no session time zone can shift."""
@@ -30,11 +28,20 @@ def to_day(c: Column) -> Column:
 
 def date_key(c: Column) -> Column:
     """The day as the integer yyyymmdd."""
-    return F.date_format(c, "yyyyMMdd").try_cast("int")
+    d = c.cast("date")
+    return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
+
+
+def _time_of_day(c: Column) -> Column:
+    return c - c.cast("date").cast("timestamp_ntz")
 
 
 def elapsed_days(start: Column, end: Column) -> Column:
-    """Whole days of 24 hours between two moments, rounded down also below zero."""
-    micros = F.timestamp_diff("MICROSECOND", start, end)
-    within_day = F.pmod(micros, F.lit(MICROS_PER_DAY))
-    return ((micros - within_day) / F.lit(MICROS_PER_DAY)).cast("int")
+    """Whole days of 24 hours between two moments, rounded down also below zero.
+
+    Counted in calendar days, less one if the end is earlier in its day: a difference in microseconds
+    would go through the session's time zone.
+    """
+    started, ended = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+    short = F.when(_time_of_day(ended) < _time_of_day(started), 1).otherwise(0)
+    return F.datediff(ended.cast("date"), started.cast("date")) - short

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import settled
 
 # monotonically_increasing_id() puts the partition number above bit 33 and the row's place below.
 _PLACE_BITS = 33
@@ -16,18 +16,16 @@ _PLACE_MASK = (1 << _PLACE_BITS) - 1
 def number_rows(df: DataFrame, key: str, order_by: list[str], start: int = 0) -> DataFrame:
     """Add `key` = start+1, start+2, ... in the order of `order_by`, which must identify a row.
 
-    Rows are sorted by range across all executors and frozen by a checkpoint, since range bounds are
-    sampled and a second evaluation could draw others. Then each partition's count, summed over the
+    Rows are sorted by range across all executors and settled on shared storage, since range bounds
+    are sampled and a second evaluation could draw others. Then each partition's count, summed over the
     partitions before it, is the offset of its rows. The offsets hold one row per partition, so the
     window over them and their broadcast are bounded by the partition count.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
+    placed = settled(
         df.drop(key)
         .repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_slot", F.monotonically_increasing_id())
-        .checkpoint()
     )
     part = F.shiftright("_slot", _PLACE_BITS)
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)

@@ -15,32 +15,67 @@ from pyspark.sql import types as T
 from tidemark.functions.moments import moment
 from tidemark.functions.numbers import is_number
 from tidemark.functions.text import is_blank
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import settled
 
 POSITION = "_position"
 REASON = "reject_reason"
 
 
-def flag_repeats(df: DataFrame, keys: list[str], order_by: list[str], flag: str) -> DataFrame:
-    """Add `flag`: true on every row of a key but its first by `order_by`; NULL keys equal each other.
+# Up to this many repeated keys are broadcast: with keys of some hundred bytes, tens of megabytes.
+BROADCAST_KEYS = 200_000
 
-    `order_by` must tell any two rows apart. The first row comes from an aggregate, which combines
-    before the shuffle, so a key holding a third of all rows never meets in one task; only keys that do
-    repeat go into the join, whose skewed partitions adaptive execution splits.
-    """
-    place = F.struct(*order_by)
-    firsts = (
+
+@dataclass(frozen=True)
+class Repeats:
+    """The keys that occur more than once, and how much that amounts to."""
+
+    keys: list[str]
+    table: DataFrame  # columns _key0, _key1, ... and _copies
+    distinct: int
+    surplus: int  # rows beyond the first of each key
+
+    def same_key(self) -> Column:
+        return reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(self.keys)])
+
+    def hint(self, df: DataFrame) -> DataFrame:
+        """Broadcast a frame of at most one row per repeated key if those are few."""
+        return F.broadcast(df) if self.distinct <= BROADCAST_KEYS else df
+
+    def flag(self, df: DataFrame, order_by: list[str], flag: str) -> DataFrame:
+        """Add `flag`: true on every row of a key but its first by `order_by`, which must tell any two
+        rows apart.
+
+        Only rows of repeated keys are looked at for the first one, by an aggregate that combines
+        before its shuffle. If few keys repeat, no other row moves; if many do, it is a join whose
+        skewed partitions adaptive execution splits.
+        """
+        if not self.distinct:
+            return df.withColumn(flag, F.lit(False))
+        names = [f"_key{i}" for i in range(len(self.keys))]
+        place = F.struct(*order_by)
+        firsts = (
+            df.join(self.hint(self.table.drop("_copies")), self.same_key(), "left_semi")
+            .groupBy(*[F.col(k).alias(n) for k, n in zip(self.keys, names, strict=True)])
+            .agg(F.min(place).alias("_first"))
+        )
+        return (
+            df.join(self.hint(firsts), self.same_key(), "left")
+            .withColumn(flag, F.col("_first").isNotNull() & (place > F.col("_first")))
+            .drop("_first", *names)
+        )
+
+
+def find_repeats(df: DataFrame, keys: list[str]) -> Repeats:
+    """Count the copies of each key; NULL keys equal each other. Only the keys are shuffled, combined
+    beforehand, so a key holding a third of all rows is no burden."""
+    counted = (
         df.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
-        .agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+        .agg(F.count(F.lit(1)).alias("_copies"))
         .where("_copies > 1")
-        .drop("_copies")
-    )
-    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
-    return (
-        df.join(firsts, same_key, "left")
-        .withColumn(flag, F.col("_first").isNotNull() & (place > F.col("_first")))
-        .drop("_first", *[f"_key{i}" for i in range(len(keys))])
     )
+    table = settled(counted)
+    row = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))).first()
+    return Repeats(keys, table, row[0], row[1])
 
 
 @dataclass(frozen=True)
@@ -68,7 +103,7 @@ class Validator:
 
     `order_by` decides which copy of a repeated key is the first; with a `_position` column, as the
     readers give it, that is the place in the source. Without either the frame gets a row number and is
-    frozen by a checkpoint.
+    settled on shared storage.
     """
 
     def __init__(self, df: DataFrame, table: str, batch_id: str, order_by: list[str] | None = None):
@@ -78,6 +113,7 @@ class Validator:
         self.columns = [c for c in df.columns if c != POSITION]
         self._order_by = order_by or []
         self._marked: DataFrame | None = None
+        self._repeats: dict[tuple[str, ...], Repeats] = {}
 
     def _text(self, name: str) -> bool:
         return isinstance(self._df.schema[name].dataType, (T.StringType, T.CharType, T.VarcharType))
@@ -178,20 +214,25 @@ class Validator:
     def _flag(self, i: int) -> str:
         return f"_fails{i}"
 
+    def repeats(self, check: Check) -> Repeats:
+        if check.keys not in self._repeats:
+            self._repeats[check.keys] = find_repeats(self._df, list(check.keys))
+        return self._repeats[check.keys]
+
+    def _plain(self) -> dict[str, Column]:
+        return {self._flag(i): c.failing for i, c in enumerate(self.checks) if c.failing is not None}
+
     def marked(self) -> DataFrame:
-        """The frame with one boolean column per check."""
+        """The frame with one boolean column per check on rows."""
         if self._marked is None:
-            df = self._df
             unique = [(i, c) for i, c in enumerate(self.checks) if c.keys]
+            if unique and not self._order_by and POSITION not in self._df.columns:
+                self._df = settled(self._df.withColumn(POSITION, F.monotonically_increasing_id()))
+            df = self._df
             order_by = self._order_by + [c for c in [POSITION] if c in df.columns]
-            if unique and not order_by:
-                ensure_checkpoint_dir(df.sparkSession)
-                df = df.withColumn(POSITION, F.monotonically_increasing_id()).checkpoint()
-                order_by = [POSITION]
             for i, check in unique:
-                df = flag_repeats(df, list(check.keys), order_by, self._flag(i))
-            plain = {self._flag(i): c.failing for i, c in enumerate(self.checks) if c.failing is not None}
-            self._marked = df.withColumns(plain) if plain else df
+                df = self.repeats(check).flag(df, order_by, self._flag(i))
+            self._marked = df.withColumns(self._plain()) if self._plain() else df
         return self._marked
 
     def _rejecting(self) -> list[tuple[int, Check]]:
@@ -214,22 +255,25 @@ class Validator:
         return self.valid(), self.rejected()
 
     def count_columns(self) -> list[Column]:
-        """Aggregates for all checks at once; also usable as observed metrics of a write."""
-        columns = [F.count(F.lit(1)).alias("total"), F.count_if(self.is_rejected()).alias("rejected")]
+        """Aggregates of all checks at once; the repeats are counted already."""
+        columns = [F.count(F.lit(1)).alias("total")]
         for i, check in enumerate(self.checks):
-            if check.min_rows is None:
+            if check.keys:
+                columns.append(F.max(F.lit(self.repeats(check).surplus).cast("bigint")).alias(f"failed{i}"))
+            elif check.failing is not None:
                 columns.append(F.count_if(F.col(self._flag(i))).alias(f"failed{i}"))
         return columns
 
     def results(self, run_ts: datetime, counts: DataFrame | None = None) -> DataFrame:
         """One row per check, from a single pass over the frame or from counts already taken."""
         if counts is None:
-            counts = self.marked().agg(*self.count_columns())
+            plain = self._plain()
+            counts = (self._df.withColumns(plain) if plain else self._df).agg(*self.count_columns())
         total = F.col("total")
         rows = []
         for i, check in enumerate(self.checks):
             if check.min_rows is None:
-                failed, observed = F.col(f"failed{i}"), F.col(f"failed{i}")
+                failed = observed = F.coalesce(F.col(f"failed{i}"), F.lit(0))
             else:
                 failed, observed = F.when(total < check.min_rows, 1).otherwise(0), total
             rows.append(_result_row(check, failed.cast("bigint"), total, observed))

@@ -123,7 +123,7 @@ def load_bronze(
     table = f"bronze.{source.table}"
     staged = stage(warehouse, df, source.table, batch_id)
     checks = source.rules(Validator(staged, table, batch_id))
-    metrics = checks.count_columns()
+    metrics = [*checks.count_columns(), F.count_if(checks.is_rejected()).alias("rejected")]
     if source.watermark_col:
         # Over the valid rows only, which are the ones the table will hold.
         stamp = F.when(~checks.is_rejected(), to_moment(F.col(source.watermark_col)))

@@ -1,10 +1,11 @@
-"""Spark session for local runs, and the checkpoint folder every job shares."""
+"""Spark session for local runs, and intermediate tables in the checkpoint folder all executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(name: str = "tidemark", cpus: int = 8, memory: str = "8g") -> SparkSession:
@@ -34,3 +35,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Write a frame below the checkpoint folder and read it back.
+
+    Its rows are then fixed, whatever is lost or computed again later; readers prune columns, and the
+    optimizer knows its size, which is what decides about broadcasting it.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
