@@ -63,6 +63,20 @@ def test_delivery(spark, bought, delivered, estimate, days, late):
     assert tuple(df.select(*delivery_columns()).first()) == (days, late)
 
 
+def test_days_do_not_depend_on_the_session_zone(spark):
+    # Local clocks skipped an hour in between, at midnight of 2018-11-04.
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2018-11-03 12:00:00' AS a, TIMESTAMP_NTZ'2018-11-04 11:30:00' AS b, TIMESTAMP_NTZ'2018-11-04 00:30:00' AS c")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        row = df.select(
+            moments.elapsed_days(F.col("a"), F.col("b")), moments.elapsed_days(F.col("a"), F.col("a")), moments.date_key(F.col("c"))
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(row) == (0, 0, 20181104)
+
+
 def test_size_category(spark):
     volumes = [Decimal("499.99"), Decimal("500.00"), Decimal("4999.99"), Decimal("5000.00"), None]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(volumes)], "i int, v decimal(12,2)")

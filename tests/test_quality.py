@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from tests.conftest import RUN_TS
+from tidemark.operators import quality
 from tidemark.operators.quality import Validator, orphan_keys, repeated_current_keys
 from tidemark.operators.rejects import reject_records
 
@@ -40,6 +41,14 @@ def test_valid_and_rejected_make_the_input(spark):
     assert valid.count() + rejected.count() == 2000
 
 
+def test_many_repeated_keys_go_through_a_plain_join(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BROADCAST_KEYS", 0)
+    df = spark.range(900).select(F.when(F.col("id") >= 300, F.col("id") % 100).alias("k"), F.col("id").alias("n"))
+    valid, rejected = Validator(df, "t", "B", order_by=["n"]).check_unique(["k"]).finalize()
+    assert {(r.k, r.n) for r in valid.collect()} == {(None, 0)} | {(i % 100, i) for i in range(300, 400)}
+    assert rejected.count() == 900 - 101
+
+
 def test_warnings_and_numbers_never_reject(spark):
     df = spark.createDataFrame([("x", "bad"), (None, "ok"), ("5", None)], "n string, s string")
     checks = Validator(df, "t", "B").check_numeric(["n"], "ERROR").check_value_in_set("s", ["ok"], "ERROR")

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.text import mapped
 from tidemark.plans.silver import delivery_columns
@@ -17,8 +18,15 @@ STATUS = {"F": "delivered", "O": "shipped", "P": "processing"}
 PAYMENT = {"1": "credit_card", "2": "debit_card", "3": "boleto", "4": "voucher", "5": "other"}
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table; its schema is looked up in the file once."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def placed(spark: SparkSession, folder: str, name: str) -> DataFrame:

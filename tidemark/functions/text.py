@@ -26,11 +26,15 @@ def is_blank(c: Column) -> Column:
 
 
 def title_case(c: Column) -> Column:
-    """Upper-case each letter that follows a non-letter and lower-case the rest."""
+    """Upper-case each letter that follows a non-letter and lower-case the rest.
+
+    Text of letters and spaces only, as most names are, needs no splitting.
+    """
     words = F.split(F.lower(c), r"(?<=[^\p{L}])")
-    return F.array_join(
+    joined = F.array_join(
         F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), w.substr(F.lit(2), F.length(w)))), ""
     )
+    return F.when(c.rlike(r"^[\p{L} ]*$"), F.initcap(c)).otherwise(joined)
 
 
 def zero_fill(c: Column, width: int) -> Column:

@@ -51,9 +51,23 @@ def upsert(
         update_cols = [c for c in incoming.columns if c not in keys and c != "created_at"]
     now = moment(run_ts) if run_ts else None
 
-    old = existing.select(F.struct(*existing.columns).alias("_old"), *[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)])
-    new = batch.select(F.struct(*batch.columns).alias("_new"), *[F.col(k).alias(f"_n{i}") for i, k in enumerate(keys)])
-    on = reduce(and_, [F.col(f"_o{i}") == F.col(f"_n{i}") for i in range(len(keys))])
+    def sided(df: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
+        """The rows that can match, with their keys, and the rows with a NULL in the key."""
+        whole_key = reduce(and_, [F.col(k).isNotNull() for k in keys])
+        row = F.struct(*df.columns).alias(side)
+        named = [F.col(k).alias(f"{side}{i}") for i, k in enumerate(keys)]
+        return df.where(whole_key).select(row, *named), df.where(~whole_key).select(row)
+
+    old, old_apart = sided(existing, "_old")
+    new, new_apart = sided(batch, "_new")
+    on = reduce(and_, [F.col(f"_old{i}") == F.col(f"_new{i}") for i in range(len(keys))])
+    # Rows with a NULL in the key match nothing; joined, they would all meet in one task.
+    pairs = (
+        old.join(new, on, "full_outer")
+        .select("_old", "_new")
+        .unionByName(old_apart, allowMissingColumns=True)
+        .unionByName(new_apart, allowMissingColumns=True)
+    )
     inserted, untouched = F.col("_old").isNull(), F.col("_new").isNull()
 
     def value(name: str) -> Column:
@@ -71,7 +85,7 @@ def upsert(
             return F.when(untouched, was).otherwise(arrived)
         return F.when(inserted, arrived).otherwise(was)
 
-    return old.join(new, on, "full_outer").select(
+    return pairs.select(
         *[value(f.name).cast(f.dataType).alias(f.name) for f in existing.schema]
     )
 

@@ -54,7 +54,7 @@ def build_fact_sales(
     sellers = dim_seller.where("is_current").select("seller_id", "seller_key")
     products = dim_product.select("product_id", "product_key")
 
-    placed = orders.select(
+    placed = orders.where(F.col("order_id").isNotNull()).select(
         "order_id", "customer_id", "order_status", "delivery_days", "is_late_delivery",
         date_key(F.col("order_purchase_timestamp")).alias("order_date_key"),
         date_key(F.col("order_delivered_at")).alias("delivery_date_key"),
