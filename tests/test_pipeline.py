@@ -2,6 +2,7 @@
 
 import json
 import shutil
+from dataclasses import replace
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -205,7 +206,7 @@ def test_failures_are_isolated_and_logged(spark, tmp_path):
     (raw / "payments.json").write_text("{not json", encoding="utf-8")
     (raw / "sellers.csv").unlink()
     root = str(tmp_path / "wh")
-    sources = [s for s in pipeline.SOURCES if s.table in ("sellers", "payments", "order_items")]
+    sources = [replace(s, limits=True) for s in pipeline.SOURCES if s.table in ("sellers", "payments", "order_items")]
     outcome = pipeline.run_bronze(spark, str(raw), root, RUN_TS, sources)
     assert set(outcome.errors) == {"bronze.sellers", "bronze.payments"}
     assert outcome.errors["bronze.sellers"].startswith("FileNotFoundError")
@@ -214,6 +215,8 @@ def test_failures_are_isolated_and_logged(spark, tmp_path):
     states = {r.pipeline_name: r.status for r in runs.run_states(warehouse.read("metadata.pipeline_runs")).collect()}
     assert states["bronze.sellers"] == "FAILED"
     assert outcome.rows == {"bronze.order_items": 3}
+    checks = {r.check_name: r.passed for r in warehouse.read("metadata.dq_results").collect()}
+    assert checks["length_check_price"] and len(checks) == 5 + 7
     warehouse.publish()
     assert [spark.sql(f"SELECT count(*) FROM bronze.{t}").first()[0] for t in ("sellers", "order_items")] == [0, 3]
 

@@ -46,6 +46,7 @@ def test_csv_position_is_the_order_of_the_file(spark, tmp_path):
 def test_csv_watermark_and_missing_file(spark, tmp_path):
     path = write(tmp_path / "a.csv", "id,at\n1,2024-01-01 00:00:00\n2,2024-01-03 00:00:00\n3,bad\n4,\n")
     assert rows(read_csv(spark, path, watermark_col="at", watermark_value="2024-01-02 00:00:00")) == [("2", "2024-01-03 00:00:00")]
+    assert rows(read_csv(spark, path, dtypes={"id": "int"}).select("id")) == [(1,), (2,), (3,), (4,)]
     assert read_csv(spark, path, watermark_col="other", watermark_value="2024-01-02").count() == 4
     for read in (read_csv, read_json, read_xml):
         with pytest.raises(FileNotFoundError):

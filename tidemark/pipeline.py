@@ -21,7 +21,7 @@ from tidemark.plans.fact import FACT_BATCH, build_fact_sales, with_sales_keys
 from tidemark.plans.kpis import build_kpi_summary
 from tidemark.plans.mart import build_revenue_mart
 from tidemark.runs import PipelineRun, get_watermark, new_batch_id, one_row, update_watermark
-from tidemark.schemas import SOURCE_COLUMNS
+from tidemark.schemas import SOURCE_COLUMNS, TEXT_LIMITS
 from tidemark.sources import newer_than, read_csv, read_json, read_xml
 from tidemark.warehouse import EXPORTED, Warehouse
 
@@ -38,6 +38,7 @@ class Source:
     numeric: tuple[str, ...] = ()
     domain: tuple[str, tuple[str, ...]] | None = None
     watermark_col: str | None = None
+    limits: bool = False  # also report text that is longer than its column allows
 
     def read(self, spark: SparkSession, raw_dir: str) -> DataFrame:
         path = f"{raw_dir.rstrip('/')}/{self.file}"
@@ -56,6 +57,8 @@ class Source:
             validator.check_numeric(self.numeric)
         if self.domain:
             validator.check_value_in_set(*self.domain)
+        if self.limits:
+            validator.check_lengths(TEXT_LIMITS[self.table])
         return validator
 
 

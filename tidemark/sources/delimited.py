@@ -27,12 +27,14 @@ def read_csv(
     watermark_col: str | None = None,
     watermark_value: str | None = None,
     multi_line: bool | None = None,
+    dtypes: dict[str, str] | None = None,
     keep_position: bool = False,
 ) -> DataFrame:
     """Text columns named by the header; the usual texts for "no value" become NULL.
 
     Whether fields contain line breaks is found out unless `multi_line` says so: only then is a file
-    read by one task. With a watermark, only rows after it are kept.
+    read by one task. With a watermark, only rows after it are kept. `dtypes` names Spark types for some
+    columns; a value that does not fit is an error.
     """
     if multi_line is None:
         multi_line = has_quoted_newlines(spark, path, encoding)
@@ -45,4 +47,6 @@ def read_csv(
     )
     if watermark_col and watermark_value and watermark_col in raw.columns:
         rows = newer_than(rows, watermark_col, watermark_value)
+    for name, kind in (dtypes or {}).items():
+        rows = rows.withColumn(name, F.col(f"`{name}`").cast(kind))
     return rows if keep_position else rows.drop(POSITION)
