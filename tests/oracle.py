@@ -32,7 +32,7 @@ def _rows(table: pa.Table, names: list[str]) -> list[tuple]:
 
 def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     got = spark_df.toArrow()
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     if sorted(got.column_names) != sorted(want.column_names):
         return [f"columns {sorted(got.column_names)} / {sorted(want.column_names)}"]
     names = sorted(got.column_names)

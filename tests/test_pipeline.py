@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import RUN_TS
 from tidemark import pipeline, runs
+from tidemark.__main__ import main
 from tidemark.operators.quality import repeated_current_keys, repeated_keys
 from tidemark.plans import reports
 from tidemark.warehouse import EXPORTED, Warehouse
@@ -150,6 +151,18 @@ def test_run_records(first):
     assert runs.get_watermark(warehouse, "nowhere") == runs.FIRST_WATERMARK
 
 
+def test_summary_and_command_line(first, tmp_path, capsys):
+    warehouse, *_ = first
+    parts = pipeline.summary(warehouse)
+    counted = {r.table_name: r.rows for r in parts["tables"].collect()}
+    assert len(counted) == 16 and counted["gold.fact_sales"] == 3 and counted["silver.customers"] == 3
+    assert parts["runs"].count() == 12 and parts["checks"].count() == 6
+    assert main(["export", warehouse.root, "--target", str(tmp_path)]) == 0
+    assert "gold.fact_sales exported" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["run", warehouse.root])
+
+
 def copied(first, tmp_path):
     """A warehouse of one's own after the first run."""
     return shutil.copytree(first[2] / "wh", tmp_path / "wh")

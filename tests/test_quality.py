@@ -66,7 +66,7 @@ def test_empty_frame_and_no_checks(spark):
 
 
 def test_keep_first_follows_the_order(spark):
-    df = spark.createDataFrame([("a", 3), ("a", 1), ("a", 2)], "k string, n int")
+    df = spark.createDataFrame([("a", 3), ("a", 1), ("a", 1), ("a", 2)], "k string, n int")
     valid = Validator(df, "t", "B", order_by=["n"]).check_unique(["k"]).valid()
     assert rows(valid) == [("a", 1)]
 

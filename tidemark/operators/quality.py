@@ -101,9 +101,8 @@ class Check:
 class Validator:
     """Collects checks on a frame, then gives result rows and the valid and rejected parts.
 
-    `order_by` decides which copy of a repeated key is the first; with a `_position` column, as the
-    readers give it, that is the place in the source. Without either the frame gets a row number and is
-    settled on shared storage.
+    `order_by` decides which copy of a repeated key is the first, and then the `_position` column, which
+    the readers give. A frame without positions gets row numbers and is settled on shared storage.
     """
 
     def __init__(self, df: DataFrame, table: str, batch_id: str, order_by: list[str] | None = None):
@@ -226,7 +225,8 @@ class Validator:
         """The frame with one boolean column per check on rows."""
         if self._marked is None:
             unique = [(i, c) for i, c in enumerate(self.checks) if c.keys]
-            if unique and not self._order_by and POSITION not in self._df.columns:
+            if unique and POSITION not in self._df.columns:
+                # Whatever the order, equal rows must be told apart.
                 self._df = settled(self._df.withColumn(POSITION, F.monotonically_increasing_id()))
             df = self._df
             order_by = self._order_by + [c for c in [POSITION] if c in df.columns]

@@ -16,11 +16,11 @@ from tidemark.operators.audit import add_audit_columns
 from tidemark.operators.history import CHANGE, overwrite_dimension, upsert, version_dimension
 from tidemark.operators.quality import POSITION, Validator
 from tidemark.operators.rejects import reject_records
-from tidemark.plans import dimensions, silver
+from tidemark.plans import dimensions, reports, silver
 from tidemark.plans.fact import FACT_BATCH, build_fact_sales, with_sales_keys
 from tidemark.plans.kpis import build_kpi_summary
 from tidemark.plans.mart import build_revenue_mart
-from tidemark.runs import PipelineRun, get_watermark, new_batch_id, one_row, update_watermark
+from tidemark.runs import PipelineRun, get_watermark, new_batch_id, one_row, run_states, update_watermark
 from tidemark.schemas import SOURCE_COLUMNS, TEXT_LIMITS
 from tidemark.sources import newer_than, read_csv, read_json, read_xml
 from tidemark.warehouse import EXPORTED, Warehouse
@@ -376,6 +376,24 @@ def run(
     return whole
 
 
+# The tables a summary counts.
+SUMMARY_TABLES = [
+    "bronze.customers", "bronze.orders", "bronze.products", "bronze.order_items", "bronze.sellers", "bronze.payments",
+    "silver.customers", "silver.orders", "silver.products", "silver.order_items",
+    "gold.dim_customer", "gold.dim_product", "gold.dim_seller", "gold.fact_sales", "gold.revenue_mart", "gold.kpi_summary",
+]
+
+
+def summary(warehouse: Warehouse) -> dict[str, DataFrame]:
+    """Rows per table, the latest runs, and checks passed and failed per table."""
+    return {
+        "tables": reports.row_counts({t: warehouse.read(t) for t in SUMMARY_TABLES}),
+        "runs": reports.recent_runs(run_states(warehouse.read("metadata.pipeline_runs"))),
+        "checks": reports.dq_report(warehouse.read("metadata.dq_results")),
+    }
+
+
 __all__ = [
     "EXPORTED", "MANUAL_SOURCES", "SOURCES", "Outcome", "Source", "run", "run_bronze", "run_gold", "run_silver",
+    "summary",
 ]
