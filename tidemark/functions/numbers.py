@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed pattern: the texts that count as a number.
+# Fixed patterns: the texts that count as a number, and those among them that say infinity.
 NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+INFINITY_PATTERN = r"[nN]"
 
 
 def is_number(c: Column) -> Column:
-    """True where the text is a number. A cast alone would also take `1.0d` and `nan`."""
-    return c.cast("string").rlike(NUMBER_PATTERN)
+    """True where the text is a number within the range of a double. A cast alone would also take
+    `1.0d` and `nan`, and make an infinity of `1e999`."""
+    written = c.cast("string")
+    too_large = ~written.rlike(INFINITY_PATTERN) & (F.abs(written.try_cast("double")) == float("inf"))
+    return written.rlike(NUMBER_PATTERN) & ~F.coalesce(too_large, F.lit(False))
 
 
 def to_decimal(c: Column, precision: int, scale: int) -> Column:
