@@ -42,7 +42,7 @@ def test_valid_and_rejected_make_the_input(spark):
 
 
 def test_many_repeated_keys_go_through_a_plain_join(spark, monkeypatch):
-    monkeypatch.setattr(quality, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(quality, "BROADCAST_BYTES", 0)
     df = spark.range(900).select(F.when(F.col("id") >= 300, F.col("id") % 100).alias("k"), F.col("id").alias("n"))
     valid, rejected = Validator(df, "t", "B", order_by=["n"]).check_unique(["k"]).finalize()
     assert {(r.k, r.n) for r in valid.collect()} == {(None, 0)} | {(i % 100, i) for i in range(300, 400)}
@@ -79,6 +79,15 @@ def test_reject_json_keeps_nulls(spark):
     assert reject_records(df.drop("reject_reason"), "t", "B", RUN_TS).first().reject_reason == "Unknown"
 
 
+def test_dotted_columns(spark):
+    df = spark.createDataFrame([("a", "1"), ("a", "x"), (None, "2")], ["who.name", "who.n"])
+    checks = Validator(df, "t", "B", order_by=["who.n"]).check_nulls(["who.name"]).check_unique(["who.name"]).check_numeric(["who.n"])
+    valid, rejected = checks.check_lengths({"who.name": 0}).finalize()
+    assert rows(valid) == [("a", "1")]
+    assert json.loads(reject_records(rejected, "t", "B", RUN_TS).where("reject_reason LIKE 'NULL%'").first().raw_data)["who.n"] == "2"
+    assert [r.failed_records for r in checks.results(RUN_TS).collect()] == [1, 1, 1, 2]
+
+
 def test_keys(spark):
     dim = spark.createDataFrame([("a", True), ("a", True), ("b", True), ("b", False)], "id string, is_current boolean")
     assert rows(repeated_current_keys(dim, "id")) == [("a", 2)]

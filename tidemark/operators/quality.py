@@ -18,11 +18,31 @@ from tidemark.functions.text import is_blank
 from tidemark.session import settled
 
 POSITION = "_position"
+
+
+def named(column: str) -> Column:
+    """A column by its whole name, which may hold dots."""
+    return F.col(f"`{column}`")
+
+
 REASON = "reject_reason"
 
 
-# Up to this many repeated keys are broadcast: with keys of some hundred bytes, tens of megabytes.
-BROADCAST_KEYS = 200_000
+# Tables up to this size, as measured, are broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+_ROW_BYTES = 64  # what a row costs beyond its values
+
+
+def text_bytes(columns: list[str]) -> Column:
+    """Aggregate: the size of a table, from the length of its values as text."""
+    row = F.struct(*[named(c) for c in columns]).cast("string")
+    return F.coalesce(F.sum(F.octet_length(row) + _ROW_BYTES), F.lit(0))
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Broadcast a settled frame if its measured size allows; otherwise Spark joins it as it sees fit."""
+    size = df.agg(text_bytes(df.columns)).first()[0]
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 @dataclass(frozen=True)
@@ -30,16 +50,11 @@ class Repeats:
     """The keys that occur more than once, and how much that amounts to."""
 
     keys: list[str]
-    table: DataFrame  # columns _key0, _key1, ... and _copies
-    distinct: int
+    table: DataFrame  # columns _key0, _key1, ...
     surplus: int  # rows beyond the first of each key
 
     def same_key(self) -> Column:
-        return reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(self.keys)])
-
-    def hint(self, df: DataFrame) -> DataFrame:
-        """Broadcast a frame of at most one row per repeated key if those are few."""
-        return F.broadcast(df) if self.distinct <= BROADCAST_KEYS else df
+        return reduce(and_, [named(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(self.keys)])
 
     def flag(self, df: DataFrame, order_by: list[str], flag: str) -> DataFrame:
         """Add `flag`: true on every row of a key but its first by `order_by`, which must tell any two
@@ -49,17 +64,17 @@ class Repeats:
         before its shuffle. If few keys repeat, no other row moves; if many do, it is a join whose
         skewed partitions adaptive execution splits.
         """
-        if not self.distinct:
+        if not self.surplus:
             return df.withColumn(flag, F.lit(False))
         names = [f"_key{i}" for i in range(len(self.keys))]
-        place = F.struct(*order_by)
-        firsts = (
-            df.join(self.hint(self.table.drop("_copies")), self.same_key(), "left_semi")
-            .groupBy(*[F.col(k).alias(n) for k, n in zip(self.keys, names, strict=True)])
+        place = F.struct(*[named(c) for c in order_by])
+        firsts = settled(
+            df.join(broadcast_if_small(self.table), self.same_key(), "left_semi")
+            .groupBy(*[named(k).alias(n) for k, n in zip(self.keys, names, strict=True)])
             .agg(F.min(place).alias("_first"))
         )
         return (
-            df.join(self.hint(firsts), self.same_key(), "left")
+            df.join(broadcast_if_small(firsts), self.same_key(), "left")
             .withColumn(flag, F.col("_first").isNotNull() & (place > F.col("_first")))
             .drop("_first", *names)
         )
@@ -69,13 +84,14 @@ def find_repeats(df: DataFrame, keys: list[str]) -> Repeats:
     """Count the copies of each key; NULL keys equal each other. Only the keys are shuffled, combined
     beforehand, so a key holding a third of all rows is no burden."""
     counted = (
-        df.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+        df.groupBy(*[named(k).alias(f"_key{i}") for i, k in enumerate(keys)])
         .agg(F.count(F.lit(1)).alias("_copies"))
         .where("_copies > 1")
     )
     table = settled(counted)
-    row = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))).first()
-    return Repeats(keys, table, row[0], row[1])
+    names = [c for c in table.columns if c != "_copies"]
+    surplus = table.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))).first()[0]
+    return Repeats(keys, table.select(*names), surplus)
 
 
 @dataclass(frozen=True)
@@ -126,7 +142,7 @@ class Validator:
         """NULL or blank text fails; an ERROR rejects the row. Columns the frame lacks are skipped."""
         for name in columns:
             if name in self.columns:
-                c = F.col(name)
+                c = named(name)
                 failing = is_blank(c) if self._text(name) else c.isNull()
                 self._add(
                     Check(
@@ -151,7 +167,7 @@ class Validator:
         """Values that are not numbers are counted, never rejected."""
         for name in columns:
             if name in self.columns:
-                c = F.col(name)
+                c = named(name)
                 failing = c.isNotNull() & ~is_number(c) if self._text(name) else F.lit(False)
                 self._add(
                     Check(
@@ -166,7 +182,7 @@ class Validator:
         allowed = list(values)
         if column not in self.columns:
             return self
-        c = F.col(column)
+        c = named(column)
         return self._add(
             Check(
                 f"domain_check_{column}", "domain_check", column, severity, c.isNotNull() & ~c.isin(allowed),
@@ -187,7 +203,7 @@ class Validator:
         """Text longer than the target column allows is counted."""
         for name, limit in limits.items():
             if name in self.columns:
-                failing = F.coalesce(F.length(F.col(name)) > limit, F.lit(False))
+                failing = F.coalesce(F.length(named(name)) > limit, F.lit(False))
                 self._add(
                     Check(
                         f"length_check_{name}", "limit_check", name, severity, failing,
@@ -200,7 +216,7 @@ class Validator:
         """Numbers that do not fit the target decimal are counted."""
         for name, (precision, scale) in limits.items():
             if name in self.columns:
-                c = F.col(name)
+                c = named(name)
                 failing = c.isNotNull() & c.try_cast(f"decimal({precision},{scale})").isNull()
                 self._add(
                     Check(
@@ -242,13 +258,13 @@ class Validator:
         return reduce(or_, [F.col(self._flag(i)) for i, _ in self._rejecting()], F.lit(False))
 
     def valid(self) -> DataFrame:
-        return self.marked().where(~self.is_rejected()).select(*self.columns)
+        return self.marked().where(~self.is_rejected()).select(*[named(c) for c in self.columns])
 
     def rejected(self) -> DataFrame:
         """The rejected rows with their reasons, in the order of the checks."""
         reasons = [F.when(F.col(self._flag(i)), F.lit(c.reason)).otherwise("") for i, c in self._rejecting()]
         reason = F.concat(F.lit(""), *reasons)
-        kept = [c for c in self.columns if c != REASON]
+        kept = [named(c) for c in self.columns if c != REASON]
         return self.marked().where(self.is_rejected()).select(*kept, reason.alias(REASON))
 
     def finalize(self) -> tuple[DataFrame, DataFrame]:

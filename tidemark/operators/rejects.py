@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.moments import moment
-from tidemark.operators.quality import REASON
+from tidemark.operators.quality import REASON, named
 
 
 def reject_records(rejected: DataFrame, source_table: str, batch_id: str, run_ts: datetime) -> DataFrame:
@@ -17,7 +17,7 @@ def reject_records(rejected: DataFrame, source_table: str, batch_id: str, run_ts
     return rejected.select(
         F.lit(source_table).alias("source_table"),
         F.lit(batch_id).alias("batch_id"),
-        F.to_json(F.struct(*rejected.columns), {"ignoreNullFields": "false"}).alias("raw_data"),
+        F.to_json(F.struct(*[named(c) for c in rejected.columns]), {"ignoreNullFields": "false"}).alias("raw_data"),
         reason.alias("reject_reason"),
         moment(run_ts).alias("rejected_at"),
     )

@@ -11,7 +11,7 @@ from tidemark.functions.moments import to_moment
 
 def newer_than(df: DataFrame, column: str, value: str) -> DataFrame:
     """Rows after a watermark; rows whose column is no timestamp are left out."""
-    c = F.col(column)
+    c = F.col(f"`{column}`")
     if isinstance(df.schema[column].dataType, T.StringType):
         c = to_moment(c)
     return df.where(c > F.lit(value).cast("timestamp_ntz"))
