@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as driver
+from tidemark.catalog.oracle_queries import ORACLE
+from tidemark.catalog.spark_queries import QUERIES
 from tests.conftest import SMALL
 from tests.oracle import connect, differences
 
@@ -13,10 +15,10 @@ def con():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
     assert differences(driver.queries()[name](spark, SMALL), con, driver.oracle_sql()[name]) == []
 
