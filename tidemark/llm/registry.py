@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import op10_line_dedup
+from tidemark.llm import op03_dominance_packing, op07_merge_replay, op10_line_dedup
 
 QUERIES = {
+    "op3_dominance_packing": op03_dominance_packing.op3_dominance_packing,
+    "op7_merge_replay": op07_merge_replay.op7_merge_replay,
     "op10_line_dedup": op10_line_dedup.op10_line_dedup,
 }
 
