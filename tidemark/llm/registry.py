@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from tidemark.llm import op03_dominance_packing, op07_merge_replay, op10_line_dedup
+from tidemark.llm import (
+    op03_dominance_packing,
+    op04_nb_svm,
+    op07_merge_replay,
+    op08_toxicity,
+    op10_line_dedup,
+)
 
 QUERIES = {
     "op3_dominance_packing": op03_dominance_packing.op3_dominance_packing,
+    "op4_nb_svm": op04_nb_svm.op4_nb_svm,
     "op7_merge_replay": op07_merge_replay.op7_merge_replay,
+    "op8_levenshtein_toxicity": op08_toxicity.op8_levenshtein_toxicity,
     "op10_line_dedup": op10_line_dedup.op10_line_dedup,
 }
 
