@@ -84,18 +84,18 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def texts(batch: pa.RecordBatch, column: str) -> list[str]:
-    """A batch's texts; null reads as empty."""
-    return [t or "" for t in batch.column(column).to_pylist()]
+#: Bytes of a batch that are handled together, which bounds what a task needs beside the batch itself.
+SLICE_BYTES = 8_000_000
 
 
 def by_batch(make):
-    """For mapInArrow: set up once a task, then turn each batch into one batch."""
+    """For mapInArrow: set up once a task, then turn each batch into one batch, a slice of it at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            if batch.num_rows:
-                yield step(batch)
+            rows = max(1, int(batch.num_rows * SLICE_BYTES / max(1, batch.nbytes)))
+            for start in range(0, batch.num_rows, rows):
+                yield step(batch.slice(start, rows))
 
     return run

@@ -32,6 +32,8 @@ from tidemark.session import settled
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 CAPACITY = 1024
 END_ID = 2
+#: Chunks whose ids are kept for later batches, before the map is emptied.
+MAP_ENTRIES = 300_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -161,12 +163,17 @@ def token_pieces(
         tokenizer = Tokenizer.from_file(vocabulary)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
+        known: dict[str, bytes] = {}
+
         def encode(chunks: list[str]) -> list[bytes]:
-            out = []
-            for i in range(0, len(chunks), 20_000):
-                found = tokenizer.encode_batch_fast(chunks[i : i + 20_000], add_special_tokens=False)
-                out += [np.array(e.ids, "<i4").tobytes() for e in found]
-            return out
+            if len(known) > MAP_ENTRIES:
+                known.clear()
+            new = [c for c in chunks if c not in known]
+            for i in range(0, len(new), 10_000):
+                part = new[i : i + 10_000]
+                found = tokenizer.encode_batch_fast(part, add_special_tokens=False)
+                known.update(zip(part, [np.array(e.ids, "<i4").tobytes() for e in found], strict=True))
+            return [known[c] for c in chunks]
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids, offsets = encode_batch(batch.column(text_column), encode)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm import (
+    op01_content_regions,
     op03_dominance_packing,
     op04_nb_svm,
     op07_merge_replay,
@@ -11,6 +12,7 @@ from tidemark.llm import (
 )
 
 QUERIES = {
+    "op1_content_regions": op01_content_regions.op1_content_regions,
     "op3_dominance_packing": op03_dominance_packing.op3_dominance_packing,
     "op4_nb_svm": op04_nb_svm.op4_nb_svm,
     "op7_merge_replay": op07_merge_replay.op7_merge_replay,
