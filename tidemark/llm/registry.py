@@ -6,8 +6,10 @@ from tidemark.llm import (
     op01_content_regions,
     op03_dominance_packing,
     op04_nb_svm,
+    op05_bloom_lookup,
     op07_merge_replay,
     op08_toxicity,
+    op09_bagminhash,
     op10_line_dedup,
 )
 
@@ -15,8 +17,10 @@ QUERIES = {
     "op1_content_regions": op01_content_regions.op1_content_regions,
     "op3_dominance_packing": op03_dominance_packing.op3_dominance_packing,
     "op4_nb_svm": op04_nb_svm.op4_nb_svm,
+    "op5_bloom_lookup": op05_bloom_lookup.op5_bloom_lookup,
     "op7_merge_replay": op07_merge_replay.op7_merge_replay,
     "op8_levenshtein_toxicity": op08_toxicity.op8_levenshtein_toxicity,
+    "op9_bagminhash": op09_bagminhash.op9_bagminhash,
     "op10_line_dedup": op10_line_dedup.op10_line_dedup,
 }
 
