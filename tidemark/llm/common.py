@@ -25,8 +25,12 @@ def rows_of(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def digest(*columns: Column) -> list[Column]:
-    """Two independent 64-bit hashes: 128 bits, for which equal means the same at any table size."""
-    return [F.xxhash64(*columns), F.xxhash64(F.lit(7), *columns)]
+    """Two independent 64-bit hashes: 128 bits, for which equal means the same at any table size.
+
+    A hash skips nulls, so each column goes in with a mark that tells a null from nothing.
+    """
+    marked = [part for c in columns for part in (c, c.isNull())]
+    return [F.xxhash64(*marked), F.xxhash64(F.lit(7), *marked)]
 
 
 def remainder(id_column: str, divisor: int) -> Column:
