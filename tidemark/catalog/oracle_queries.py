@@ -185,7 +185,7 @@ ALL_RULES = [
     NO_FLAG, NO_STATUS, REPEATS, null_check("l_shipdate", "l_shipdate IS NULL", "WARNING"),
     check(
         "marked", "count(*) FILTER (WHERE l_linestatus NOT IN ('F', 'O'))", "domain_check_l_linestatus", "domain_check",
-        "l_linestatus", "{} out-of-domain values", "values in [''F'', ''O'']...", "WARNING",
+        "l_linestatus", "{} out-of-domain values", "values in [''F'', ''O'']", "WARNING",
     ),
     rows_at_least(1, "ERROR", "marked", "bronze.lineitem"),
 ]
@@ -275,7 +275,7 @@ ORACLE: dict[str, str] = {
     "dq_domain_check": f"WITH {EVENTS} "
     + on_events(
         "event_type NOT IN ('click', 'view')", "domain_check_event_type", "domain_check", "event_type",
-        "{} out-of-domain values", "values in [''click'', ''view'']...",
+        "{} out-of-domain values", "values in [''click'', ''view'', ''c'', ''d'', ''e'', ''f'', ''g'']",
     ),
     "dq_min_rows": f"WITH {EVENTS} "
     + union(rows_at_least(1, "ERROR", "ev", "bronze.events"), rows_at_least(1_000_000_000, "WARNING", "ev", "bronze.events")),
@@ -320,7 +320,8 @@ ORACLE: dict[str, str] = {
         CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) || CASE WHEN l_returnflag = 'R' THEN 'd' ELSE '' END AS price,
         CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(12,2)) AS VARCHAR) AS freight_value,
         'order_items.csv' AS source_file, 'CSV' AS source_system, '{BATCH}' AS batch_id, {TS} AS load_timestamp, {DAY} AS load_date,
-        false AS is_rejected, CAST(NULL AS VARCHAR) AS reject_reason FROM lineitem""",
+        false AS is_rejected, CAST(NULL AS VARCHAR) AS reject_reason, CAST(NULL AS BIGINT) AS source_block,
+        CAST(NULL AS BIGINT) AS source_row FROM lineitem""",
     "batch_latest": f"""WITH {BATCHES} SELECT * FROM batches
       WHERE batch_id = (SELECT batch_id FROM batches ORDER BY load_timestamp DESC, batch_id DESC LIMIT 1)""",
     "batch_slice": f"WITH {BATCHES} SELECT * FROM batches WHERE batch_id = 'B199707' AND NOT is_rejected",

@@ -84,7 +84,7 @@ def dq_numeric_check(spark, d):
 
 @query
 def dq_domain_check(spark, d):
-    return _events(spark, d).check_value_in_set("event_type", ["click", "view"]).results(RUN_TS)
+    return _events(spark, d).check_value_in_set("event_type", ["click", "view", "c", "d", "e", "f", "g"]).results(RUN_TS)
 
 
 @query

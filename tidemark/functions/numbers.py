@@ -28,8 +28,8 @@ def to_money(c: Column) -> Column:
 
 
 def to_whole(c: Column) -> Column:
-    """Integer, with a fraction cut off; `7.0` is 7, which a direct cast would refuse."""
-    return c.try_cast("decimal(20,4)").try_cast("int")
+    """Integer, with a fraction cut off however close it is to the next; `7.0` is 7, which a direct cast would refuse."""
+    return c.try_cast("decimal(38,18)").try_cast("int")
 
 
 def ratio(numerator: Column, denominator: Column, scale: int, width: int = 38) -> Column:

@@ -51,11 +51,6 @@ def null_if_in(c: Column, texts: Iterable[str]) -> Column:
     return F.when(~c.isin(list(texts)), c)
 
 
-def keep_if_in(c: Column, values: Iterable[str]) -> Column:
-    """NULL where the value is none of the given ones."""
-    return F.when(c.isin(list(values)), c)
-
-
 def mapped(c: Column, pairs: dict[str, str], default: str) -> Column:
     """Look a value up in a small fixed mapping."""
     table = F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])

@@ -28,70 +28,35 @@ def named(column: str) -> Column:
 REASON = "reject_reason"
 
 
-# Tables up to this size, as measured, are broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
-_ROW_BYTES = 64  # what a row costs beyond its values
+def _by_key(df: DataFrame, keys: list[str]):
+    return df.groupBy(*[named(k).alias(f"_key{i}") for i, k in enumerate(keys)])
 
 
-def text_bytes(columns: list[str]) -> Column:
-    """Aggregate: the size of a table, from the length of its values as text."""
-    row = F.struct(*[named(c) for c in columns]).cast("string")
-    return F.coalesce(F.sum(F.octet_length(row) + _ROW_BYTES), F.lit(0))
+def surplus(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: how many rows come after the first of their key. NULL keys equal each other.
 
+    Only the keys are shuffled, combined beforehand, so a key holding a third of all rows is no burden.
+    """
+    copies = _by_key(df, keys).agg(F.count(F.lit(1)).alias("copies"))
+    return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("surplus"))
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Broadcast a settled frame if its measured size allows; otherwise Spark joins it as it sees fit."""
-    size = df.agg(text_bytes(df.columns)).first()[0]
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
+def flag_repeats(df: DataFrame, keys: list[str], order_by: list[str], flag: str) -> DataFrame:
+    """Add `flag`: true on every row of a key but its first by `order_by`, which must tell any two rows apart.
 
-@dataclass(frozen=True)
-class Repeats:
-    """The keys that occur more than once, and how much that amounts to."""
-
-    keys: list[str]
-    table: DataFrame  # columns _key0, _key1, ...
-    surplus: int  # rows beyond the first of each key
-
-    def same_key(self) -> Column:
-        return reduce(and_, [named(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(self.keys)])
-
-    def flag(self, df: DataFrame, order_by: list[str], flag: str) -> DataFrame:
-        """Add `flag`: true on every row of a key but its first by `order_by`, which must tell any two
-        rows apart.
-
-        Only rows of repeated keys are looked at for the first one, by an aggregate that combines
-        before its shuffle. If few keys repeat, no other row moves; if many do, it is a join whose
-        skewed partitions adaptive execution splits.
-        """
-        if not self.surplus:
-            return df.withColumn(flag, F.lit(False))
-        names = [f"_key{i}" for i in range(len(self.keys))]
-        place = F.struct(*[named(c) for c in order_by])
-        firsts = settled(
-            df.join(broadcast_if_small(self.table), self.same_key(), "left_semi")
-            .groupBy(*[named(k).alias(n) for k, n in zip(self.keys, names, strict=True)])
-            .agg(F.min(place).alias("_first"))
-        )
-        return (
-            df.join(broadcast_if_small(firsts), self.same_key(), "left")
-            .withColumn(flag, F.col("_first").isNotNull() & (place > F.col("_first")))
-            .drop("_first", *names)
-        )
-
-
-def find_repeats(df: DataFrame, keys: list[str]) -> Repeats:
-    """Count the copies of each key; NULL keys equal each other. Only the keys are shuffled, combined
-    beforehand, so a key holding a third of all rows is no burden."""
-    counted = (
-        df.groupBy(*[named(k).alias(f"_key{i}") for i, k in enumerate(keys)])
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .where("_copies > 1")
+    One aggregate gives each key's copies and first place, combined before its shuffle; the repeated keys are
+    written once and joined. Knowing their size, Spark broadcasts them or splits the skewed partitions of the join.
+    """
+    place = F.struct(*[named(c) for c in order_by])
+    counted = _by_key(df, keys).agg(F.count(F.lit(1)).alias("_copies"), F.min(place).alias("_first"))
+    repeats = settled(counted.where("_copies > 1").drop("_copies"))
+    same = reduce(and_, [named(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    names = [f"_key{i}" for i in range(len(keys))]
+    return (
+        df.join(repeats, same, "left")
+        .withColumn(flag, F.col("_first").isNotNull() & (place > F.col("_first")))
+        .drop("_first", *names)
     )
-    table = settled(counted)
-    names = [c for c in table.columns if c != "_copies"]
-    surplus = table.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))).first()[0]
-    return Repeats(keys, table.select(*names), surplus)
 
 
 @dataclass(frozen=True)
@@ -128,7 +93,6 @@ class Validator:
         self.columns = [c for c in df.columns if c != POSITION]
         self._order_by = order_by or []
         self._marked: DataFrame | None = None
-        self._repeats: dict[tuple[str, ...], Repeats] = {}
 
     def _text(self, name: str) -> bool:
         return isinstance(self._df.schema[name].dataType, (T.StringType, T.CharType, T.VarcharType))
@@ -186,7 +150,7 @@ class Validator:
         return self._add(
             Check(
                 f"domain_check_{column}", "domain_check", column, severity, c.isNotNull() & ~c.isin(allowed),
-                observed="{} out-of-domain values", expected=f"values in {allowed[:5]}...",
+                observed="{} out-of-domain values", expected=f"values in {allowed}",
             )
         )
 
@@ -200,40 +164,51 @@ class Validator:
         )
 
     def check_lengths(self, limits: dict[str, int], severity: str = "WARNING") -> Validator:
-        """Text longer than the target column allows is counted."""
+        """Text longer than the target column allows is counted; an ERROR rejects the row."""
         for name, limit in limits.items():
             if name in self.columns:
                 failing = F.coalesce(F.length(named(name)) > limit, F.lit(False))
                 self._add(
                     Check(
                         f"length_check_{name}", "limit_check", name, severity, failing,
-                        observed="{} too long", expected=f"at most {limit} characters",
+                        observed="{} too long", expected=f"at most {limit} characters", reason=f"Too long: {name}; ",
                     )
                 )
         return self
 
     def check_precision(self, limits: dict[str, tuple[int, int]], severity: str = "WARNING") -> Validator:
-        """Numbers that do not fit the target decimal are counted."""
+        """Numbers that do not fit the target decimal are counted; an ERROR rejects the row. Text that is no
+        number at all counts as well, but rejects nothing: that is for `check_numeric` to report."""
         for name, (precision, scale) in limits.items():
             if name in self.columns:
                 c = named(name)
                 failing = c.isNotNull() & c.try_cast(f"decimal({precision},{scale})").isNull()
+                if severity == "ERROR" and self._text(name):
+                    failing = failing & F.coalesce(is_number(c), F.lit(False))
                 self._add(
                     Check(
                         f"precision_check_{name}", "limit_check", name, severity, failing,
                         observed="{} out of range", expected=f"decimal({precision},{scale})",
+                        reason=f"Out of range: {name}; ",
                     )
                 )
         return self
 
+    def check_computed(
+        self, name: str, value: Column, precision: int, scale: int, severity: str = "ERROR"
+    ) -> Validator:
+        """A value computed from the row fits the decimal it will be kept in."""
+        failing = F.coalesce(value.isNotNull() & value.try_cast(f"decimal({precision},{scale})").isNull(), F.lit(False))
+        return self._add(
+            Check(
+                f"precision_check_{name}", "limit_check", name, severity, failing,
+                observed="{} out of range", expected=f"decimal({precision},{scale})", reason=f"Out of range: {name}; ",
+            )
+        )
+
     def _flag(self, i: int) -> str:
         return f"_fails{i}"
 
-    def repeats(self, check: Check) -> Repeats:
-        if check.keys not in self._repeats:
-            self._repeats[check.keys] = find_repeats(self._df, list(check.keys))
-        return self._repeats[check.keys]
-
     def _plain(self) -> dict[str, Column]:
         return {self._flag(i): c.failing for i, c in enumerate(self.checks) if c.failing is not None}
 
@@ -247,7 +222,7 @@ class Validator:
             df = self._df
             order_by = self._order_by + [c for c in [POSITION] if c in df.columns]
             for i, check in unique:
-                df = self.repeats(check).flag(df, order_by, self._flag(i))
+                df = flag_repeats(df, list(check.keys), order_by, self._flag(i))
             self._marked = df.withColumns(self._plain()) if self._plain() else df
         return self._marked
 
@@ -270,21 +245,25 @@ class Validator:
     def finalize(self) -> tuple[DataFrame, DataFrame]:
         return self.valid(), self.rejected()
 
-    def count_columns(self) -> list[Column]:
-        """Aggregates of all checks at once; the repeats are counted already."""
+    def count_columns(self, checks: list[int] | None = None) -> list[Column]:
+        """Aggregates over the marked frame, of all checks at once or of some."""
         columns = [F.count(F.lit(1)).alias("total")]
         for i, check in enumerate(self.checks):
-            if check.keys:
-                columns.append(F.max(F.lit(self.repeats(check).surplus).cast("bigint")).alias(f"failed{i}"))
-            elif check.failing is not None:
+            if check.min_rows is None and (checks is None or i in checks):
                 columns.append(F.count_if(F.col(self._flag(i))).alias(f"failed{i}"))
         return columns
 
     def results(self, run_ts: datetime, counts: DataFrame | None = None) -> DataFrame:
-        """One row per check, from a single pass over the frame or from counts already taken."""
+        """One row per check, from a single pass over the frame and an aggregate for each key that must be unique,
+        or from counts already taken."""
         if counts is None:
             plain = self._plain()
-            counts = (self._df.withColumns(plain) if plain else self._df).agg(*self.count_columns())
+            rows = [i for i, c in enumerate(self.checks) if c.failing is not None]
+            counts = (self._df.withColumns(plain) if plain else self._df).agg(*self.count_columns(rows))
+            for i, check in enumerate(self.checks):
+                if check.keys:
+                    one = surplus(self._df, list(check.keys)).withColumnRenamed("surplus", f"failed{i}")
+                    counts = counts.crossJoin(F.broadcast(one))  # one row beside one row
         total = F.col("total")
         rows = []
         for i, check in enumerate(self.checks):

@@ -12,16 +12,26 @@ from pyspark.sql import types as T
 
 from tidemark import lookups
 from tidemark.functions.moments import to_moment
+from tidemark.functions.numbers import to_decimal
 from tidemark.operators.audit import add_audit_columns
 from tidemark.operators.history import CHANGE, overwrite_dimension, upsert, version_dimension
-from tidemark.operators.quality import POSITION, Validator
+from tidemark.operators.quality import POSITION, REASON, Validator
 from tidemark.operators.rejects import reject_records
 from tidemark.plans import dimensions, reports, silver
 from tidemark.plans.fact import FACT_BATCH, build_fact_sales, with_sales_keys
 from tidemark.plans.kpis import build_kpi_summary
 from tidemark.plans.mart import build_revenue_mart
-from tidemark.runs import PipelineRun, get_watermark, new_batch_id, one_row, run_states, update_watermark
-from tidemark.schemas import SOURCE_COLUMNS, TEXT_LIMITS
+from tidemark.runs import (
+    PipelineRun,
+    get_watermark,
+    new_batch_id,
+    one_row,
+    run_states,
+    superseded_batches,
+    update_watermark,
+)
+from tidemark.schemas import FILE_ORDER, NUMBER_LIMITS, SOURCE_COLUMNS, TEXT_LIMITS
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import newer_than, read_csv, read_json, read_xml
 from tidemark.warehouse import EXPORTED, Warehouse
 
@@ -38,16 +48,22 @@ class Source:
     numeric: tuple[str, ...] = ()
     domain: tuple[str, tuple[str, ...]] | None = None
     watermark_col: str | None = None
-    limits: bool = False  # also report text that is longer than its column allows
+    limits: bool = True  # reject rows with text or numbers that their column can't hold
+    multi_line: bool | None = None  # CSV: fields hold line breaks; found out per file unless said
+    lines: bool = False  # JSON: one record a line, which many tasks can read
+    record_path: str | None = None  # JSON: where in a document the records are
+    record_tag: str | None = "product"  # XML
 
     def read(self, spark: SparkSession, raw_dir: str) -> DataFrame:
         path = f"{raw_dir.rstrip('/')}/{self.file}"
         columns = SOURCE_COLUMNS[self.table]
         if self.system == "CSV":
-            return read_csv(spark, path, keep_position=True)
+            return read_csv(spark, path, multi_line=self.multi_line, keep_position=True)
         if self.system == "JSON":
-            return read_json(spark, path, columns=columns, keep_position=True)
-        return read_xml(spark, path, record_tag="product", columns=columns, keep_position=True)
+            return read_json(
+                spark, path, columns=columns, lines=self.lines, record_path=self.record_path, keep_position=True
+            )
+        return read_xml(spark, path, record_tag=self.record_tag, columns=columns, keep_position=True)
 
     def rules(self, validator: Validator) -> Validator:
         validator.check_nulls(self.not_null)
@@ -58,7 +74,14 @@ class Source:
         if self.domain:
             validator.check_value_in_set(*self.domain)
         if self.limits:
-            validator.check_lengths(TEXT_LIMITS[self.table])
+            validator.check_lengths(TEXT_LIMITS[self.table], "ERROR")
+            validator.check_precision(NUMBER_LIMITS.get(self.table, {}), "ERROR")
+            if self.table == "order_items":
+                total = to_decimal(F.col("price"), 12, 2) + to_decimal(F.col("freight_value"), 12, 2)
+                validator.check_computed("total_item_value", total, 12, 2)
+            if self.table == "products":
+                sizes = [to_decimal(F.col(f"product_{c}_cm"), 12, 4) for c in ("length", "height", "width")]
+                validator.check_computed("product_volume_cm3", F.round(sizes[0] * sizes[1] * sizes[2], 2), 12, 2)
         return validator
 
 
@@ -121,7 +144,7 @@ def load_bronze(
     """Check the rows and write the valid ones to bronze, the others to the rejects.
 
     One job writes the valid rows and, as observed metrics, counts every check and takes the highest
-    watermark; a second one runs only if something was rejected.
+    watermark; a second one writes what was rejected, and the CSV is made of that.
     """
     table = f"bronze.{source.table}"
     staged = stage(warehouse, df, source.table, batch_id)
@@ -137,19 +160,31 @@ def load_bronze(
     place = staged.schema[POSITION].dataType
     known_file = isinstance(place, T.StructType) and "file" in place.names
     file = F.col(f"{POSITION}.file") if known_file else F.lit(source.file)
-    warehouse.write_batch(add_audit_columns(valid, source.system, batch_id, run_ts, file), table)
+    placed = valid.withColumns(
+        {
+            "source_block": F.col(f"{POSITION}.block") if known_file else F.lit(0),
+            "source_row": F.col(f"{POSITION}.row") if known_file else F.col(POSITION),
+        }
+    )
+    warehouse.write_batch(add_audit_columns(placed, source.system, batch_id, run_ts, file), table, batch_id)
     counts = seen.get
     watermark = counts.get("watermark")
 
     schema = "total bigint, rejected bigint" + "".join(f", {k} bigint" for k in counts if k.startswith("failed"))
     known = one_row(warehouse.spark, T.StructType.fromDDL(schema), counts)
-    warehouse.write_batch(checks.results(run_ts, known), "metadata.dq_results")
+    warehouse.write_batch(checks.results(run_ts, known), "metadata.dq_results", batch_id, table)
 
+    # Also without a rejected row: a batch that was mended has no rejects left.
+    rejected = checks.rejected() if counts["rejected"] else staged.drop(POSITION).withColumn(REASON, F.lit("")).limit(0)
+    records = reject_records(rejected, source.table, batch_id, run_ts)
+    warehouse.write_batch(records, "bronze.rejected_records", batch_id, source.table)
     if counts["rejected"]:
-        records = reject_records(checks.rejected(), source.table, batch_id, run_ts)
-        warehouse.write_batch(records, "bronze.rejected_records")
         folder = f"{warehouse.root}/rejected/{source.table}_{batch_id}_{run_ts:%Y%m%d_%H%M%S}_rejected.csv"
-        checks.rejected().write.mode("overwrite").option("header", True).csv(folder)
+        written = warehouse.read("bronze.rejected_records").where(
+            (F.col("batch_id") == batch_id) & (F.col("source_table") == source.table)
+        )
+        parsed = F.from_json("raw_data", rejected.schema).alias("row")
+        written.select(parsed).select("row.*").write.mode("overwrite").option("header", True).csv(folder)
     inserted = counts["total"] - counts["rejected"]
     if inserted:
         update_watermark(warehouse, source.table, watermark or run_ts.strftime("%Y-%m-%d %H:%M:%S"), run_ts)
@@ -179,21 +214,21 @@ def load_silver(warehouse: Warehouse, table: str, batch_id: str, run_ts: datetim
         incoming = transform(bronze, batch_id, as_of)
         current = warehouse.read(target).where("is_current")
         key = "customer_id" if table == "customers" else "seller_id"
-        versions = version_dimension(current, incoming, key, dimensions.COMPARED, as_of, run_ts)
+        versions = version_dimension(current, incoming, key, dimensions.COMPARED, as_of, run_ts, FILE_ORDER)
         return _written(
             versions, replace,
             inserted=F.count_if(F.col(CHANGE) == "new"), updated=F.count_if(F.col(CHANGE) == "changed"),
         )
     if table == "products":
         incoming = silver.transform_products(bronze, batch_id)
-        merged = overwrite_dimension(warehouse.read(target), incoming, "product_id", run_ts)
+        merged = overwrite_dimension(warehouse.read(target), incoming, "product_id", run_ts, FILE_ORDER)
     elif table == "orders":
         incoming = silver.transform_orders(bronze)
-        merged = upsert(warehouse.read(target), incoming, ["order_id"], run_ts=run_ts)
+        merged = upsert(warehouse.read(target), incoming, ["order_id"], run_ts=run_ts, order_by=FILE_ORDER)
     else:
         transform = silver.transform_order_items if table == "order_items" else silver.transform_payments
         incoming = transform(bronze, batch_id)
-        counts = _written(incoming, lambda df: warehouse.write_batch(df, target), inserted=every)
+        counts = _written(incoming, lambda df: warehouse.write_batch(df, target, batch_id), inserted=every)
         return {**counts, "updated": 0}
     touched = F.count_if(F.col("updated_at") == F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz"))
     return {**_written(merged, replace, inserted=touched), "updated": 0}
@@ -222,11 +257,15 @@ def load_dim(warehouse: Warehouse, name: str, run_ts: datetime) -> dict[str, int
 
 
 def load_fact(warehouse: Warehouse, run_ts: datetime, batches: list[str] | None = None) -> dict[str, int]:
-    """Rebuild the fact, from all silver batches or the given ones, in place of the one before."""
+    """Rebuild the fact in place of the one before, from the given silver batches or from those in force: the last
+    full load of a table takes the place of all loaded before it."""
 
     def of_batches(table: str) -> DataFrame:
         df = warehouse.read(table)
-        return df if batches is None else df.where(F.col("batch_id").isin(batches))
+        if batches is not None:
+            return df.where(F.col("batch_id").isin(batches))
+        old = superseded_batches(warehouse.read("metadata.pipeline_runs"), table.split(".")[1])
+        return df.where(~F.col("batch_id").isin(old)) if old else df
 
     fact = build_fact_sales(
         of_batches("silver.order_items"),
@@ -239,7 +278,7 @@ def load_fact(warehouse: Warehouse, run_ts: datetime, batches: list[str] | None
     others = warehouse.read("gold.fact_sales").where(F.col("batch_id") != FACT_BATCH)
     start = others.agg(F.coalesce(F.max("sales_key"), F.lit(0))).first()[0]
     keyed = with_sales_keys(fact, start, run_ts)
-    return _written(keyed, lambda df: warehouse.write_batch(df, "gold.fact_sales"), inserted=F.count(F.lit(1)))
+    return _written(keyed, lambda df: warehouse.write_batch(df, "gold.fact_sales", FACT_BATCH), inserted=F.count(F.lit(1)))
 
 
 def load_mart(warehouse: Warehouse, run_ts: datetime) -> dict[str, int]:
@@ -279,6 +318,7 @@ class _Recorder:
     """Runs the steps of a layer one by one, each as a recorded run of its own."""
 
     def __init__(self, spark: SparkSession, root: str, batch_id: str):
+        ensure_checkpoint_dir(spark)  # before the first step, not in the middle of one
         self.warehouse = Warehouse(spark, root)
         self.outcome = Outcome(batch_id)
 

@@ -11,6 +11,7 @@ from tidemark import lookups
 from tidemark.functions.moments import day, elapsed_days, to_day, to_moment
 from tidemark.functions.numbers import to_decimal, to_money, to_whole
 from tidemark.functions.text import mapped, strip, title_case, zero_fill
+from tidemark.schemas import FILE_ORDER
 
 
 def batch_slice(bronze: DataFrame, batch_id: str) -> DataFrame:
@@ -55,6 +56,11 @@ def _versioned(as_of: date) -> list[Column]:
     ]
 
 
+def _place(bronze: DataFrame) -> list[str]:
+    """Where the row stood in its file, if bronze knows; the table to be written takes it no further."""
+    return [c for c in FILE_ORDER if c in bronze.columns]
+
+
 def _origin(batch_id: str, source_system: str) -> list[Column]:
     return [F.lit(batch_id).alias("batch_id"), F.lit(source_system).alias("source_system")]
 
@@ -68,6 +74,7 @@ def transform_customers(bronze: DataFrame, batch_id: str, as_of: date, states: D
         "state", "state_name", "region",
         *_versioned(as_of),
         *_origin(batch_id, "CSV"),
+        *_place(bronze),
     ).where(F.col("customer_id").isNotNull())
 
 
@@ -79,6 +86,7 @@ def transform_sellers(bronze: DataFrame, batch_id: str, as_of: date, states: Dat
         "state", "state_name", "region",
         *_versioned(as_of),
         *_origin(batch_id, "CSV"),
+        *_place(bronze),
     ).where(F.col("seller_id").isNotNull())
 
 
@@ -92,6 +100,7 @@ def transform_orders(bronze: DataFrame) -> DataFrame:
         to_moment(F.col("order_approved_at")).alias("order_approved_at"),
         to_moment(F.col("order_delivered_at")).alias("order_delivered_at"),
         to_day(F.col("order_estimated_delivery")).alias("order_estimated_delivery"),
+        *_place(bronze),
     ).where(F.col("order_id").isNotNull() & F.col("customer_id").isNotNull())
     return typed.select("*", *delivery_columns()).withColumn(
         "order_status_category", mapped(F.col("order_status"), lookups.STATUS_GROUPS, "unknown")
@@ -122,6 +131,7 @@ def transform_products(bronze: DataFrame, batch_id: str, categories: DataFrame |
             ],
             *[to_decimal(F.col(c), 10, 2).alias(c) for c in ("product_weight_g", *sizes)],
             F.round(length * height * width, 2).try_cast("decimal(12,2)").alias("product_volume_cm3"),
+            *_place(bronze),
         )
         .where(F.col("product_id").isNotNull())
         .join(known, F.col("product_category_name") == F.col("_pt"), "left")

@@ -97,6 +97,25 @@ def run_states(runs: DataFrame) -> DataFrame:
     return one_per_key(runs, ["batch_id"], ["recorded_at", "end_time"])
 
 
+def loads_of(runs: DataFrame, table: str) -> DataFrame:
+    """batch, run_mode and end of the finished bronze loads of a table."""
+    suffix = f".bronze.{table}"
+    done = run_states(runs).where((F.col("pipeline_name") == f"bronze.{table}") & F.col("status").isin("SUCCESS", "PARTIAL"))
+    return done.select(F.replace("batch_id", F.lit(suffix), F.lit("")).alias("batch"), "run_mode", "start_time")
+
+
+def superseded(loads: DataFrame) -> DataFrame:
+    """The batches loaded before the last full load, which holds all that they held. loads: batch, run_mode,
+    start_time."""
+    last = loads.agg(F.max(F.when(F.col("run_mode") == "FULL", F.struct("start_time", "batch"))).alias("last"))
+    return loads.join(F.broadcast(last), F.struct("start_time", "batch") < F.col("last")).select("batch").distinct()
+
+
+def superseded_batches(runs: DataFrame, table: str) -> list[str]:
+    """One id per earlier load of the table: a list as long as the table's history of runs."""
+    return sorted(r["batch"] for r in superseded(loads_of(runs, table)).collect())
+
+
 def log_error(warehouse: Warehouse, batch_id: str, name: str, error: BaseException, now: datetime) -> None:
     table = "metadata.error_log"
     row = {

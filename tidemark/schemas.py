@@ -51,10 +51,23 @@ TEXT_LIMITS = {
     },
 }
 
+# The decimals that numbers in the raw text must fit.
+NUMBER_LIMITS = {
+    "products": {
+        "product_name_length": (10, 0), "product_description_length": (10, 0), "product_photos_qty": (10, 0),
+        "product_weight_g": (10, 2), "product_length_cm": (10, 2), "product_height_cm": (10, 2),
+        "product_width_cm": (10, 2),
+    },
+    "order_items": {"order_item_id": (10, 0), "price": (12, 2), "freight_value": (12, 2)},
+    "payments": {"payment_sequential": (10, 0), "payment_installments": (10, 0), "payment_value": (12, 2)},
+}
+
+# source_block and source_row: where in its file a row stood, so that the last of several can be told.
 AUDIT = (
     "source_file string, source_system string, batch_id string, load_timestamp timestamp_ntz, "
-    "load_date date, is_rejected boolean, reject_reason string"
+    "load_date date, is_rejected boolean, reject_reason string, source_block bigint, source_row bigint"
 )
+FILE_ORDER = ["source_file", "source_block", "source_row"]
 VERSIONED = "effective_start_date date, effective_end_date date, is_current boolean, version_number int"
 STAMPED = "created_at timestamp_ntz, updated_at timestamp_ntz"
 ORIGIN = "batch_id string, source_system string"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import null_if_in
@@ -12,12 +12,17 @@ from tidemark.sources.position import opened, position
 from tidemark.sources.tables import newer_than
 
 
-def has_quoted_newlines(spark: SparkSession, path: str, encoding: str = "utf-8") -> bool:
-    """Whether some field may span lines. If one does, a line holds an odd number of quotes, so files
-    without such a line can be split and read by many tasks."""
+def with_quoted_newlines(spark: SparkSession, path: str, encoding: str = "utf-8") -> list[str]:
+    """The files in which some field may span lines. If one does, a line holds an odd number of quotes, so the
+    other files can be split and read by many tasks."""
     lines = opened(lambda: spark.read.option("encoding", encoding).text(path), path)
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not lines.where(quotes % 2 == 1).isEmpty()
+    odd = lines.where(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("file")).distinct()
+    return sorted(r["file"] for r in odd.collect())
+
+
+def has_quoted_newlines(spark: SparkSession, path: str, encoding: str = "utf-8") -> bool:
+    return bool(with_quoted_newlines(spark, path, encoding))
 
 
 def read_csv(
@@ -32,20 +37,24 @@ def read_csv(
 ) -> DataFrame:
     """Text columns named by the header; the usual texts for "no value" become NULL.
 
-    Whether fields contain line breaks is found out unless `multi_line` says so: only then is a file
+    Whether fields contain line breaks is found out for each file unless `multi_line` says so: only such a file is
     read by one task. With a watermark, only rows after it are kept. `dtypes` names Spark types for some
     columns; a value that does not fit is an error.
     """
-    if multi_line is None:
-        multi_line = has_quoted_newlines(spark, path, encoding)
-    raw = opened(
-        lambda: spark.read.options(header=True, multiLine=multi_line, escape='"', encoding=encoding).csv(path), path
-    )
-    rows = raw.select(
-        *[null_if_in(F.col(f"`{c}`"), CSV_NULL_TEXTS).alias(c) for c in raw.columns],
-        *([position()] if keep_position else []),
-    )
-    if watermark_col and watermark_value and watermark_col in raw.columns:
+    odd = with_quoted_newlines(spark, path, encoding) if multi_line is None else []
+    in_odd = F.col("_metadata.file_path").isin(odd)
+
+    def parsed(whole: bool, wanted: Column) -> DataFrame:
+        raw = opened(lambda: spark.read.options(header=True, multiLine=whole, escape='"', encoding=encoding).csv(path), path)
+        return raw.where(wanted).select(
+            *[null_if_in(F.col(f"`{c}`"), CSV_NULL_TEXTS).alias(c) for c in raw.columns],
+            *([position()] if keep_position else []),
+        )
+
+    rows = parsed(bool(multi_line), ~in_odd if odd else F.lit(True))
+    if odd:
+        rows = rows.unionByName(parsed(True, in_odd))
+    if watermark_col and watermark_value and watermark_col in rows.columns:
         rows = newer_than(rows, watermark_col, watermark_value)
     for name, kind in (dtypes or {}).items():
         rows = rows.withColumn(name, F.col(f"`{name}`").cast(kind))

@@ -14,6 +14,7 @@ In a versioned table with history, `is_current=true` holds the whole current sta
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -94,15 +95,16 @@ class Warehouse:
         """The tables that have been written."""
         return [t for t in TABLES if (layer is None or t.startswith(layer + ".")) and self.exists(t)]
 
-    def write_batch(self, df: DataFrame, table: str) -> None:
-        """Write one batch in place of whatever that batch wrote before."""
-        (
-            align_columns(df, schema_of(table))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*BATCHED[table])
-            .parquet(self.path(table))
-        )
+    def write_batch(self, df: DataFrame, table: str, *batch: str) -> None:
+        """Write one batch in place of whatever that batch wrote before, also if it has no rows now.
+
+        `batch` gives the values of the table's partition columns, which name the folder.
+        """
+        keys = BATCHED[table]
+        if len(batch) != len(keys):
+            raise ValueError(f"{table} is written by {', '.join(keys)}")
+        folder = "/".join(f"{k}={quote(v, safe='')}" for k, v in zip(keys, batch, strict=True))
+        align_columns(df, schema_of(table)).drop(*keys).write.mode("overwrite").parquet(f"{self.path(table)}/{folder}")
 
     def append(self, df: DataFrame, table: str) -> None:
         align_columns(df, schema_of(table)).write.mode("append").parquet(self.path(table))
@@ -122,6 +124,9 @@ class Warehouse:
         for layer in dict.fromkeys(t.split(".")[0] for t in TABLES):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         for table in TABLES:
+            if table in BATCHED:
+                self._publish_batches(table)
+                continue
             try:
                 self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS {self._select(table)}")
             except AnalysisException as error:
@@ -131,10 +136,22 @@ class Warehouse:
                 self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS {_empty(schema_of(table))}")
         return list(TABLES)
 
+    def _publish_batches(self, table: str) -> None:
+        """A table over the batches' folders with the declared types: a batch id stays the text it is."""
+        kind = self.spark.sql(f"SHOW VIEWS IN {table.split('.')[0]} LIKE '{table.split('.')[1]}'")
+        self.spark.sql(f"DROP {'TABLE' if kind.isEmpty() else 'VIEW'} IF EXISTS {table}")
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema_of(table))
+        keys = ", ".join(BATCHED[table])
+        self.spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({keys}) LOCATION '{self.path(table)}'"
+        )
+        if self.exists(table):
+            self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
     def _select(self, table: str) -> str:
         schema = schema_of(table)
         fields = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
-        if table in BATCHED or table in APPENDED:
+        if table in APPENDED:
             return f"SELECT {fields} FROM parquet.`{self.path(table)}`"
         version = self.version(table)
         if table in HISTORY:
