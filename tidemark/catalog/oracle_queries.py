@@ -315,6 +315,16 @@ ORACLE: dict[str, str] = {
         WHERE seller_key IN (SELECT s_suppkey + 1 FROM supplier JOIN places ON s_nationkey = n_nationkey WHERE r_name = 'EUROPE') GROUP BY 2
       UNION ALL SELECT 'delivery_date_key', CAST(delivery_date_key AS BIGINT), count(*) FROM fact
         WHERE delivery_date_key >= 19990101 GROUP BY 2""",
+    "dq_precision_rejects": """SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS order_item_id,
+        CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 1000000 AS VARCHAR) AS price, 'Out of range: price; ' AS reject_reason
+      FROM lineitem WHERE l_returnflag = 'A' AND CAST(l_extendedprice AS DECIMAL(12,2)) * 1000000 >= 10000000000""",
+    "batch_replaced": """WITH p AS (SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_totalprice AS DECIMAL(12,2)) AS payment_value FROM orders),
+      b AS (SELECT *, lpad(CAST(CAST(floor(payment_value) AS BIGINT) % 4 AS VARCHAR), 4, '0') AS batch_id FROM p)
+      SELECT * FROM b WHERE batch_id <> '0002' AND (batch_id <> '0001' OR payment_value < 100000)""",
+    "fact_batches": """WITH y AS (SELECT year(o_orderdate) AS y FROM orders GROUP BY 1)
+      SELECT CAST(y AS VARCHAR) AS batch FROM y WHERE y >= (SELECT max(y) FROM y WHERE y % 2 = 0)""",
+    "upsert_last_in_file": """SELECT CAST(o_custkey AS VARCHAR) AS order_id, arg_max(o_orderstatus, o_orderkey) AS order_status
+      FROM orders GROUP BY o_custkey""",
     "bronze_order_items": f"""SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber || '.0' AS order_item_id, ' ' || l_partkey AS product_id,
         CAST(NULL AS VARCHAR) AS seller_id, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipping_limit_date,
         CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) || CASE WHEN l_returnflag = 'R' THEN 'd' ELSE '' END AS price,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
@@ -14,9 +15,10 @@ from tidemark.catalog import tables as t
 from tidemark.functions.moments import moment
 from tidemark.operators import audit, history, quality, rejects
 from tidemark.plans import dimensions, fact, kpis, mart, reports, silver
-from tidemark.runs import last_watermarks, run_states
-from tidemark.session import settled
+from tidemark.runs import last_watermarks, run_states, superseded
+from tidemark.session import ensure_checkpoint_dir, settled
 from tidemark.sources import newer_than, read_query, read_table
+from tidemark.warehouse import Warehouse
 
 RUN_TS = datetime(2024, 6, 1, 12, 0, 0)
 AS_OF = date(2024, 6, 1)
@@ -155,9 +157,69 @@ def dq_fk_orphans(spark, d):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def dq_precision_rejects(spark, d):
+    """Line items of which some cost more than their column holds; what is no number stays."""
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    items = t.table(spark, d, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_linenumber").cast("string").alias("order_item_id"),
+        F.when(F.col("l_returnflag") == "A", (price * 1000000).cast("string"))
+        .when(F.col("l_returnflag") == "R", F.lit("dear"))
+        .otherwise(price.cast("string"))
+        .alias("price"),
+    )
+    checks = quality.Validator(items, "order_items", BATCH, order_by=["order_id", "order_item_id"])
+    return checks.check_precision({"price": (12, 2)}, "ERROR").rejected()
+
+
 # Bronze and sources -----------------------------------------------------------------------------
 
 
+def _scratch(spark: SparkSession) -> Warehouse:
+    """A warehouse of one query's own, below the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return Warehouse(spark, f"{spark.sparkContext.getCheckpointDir()}/warehouse-{uuid.uuid4().hex}")
+
+
+@query
+def batch_replaced(spark, d):
+    """Payments written in four batches, of which one comes again with fewer rows and one with none."""
+    warehouse = _scratch(spark)
+    paid = t.payments(spark, d).withColumn("batch_id", F.lpad(F.pmod("payment_value", F.lit(4)).cast("int").cast("string"), 4, "0"))
+    paid = settled(paid)
+    for batch in ("0000", "0001", "0002", "0003"):
+        warehouse.write_batch(paid.where(F.col("batch_id") == batch), "silver.payments", batch)
+    warehouse.write_batch(paid.where("batch_id = '0001' and payment_value < 100000"), "silver.payments", "0001")
+    warehouse.write_batch(paid.limit(0), "silver.payments", "0002")
+    return warehouse.read("silver.payments").select("order_id", "payment_value", "batch_id")
+
+
+@query
+def fact_batches(spark, d):
+    """Years as loads, the even ones full: in force are the last full one and what came after it."""
+    loads = t.table(spark, d, "orders").groupBy(F.year("o_orderdate").alias("y")).agg(F.max("o_orderdate").alias("start_time"))
+    loads = loads.select(
+        F.col("y").cast("string").alias("batch"),
+        F.when(F.col("y") % 2 == 0, "FULL").otherwise("INCREMENTAL").alias("run_mode"),
+        "start_time",
+    )
+    return loads.select("batch").join(superseded(loads), "batch", "left_anti")
+
+
+@query
+def upsert_last_in_file(spark, d):
+    """Orders as states of their customer, in the order of a file: the last one stands, not the greatest."""
+    place = [F.lit("f").alias("source_file"), F.lit(0).alias("source_block"), F.col("o_orderkey").alias("source_row")]
+    states = t.table(spark, d, "orders").select(
+        F.col("o_custkey").cast("string").alias("order_id"), F.col("o_orderstatus").alias("order_status"), *place
+    )
+    existing = states.select("order_id", "order_status").limit(0)
+    return history.upsert(existing, states, ["order_id"], order_by=schemas.FILE_ORDER)
+
+
+
+
 @query
 def bronze_order_items(spark, d):
     """Audit columns, then the target's columns: `colour` is dropped, `seller_id` is missing."""
