@@ -7,8 +7,8 @@ a set of (trie node, errors so far). States and moves are found when first met a
 through a finished automaton, character by character, and most die within a few. A hit is weighed by the words
 around it: quotation marks, verbs of saying and words about words speak for a quotation. A document's counts of
 plain and quoted, exact and misspelled hits enter a logistic model whose weights are fitted to all labelled rows
-outside the held-out fold, towards stated prior weights; as counts are small numbers, the fit needs one row per
-combination of them.
+with hits outside the held-out fold, towards stated prior weights; as counts are small numbers, the fit needs one
+row per combination of them. A text without hits scores the share of toxic rows among such labelled rows.
 
 Defined results: null or empty text has no hits and scores the model's base rate; texts of any length are read
 whole; ids may be null or repeated (a row's score depends on its text alone); rows without a label do not
@@ -47,7 +47,8 @@ WINDOW = 4
 FEATURES = ("exact_plain", "exact_quoted", "near_plain", "near_quoted")
 #: Counts above this weigh as much as this.
 LEVELS = 3
-#: Intercept and weights before any label is seen, and how many rows' worth of trust they have.
+#: Intercept and weights before any label is seen, and how many rows' worth of trust they have. The intercept also
+#: gives the score of a text without hits then.
 PRIOR = (-3.0, 5.0, 0.5, 3.5, 0.2)
 PRIOR_ROWS = 1.0
 HELD_OUT = (5, 0)
@@ -253,8 +254,13 @@ def learned_terms(
 
 
 def fit(counted: DataFrame, labels: DataFrame, fold: tuple[int, int] | None = HELD_OUT) -> list[float]:
-    """Intercept and weights, from the counts (doc_id and FEATURES) of all labelled rows outside the fold."""
+    """Score without hits, then intercept and weights, from the counts (doc_id and FEATURES) of all labelled rows
+    outside the fold."""
     groups = counted.join(training_rows(labels, fold), "doc_id").groupBy(*FEATURES, "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
+    none = {r["toxic"]: r["n"] for r in groups if not any(r[f] for f in FEATURES)}
+    prior_base = float(1 / (1 + np.exp(-PRIOR[0])))
+    base = (none.get(1, 0) + PRIOR_ROWS * prior_base) / (sum(none.values()) + PRIOR_ROWS)
+    groups = [r for r in groups if any(r[f] for f in FEATURES)]
     x = np.array([[1.0, *(r[f] for f in FEATURES)] for r in groups]).reshape(-1, 1 + len(FEATURES))
     y, n = np.array([r["toxic"] for r in groups], float), np.array([r["n"] for r in groups], float)
     prior = np.array(PRIOR)
@@ -267,14 +273,14 @@ def fit(counted: DataFrame, labels: DataFrame, fold: tuple[int, int] | None = HE
         w += step * min(1.0, 2.0 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-8:
             break
-    return w.tolist()
+    return [base, *w.tolist()]
 
 
 def probability(weights: list[float], counts: Column) -> Column:
-    margin = reduce(
-        lambda s, wf: s + F.lit(wf[0]) * counts[wf[1]], zip(weights[1:], FEATURES, strict=True), F.lit(weights[0])
-    )
-    return 1 / (1 + F.exp(-margin))
+    base, intercept, *rest = weights
+    margin = reduce(lambda s, wf: s + F.lit(wf[0]) * counts[wf[1]], zip(rest, FEATURES, strict=True), F.lit(intercept))
+    some = reduce(lambda s, f: s | (counts[f] > 0), FEATURES, F.lit(False))
+    return F.when(some, 1 / (1 + F.exp(-margin))).otherwise(F.lit(base))
 
 
 def counted(
