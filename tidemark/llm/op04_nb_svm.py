@@ -158,7 +158,8 @@ def fit(
     )
     if fold:
         marked = marked.where(remainder("doc_id", fold[0]) != fold[1])
-    taught = settled(found.join(marked, "doc_id").select("doc_id", "features", "quality"))
+    # Labels grow with the documents: joined by a shuffle at any size.
+    taught = settled(found.join(marked.hint("merge"), "doc_id").select("doc_id", "features", "quality"))
     totals = {r["quality"]: r["n"] for r in taught.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(totals) < 2:
         only = 10.0 * (1 if 1 in totals else -1) if totals else 0.0
