@@ -284,3 +284,39 @@ def test_arrivals_load_each_file_once(spark, tmp_path):
     (folder / "b.csv").write_text(head + "c2,u,1,x,SP\n")
     assert arrive() == [("c1", "a.csv"), ("c2", "b.csv")]
     assert warehouse.read("bronze.rejected_records").count() == 2
+
+
+def test_empty_rewrites_and_ids_as_text(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    items = spark.sql("SELECT 'o1' AS order_id, '0042' AS batch_id")
+    warehouse.write_batch(items, "silver.order_items", "0042")
+    warehouse.publish()
+    assert [r.batch_id for r in spark.sql("SELECT batch_id FROM silver.order_items").collect()] == ["0042"]
+    warehouse.write_batch(items.limit(0), "silver.order_items", "0042")
+    assert warehouse.read("silver.order_items").count() == 0
+
+
+def test_overflow_and_new_columns_leave_a_trace(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw_files(raw)
+    (raw / "order_items.csv").write_text(
+        "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value,colour\n"
+        "o1,1,p1,s1,2024-01-10 00:00:00,12345678901.50,10.00,red\no1,2,p2,s2,2024-01-10 00:00:00,9999999999.00,5,red\n"
+        "o2,1,p1,s1,2024-02-10 00:00:00,abc,1.00,red\n", encoding="utf-8")
+    sources = [s for s in pipeline.SOURCES if s.table == "order_items"]
+    outcome = pipeline.run_bronze(spark, str(raw), str(tmp_path / "wh"), RUN_TS, sources)
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    assert (outcome.errors, outcome.rows) == ({}, {"bronze.order_items": 1})
+    reasons = sorted(r.reject_reason for r in warehouse.read("bronze.rejected_records").collect())
+    assert reasons == ["Out of range: price; ", "Out of range: total_item_value; "]
+    change = warehouse.read("metadata.schema_changes").first()
+    assert (change.table_name, change.column_name, change.change_type) == ("bronze.order_items", "colour", "ADD_COLUMN")
+
+
+def test_last_row_of_a_file_wins_under_manual_rules(spark, tmp_path):
+    raw, root = raw_files(tmp_path / "raw"), str(tmp_path / "wh")
+    sources = [s for s in pipeline.MANUAL_SOURCES if s.table == "orders"]
+    assert pipeline.run_bronze(spark, raw, root, RUN_TS, sources, batch_id="B").errors == {}
+    warehouse = Warehouse(spark, root)
+    pipeline.load_silver(warehouse, "orders", "B", RUN_TS)
+    assert warehouse.read("silver.orders").where("order_id = 'o2'").first().order_status == "created"

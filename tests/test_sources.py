@@ -112,3 +112,15 @@ def test_table_source(spark):
     df.createOrReplaceTempView("things")
     assert rows(read_query(spark, "SELECT id FROM things WHERE k = :k", {"k": "b"})) == [(1,)]
     assert newer_than(spark.createDataFrame([("x",), (None,)], "t string"), "t", "2024-01-01").count() == 0
+
+
+def test_xml_root_is_found_past_comments(spark, tmp_path):
+    path = write(tmp_path / "c.xml", "<?xml version='1.0'?>\n<!-- <old>\n<older> -->\n<rows>\n<r><a>1</a></r>\n<s><a>2</a></s>\n</rows>\n")
+    assert sorted(rows(read_xml(spark, path))) == [("1",), ("2",)]
+
+
+def test_csv_files_are_split_or_read_whole_one_by_one(spark, tmp_path):
+    write(tmp_path / "a.csv", 'id,v\n1,"two\nlines"\n')
+    write(tmp_path / "b.csv", "id,v\n2,plain\n")
+    assert sorted(rows(read_csv(spark, str(tmp_path)))) == [("1", "two\nlines"), ("2", "plain")]
+    assert read_csv(spark, str(tmp_path), keep_position=True).select("_position.file").distinct().count() == 2

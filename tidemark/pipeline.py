@@ -24,13 +24,14 @@ from tidemark.plans.mart import build_revenue_mart
 from tidemark.runs import (
     PipelineRun,
     get_watermark,
+    log_schema_changes,
     new_batch_id,
     one_row,
     run_states,
     superseded_batches,
     update_watermark,
 )
-from tidemark.schemas import FILE_ORDER, NUMBER_LIMITS, SOURCE_COLUMNS, TEXT_LIMITS
+from tidemark.schemas import FILE_ORDER, NUMBER_LIMITS, SOURCE_COLUMNS, TEXT_LIMITS, text_schema
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import newer_than, read_csv, read_json, read_xml
 from tidemark.warehouse import EXPORTED, Warehouse
@@ -148,6 +149,8 @@ def load_bronze(
     """
     table = f"bronze.{source.table}"
     staged = stage(warehouse, df, source.table, batch_id)
+    found = T.StructType([f for f in staged.schema if f.name != POSITION])
+    log_schema_changes(warehouse, table, text_schema(SOURCE_COLUMNS[source.table]), found, batch_id, run_ts)
     checks = source.rules(Validator(staged, table, batch_id))
     metrics = [*checks.count_columns(), F.count_if(checks.is_rejected()).alias("rejected")]
     if source.watermark_col:
@@ -158,14 +161,14 @@ def load_bronze(
     marked = checks.marked().observe(seen, *metrics)
     valid = marked.where(~checks.is_rejected())
     place = staged.schema[POSITION].dataType
+    at, row = F.col(POSITION), None
+    if isinstance(place, T.StructType) and POSITION in place.names:  # one of several records of a document
+        row, at, place = at["record"], at[POSITION], place[POSITION].dataType
     known_file = isinstance(place, T.StructType) and "file" in place.names
-    file = F.col(f"{POSITION}.file") if known_file else F.lit(source.file)
-    placed = valid.withColumns(
-        {
-            "source_block": F.col(f"{POSITION}.block") if known_file else F.lit(0),
-            "source_row": F.col(f"{POSITION}.row") if known_file else F.col(POSITION),
-        }
-    )
+    file = at["file"] if known_file else F.lit(source.file)
+    if row is None:
+        row = at["row"] if known_file else at
+    placed = valid.withColumns({"source_block": at["block"] if known_file else F.lit(0), "source_row": row})
     warehouse.write_batch(add_audit_columns(placed, source.system, batch_id, run_ts, file), table, batch_id)
     counts = seen.get
     watermark = counts.get("watermark")

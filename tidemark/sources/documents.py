@@ -86,14 +86,20 @@ _XML_OPTIONS = {
     "inferSchema": False, "mode": "FAILFAST", "attributePrefix": "_attr_", "ignoreSurroundingSpaces": False
 }
 _TAG = re.compile(r"<([A-Za-z_][\w.\-]*)")
+_COMMENT = re.compile(r"<!--.*?(-->|\Z)", re.DOTALL)
 
 
 def _root_tag(spark: SparkSession, path: str) -> str:
-    """Name of the first element, found in the first lines that hold one."""
-    lines = spark.read.text(path).where(F.col("value").rlike(_TAG.pattern)).take(1)
-    if not lines:
-        raise ValueError(f"no XML element in {path}")
-    return _TAG.search(lines[0][0]).group(1)
+    """Name of the first element that stands in no comment, from as many first lines as it takes."""
+    wanted = 100
+    while True:
+        lines = spark.read.text(path).take(wanted)
+        found = _TAG.search(_COMMENT.sub("", "\n".join(r[0] for r in lines)))
+        if found:
+            return found.group(1)
+        if len(lines) < wanted:
+            raise ValueError(f"no XML element in {path}")
+        wanted *= 10
 
 
 def read_xml(
