@@ -7,10 +7,11 @@ smallest value; two registers are equal with just the probability of the weighte
 Points come in rising order, so a process stops once it is past the largest register.
 
 Texts with equal multisets are one class, and only one of them goes on. Classes that share a band of registers are
-candidates. Not all pairs of a bucket are made: each of its members is compared with the member that
-meets most others anywhere, then those of other components among themselves, and at last, where a bucket still
-holds several components, all pairs across these. Candidates whose registers agree too little to leave any doubt are
-dropped, the others are verified on the multisets themselves. Verified pairs are links; components of links are groups.
+candidates. The members of a band's bucket are dealt into blocks of bounded size, and each pair of blocks is
+one piece of work: no row is made for a pair of documents. There, pairs that met in an earlier band are left out, and
+so are those whose registers agree too little to leave any doubt; the others are verified on the multisets
+themselves, as products of 0-1 vectors. Of the verified pairs, which are links, a piece returns those that connect
+what was apart in it; components of these are groups, the same as of all links.
 
 Defined results: a word is what stands between white space, in lower case, without marks at its ends; texts of one
 to four words are one shingle; texts without words (null, empty, marks only) are one class; rows with a null id
@@ -38,6 +39,10 @@ BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: A pair of similarity 0.8 agrees in fewer than this share of its registers once in a hundred million times.
 LEAST_AGREEMENT = 0.6
+#: Documents in a block of a bucket; two blocks are compared at a time.
+BLOCK = 512
+#: Columns of 0-1 vectors that are multiplied at a time.
+COLUMNS = 4096
 
 EDGES = re.compile(r"^\W+|\W+$")
 U = np.uint64
@@ -158,53 +163,116 @@ def sketched(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     return rows_of(docs, id_column, text_column).mapInArrow(by_batch(make), schema)
 
 
-def _agreeing(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose registers agree in at least this share."""
-    own = sketches.select("doc_id", "registers")
-    both = pairs.join(own.toDF("a", "ra"), "a").join(own.toDF("b", "rb"), "b")
-
-    def keep(batches):
+def _shared_counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Size of the overlap of sets a[i] and b[j] for each pair (i, j). A set is an array of distinct numbers."""
+    if len(pairs) * 8 < len(a) + len(b):
+        return np.array([len(np.intersect1d(sets[a[i]], sets[b[j]], assume_unique=True)) for i, j in pairs])
+    left, right = np.concatenate([sets[x] for x in a]), np.concatenate([sets[x] for x in b])
+    common = np.intersect1d(left, right)  # what only one side has is in no overlap
+    rows_a, rows_b = (np.repeat(np.arange(len(x)), [len(sets[y]) for y in x]) for x in (a, b))
+    keep_a, keep_b = np.isin(left, common), np.isin(right, common)
+    at_a, at_b = np.searchsorted(common, left[keep_a]), np.searchsorted(common, right[keep_b])
+    rows_a, rows_b = rows_a[keep_a], rows_b[keep_b]
+    total = np.zeros((len(a), len(b)), np.float32)
+    for start in range(0, len(common), COLUMNS):
+        x, y = np.zeros((len(a), COLUMNS), np.float32), np.zeros((len(b), COLUMNS), np.float32)
+        for m, rows, at in ((x, rows_a, at_a), (y, rows_b, at_b)):
+            inside = (at >= start) & (at < start + COLUMNS)
+            m[rows[inside], at[inside] - start] = 1
+        total += x @ y.T
+    return total[pairs[:, 0], pairs[:, 1]].astype(np.int64)
+
+
+def _connecting(
+    ids: np.ndarray, part: np.ndarray, registers: np.ndarray, bands: np.ndarray, band: int, sets: list, threshold: float
+) -> list[tuple[int, int]]:
+    """Links within one block (one part) or between two that connect what was apart among these documents."""
+    first = part == part.min()
+    a = np.flatnonzero(first)
+    b = a if first.all() else np.flatnonzero(~first)
+    pairs = []
+    for start in range(0, len(a), 64):
+        rows = a[start : start + 64]
+        likely = (registers[rows][:, None] == registers[b][None]).mean(axis=2) >= LEAST_AGREEMENT
+        likely &= ~(bands[rows][:, None, :band] == bands[b][None, :, :band]).any(axis=2)
+        if b is a:
+            likely &= (start + np.arange(len(rows)))[:, None] < np.arange(len(b))[None]
+        pairs.append(np.argwhere(likely) + [start, 0])
+    pairs = np.concatenate(pairs)
+    if not len(pairs):
+        return []
+    used_a, used_b = np.unique(pairs[:, 0]), np.unique(pairs[:, 1])
+    inner = np.stack([np.searchsorted(used_a, pairs[:, 0]), np.searchsorted(used_b, pairs[:, 1])], axis=1)
+    shared = _shared_counts(sets, a[used_a], b[used_b], inner)
+    size = np.array([len(s) for s in sets])
+    total = size[a[pairs[:, 0]]] + size[b[pairs[:, 1]]] - shared
+    parent = list(range(len(ids)))
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    found = []
+    for i, j in pairs[shared >= threshold * np.maximum(1, total)].tolist():
+        x, y = top(a[i]), top(b[j])
+        if x != y:
+            parent[x] = y
+            found.append((int(ids[a[i]]), int(ids[b[j]])))
+    return found
+
+
+def _occurrences(texts: pa.Array, words: int) -> list[np.ndarray]:
+    """Each text's multiset as a set: the k-th occurrence of a shingle is an element of its own."""
+    text, shingle, times = shingles(texts, words)
+    at = np.repeat(np.arange(len(text)), times)
+    k = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+    own = mixed(shingle[at] + mixed(k.astype(U)))
+    edges = np.searchsorted(text[at], np.arange(len(texts) + 1))
+    return [own[x:y] for x, y in zip(edges, edges[1:], strict=False)]
+
+
+def _links(blocks: DataFrame, threshold: float, words: int) -> DataFrame:
+    """(a, b): connecting links of each piece (band, bucket, i, j). blocks: these, doc_id, part, registers, bands,
+    text; rows of a piece lie together."""
+
+    def pieces(batches):
+        """Tables that hold whole pieces, a bounded number of bytes beyond a single piece at a time."""
+        rest = None
         for batch in batches:
-            left = np.frombuffer(b"".join(batch.column("ra").to_pylist()), "<f4").reshape(batch.num_rows, -1)
-            right = np.frombuffer(b"".join(batch.column("rb").to_pylist()), "<f4").reshape(batch.num_rows, -1)
-            good = pa.array((left == right).mean(axis=1) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(good) for c in ("a", "b")], names=["a", "b"])
-
-    return both.select("a", "b", "ra", "rb").mapInArrow(keep, "a long, b long")
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, words: int) -> DataFrame:
-    """The pairs whose multisets overlap enough, with their similarity. docs: doc_id, text, one row per id."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    own = settled(docs.join(wanted, "doc_id", "left_semi"))
-    both = pairs.join(own.toDF("a", "ta"), "a").join(own.toDF("b", "tb"), "b")
-
-    def make():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            n = batch.num_rows
-            sets = pa.concat_arrays([batch.column("ta"), batch.column("tb")])
-            distinct = sets.dictionary_encode()  # the heads of large groups stand in many pairs
-            which = distinct.indices.to_numpy()
-            text, shingle, times = shingles(distinct.dictionary, words)
-            edge = np.searchsorted(text, np.arange(len(distinct.dictionary) + 1))
-            order = np.lexsort((shingle, text))
-            shingle, times = shingle[order], times[order]
-            found = np.zeros(n)
-            for i in range(n):
-                a, b = which[i], which[n + i]
-                sa, sb = slice(edge[a], edge[a + 1]), slice(edge[b], edge[b + 1])
-                _, ia, ib = np.intersect1d(shingle[sa], shingle[sb], assume_unique=True, return_indices=True)
-                shared = np.minimum(times[sa][ia], times[sb][ib]).sum()
-                found[i] = shared / max(1, times[sa].sum() + times[sb].sum() - shared)
-            good = pa.array(found >= threshold)
-            return pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(good), batch.column("b").filter(good), pa.array(found).filter(good)],
-                names=["a", "b", "similarity"],
+            for start in range(0, batch.num_rows, 2 * BLOCK):
+                now = pa.Table.from_batches([batch.slice(start, 2 * BLOCK)])
+                now = now if rest is None else pa.concat_tables([rest, now])
+                keys = np.stack([now.column(c).to_numpy() for c in ("band", "bucket", "i", "j")], axis=1)
+                changes = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+                if len(changes):
+                    yield now.slice(0, changes[-1]), np.concatenate([[0], changes])
+                    rest = now.slice(changes[-1])
+                else:
+                    rest = now
+        if rest is not None and rest.num_rows:
+            yield rest, np.array([0, rest.num_rows])
+
+    def run(batches):
+        for rows, edges in pieces(batches):
+            texts = rows.column("text").combine_chunks().dictionary_encode()
+            distinct = _occurrences(texts.dictionary, words)
+            which = texts.indices.to_numpy()
+            ids, part = rows.column("doc_id").to_numpy(), rows.column("part").to_numpy()
+            band = rows.column("band").to_numpy()
+            registers = np.frombuffer(b"".join(rows.column("registers").to_pylist()), "<u4").reshape(len(ids), -1)
+            bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+            found = []
+            for x, y in zip(edges, edges[1:], strict=False):
+                sets = [distinct[w] for w in which[x:y]]
+                found += _connecting(ids[x:y], part[x:y], registers[x:y], bands[x:y], int(band[x]), sets, threshold)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())],
+                names=["a", "b"],
             )
 
-        return step
-
-    return both.select("a", "b", "ta", "tb").mapInArrow(by_batch(make), "a long, b long, similarity double")
+    return blocks.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(
@@ -214,7 +282,7 @@ def near_duplicates(
     threshold: float = THRESHOLD,
     words: int = WORDS,
 ) -> tuple[DataFrame, DataFrame]:
-    """(groups, links): doc_id, class_id, group_id for each id; verified links between classes.
+    """(groups, links): doc_id, class_id, group_id for each id; verified links that connect the classes of a group.
 
     class_id is the smallest id with an equal multiset, group_id the smallest one reachable by links.
     """
@@ -228,45 +296,20 @@ def near_duplicates(
 
     banded = own.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
     sizes = banded.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = settled(banded.join(sizes, ["band", "bucket"]))
-    # The member of a bucket that meets most others, over all its buckets, stands for it.
-    meets = shared.groupBy("doc_id").agg(F.sum("size").alias("meets"))
-    shared = settled(shared.join(meets, "doc_id").select("band", "bucket", "doc_id", "meets"))
-
-    def stars(buckets: DataFrame) -> DataFrame:
-        head = buckets.groupBy("band", "bucket").agg(
-            F.max(F.struct(F.col("meets"), (-F.col("doc_id")).alias("b"))).alias("head")
-        )
-        pairs = buckets.join(head, ["band", "bucket"]).select(F.col("doc_id").alias("a"), (-F.col("head.b")).alias("b"))
-        return pairs.where("a <> b")
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        likely = settled(_agreeing(pairs, own, LEAST_AGREEMENT))
-        return settled(_verified(likely, docs, threshold, words))
-
-    def apart(links: DataFrame) -> DataFrame:
-        """Members of the buckets that hold several components, with their component."""
-        found = components(links.select("a", "b"))
-        marked = shared.join(found.toDF("doc_id", "component"), "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id")
-        )
-        several = marked.groupBy("band", "bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        return settled(marked.join(several.where("lo <> hi").select("band", "bucket"), ["band", "bucket"]))
-
-    links = checked(stars(shared))
-    rest = apart(links)
-    # Second: without the component of the bucket's head, the others among themselves.
-    top = rest.groupBy("band", "bucket").agg(
-        F.max(F.struct("meets", (-F.col("doc_id")).alias("b"), "component")).alias("head")
+    shared = settled(banded.join(sizes.hint("merge"), ["band", "bucket"]))
+    # Only documents that share a bucket are needed again; they are many, so both joins shuffle at any size.
+    wanted = shared.select("doc_id").distinct()
+    texts = docs.join(wanted.hint("merge"), "doc_id", "left_semi")
+    needed = texts.join(own.select("doc_id", "registers", "bands").hint("merge"), "doc_id")
+    parts = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = shared.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    key = ["band", "bucket", "i", "j"]
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "band", "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "doc_id", "part"
     )
-    others = rest.join(top, ["band", "bucket"]).where("component <> head.component").drop("head")
-    links = settled(links.union(checked(stars(others))))
-    # Last: all pairs across the components that are left in a bucket.
-    rest = apart(links).select("band", "bucket", "doc_id", "component")
-    across = rest.toDF("band", "bucket", "a", "ca").join(rest.toDF("band", "bucket", "b", "cb"), ["band", "bucket"])
-    links = settled(links.union(checked(across.where("ca < cb").select("a", "b"))).dropDuplicates(["a", "b"]))
-    found = components(links.select("a", "b")).toDF("class_id", "group_id")
+    blocks = paired.join(needed.hint("merge"), "doc_id").repartition(*key).sortWithinPartitions(*key)
+    links = settled(_links(blocks.select(*key, "doc_id", "part", "registers", "bands", "text"), threshold, words))
+    found = components(links).toDF("class_id", "group_id")
     groups = members.join(found, "class_id", "left").select(
         "doc_id", "class_id", F.coalesce("group_id", "class_id").alias("group_id")
     )
