@@ -5,15 +5,15 @@ digest, 44 bits of hash and 20 that check them. A sketch is a table of cells, ea
 enters one cell of each third. Subtracting the sketches of two versions, which is xor again, leaves the digests
 they don't share; a cell whose check is right holds just one of these, and taking it out of its other cells makes
 more such cells, until all are empty. For that, the digests are dealt over as many small tables as the two versions
-need at most, each peeled on its own; rows in which a table gets stuck, or a check was right by chance, are
-sketched again twice as large with other hashes, until none is left.
+need at most, each peeled on its own; what stands in tables that get stuck, or in a row where a check was right by
+chance, is sketched again twice as large with other hashes, until nothing is left.
 
 The next document of a text is found by a sort by range over the ids alone. Texts are shuffled once, by id; a
 document sends the part that is asked for, and its digests, to the one document before it.
 
 Defined results: null text is empty and has no paragraph; two texts without paragraphs are alike (1), such a text
 and another are not (0); repeated ids share the document after them, and are one document to the one before
-(the least text by hash); a null id comes after all others; a table of one row is followed by itself; an empty
+(the least text); a null id comes after all others; a table of one row is followed by itself; an empty
 table gives an empty result.
 """
 
@@ -28,11 +28,12 @@ from tidemark.llm.common import ranked, rows_of, table
 from tidemark.session import settled
 
 #: A paragraph is a line, or of a longer line at least so many characters up to an end of sentence.
-PARAGRAPH = r"[^\n]{64,400}?[.!?](?=\s|$)|[^\n]{1,400}"
+PARAGRAPH = r"[^\n]{96,400}?[.!?](?=\s|$)|[^\n]{1,400}"
 THIRD = 4  # cells in a third of a table; a power of two
 LOAD = 5  # digests that a table gets on average if two versions share nothing
 ROUNDS = 6  # of peeling; a table that needs more counts as stuck
 CHECK = (1 << 20) - 1
+EMPTY = "cast(array() AS array<bigint>)"
 NULL_ID = -(2**63)
 
 
@@ -74,9 +75,11 @@ def _peeled(digests: str, seed: int) -> str:
     """The digests that can be taken out of a table's cells, and the cells left."""
     pure = f"array_distinct(filter(s.cells, c -> c <> 0 AND (xxhash64(c & {~CHECK}L) & {CHECK}) = (c & {CHECK})))"
     taken = f"transform(s.cells, (c, i) -> aggregate(p, c, (a, x) -> if({_hit(seed)}, a ^ x, a)))"
-    turn = f"if(size(p) = 0, s, named_struct('cells', {taken}, 'found', concat(s.found, p)))"
-    start = f"named_struct('cells', {_cells(digests, seed)}, 'found', cast(array() AS array<bigint>))"
-    return f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> {_let('p', pure, turn)})"
+    turn = f"""if(size(p) = 0, named_struct('cells', s.cells, 'found', s.found, 'over', true),
+        named_struct('cells', {taken}, 'found', concat(s.found, p), 'over', false))"""
+    start = f"""named_struct('cells', {_cells(digests, seed)}, 'found', cast(array() AS array<bigint>),
+        'over', size({digests}) = 0)"""
+    return f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> if(s.over, s, {_let('p', pure, turn)}))"
 
 
 def with_fingerprint(df: DataFrame, digests: str, name: str) -> DataFrame:
@@ -85,43 +88,47 @@ def with_fingerprint(df: DataFrame, digests: str, name: str) -> DataFrame:
     return df.withColumn(name, F.concat(F.lpad(F.hex(F.size(digests)), 8, "0"), F.array_join(shown, "")))
 
 
-def _attempt(df: DataFrame, a: str, b: str, into: str, level: int) -> DataFrame:
-    """Add the digests that a and b don't share as `into`; null where some table got stuck.
+def _attempt(a: str, b: str, level: int) -> str:
+    """(found, left): digests that a and b don't share, and those of the tables that got stuck.
 
     Sketches are xors, so the sketch of both arrays together is the difference of the two sketches.
     """
-    tables = f"{2**level} * greatest(1, cast(ceil((size({a}) + size({b})) / {LOAD}) AS int))"
+    tables = f"{2**level} * greatest(1, cast(ceil(size(entries) / {LOAD}) AS int))"
     table_of = f"pmod(shiftright({_place(level)}, 48), tables)"
-    one = _let("e", f"filter(entries, x -> {table_of} = t)", _peeled("e", level))
-    all_ = _let("entries", f"concat({a}, {b})", f"transform(sequence(0, tables - 1), t -> {one})")
-    whole = "if(exists(peeled, s -> exists(s.cells, c -> c <> 0)), null, flatten(transform(peeled, s -> s.found)))"
-    found = _let("found", _let("peeled", _let("tables", tables, all_), whole), "found")
-    return df.withColumn(into, F.expr(found))
+    one = _let("e", f"filter(entries, x -> {table_of} = t)", f"named_struct('of', e, 'end', {_peeled('e', level)})")
+    peeled = f"transform(sequence(0, tables - 1), t -> {one})"
+    stuck = "exists(p.end.cells, c -> c <> 0)"
+    split = f"""named_struct(
+        'found', flatten(transform(filter(peeled, p -> NOT {stuck}), p -> p.end.found)),
+        'left', flatten(transform(filter(peeled, p -> {stuck}), p -> p.of)))"""
+    # A check that was right by chance leaves digests that neither side has: then the whole row is left.
+    sound = f"if(size(array_except(r.found, entries)) = 0, r, named_struct('found', {EMPTY}, 'left', entries))"
+    whole = _let("tables", tables, _let("peeled", peeled, _let("r", split, sound)))
+    return _let("entries", f"concat({a}, {b})", whole)
 
 
 def differences(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
     """Add, for each (a, b) of digest arrays, the digests that stand in one of them only."""
     done, level, columns = [], 0, df.columns
-    none = F.array().cast("array<bigint>")
-    pending = df.select("*", *[F.lit(None).cast("array<bigint>").alias(c) for c in pairs])
+    pending = df
     while True:
         for into, (a, b) in pairs.items():
-            # What was recovered before is not tried again: its arrays count as empty.
-            open_ = F.col(into).isNull()
-            tried = pending.withColumn("__a", F.when(open_, F.col(a)).otherwise(none))
-            tried = tried.withColumn("__b", F.when(open_, F.col(b)).otherwise(none))
-            tried = _attempt(tried, "__a", "__b", "__found", level)
-            # A check that was right by chance would leave digests that neither side has.
-            sound = F.size(F.array_except("__found", F.concat("__a", "__b"))) == 0
-            pending = tried.withColumn(into, F.coalesce(F.col(into), F.when(sound, F.col("__found"))))
-            pending = pending.drop("__a", "__b", "__found")
-        pending = settled(pending.select(*columns, *pairs))
-        solved = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in pairs])
+            found = f"{into}_found"
+            if level:
+                tried = pending.withColumn("__r", F.expr(_attempt(f"{into}_left", EMPTY, level)))
+                pending = tried.withColumn(found, F.concat(found, "__r.found"))
+            else:
+                tried = pending.withColumn("__r", F.expr(_attempt(a, b, level)))
+                pending = tried.withColumn(found, F.col("__r.found"))
+            pending = pending.withColumn(f"{into}_left", F.col("__r.left")).drop("__r")
+        pending = settled(pending)
+        solved = reduce(lambda x, y: x & y, [F.size(f"{c}_left") == 0 for c in pairs])
         done.append(pending.where(solved))
         pending = pending.where(~solved)
         level += 1
         if pending.isEmpty():
-            return reduce(DataFrame.union, done)
+            whole = reduce(DataFrame.unionByName, done)
+            return whole.select(*columns, *[F.col(f"{c}_found").alias(c) for c in pairs])
 
 
 def likeness(a: Column, b: Column, found: Column) -> Column:
@@ -133,8 +140,8 @@ def likeness(a: Column, b: Column, found: Column) -> Column:
 def with_next(docs: DataFrame) -> DataFrame:
     """Each row (__id, text) with next_text, the part of the next document it can need, and next_digests."""
     keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__id"), F.coalesce("text", F.lit("")).alias("text"))
-    lengths = keyed.select("__id", F.char_length("text").alias("n"), F.xxhash64("text").alias("h"))
-    ids = lengths.groupBy("__id").agg(F.max("n").alias("n"), F.min("h").alias("h"), F.count(F.lit(1)).alias("copies"))
+    lengths = keyed.select("__id", F.char_length("text").alias("n"))
+    ids = lengths.groupBy("__id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
     order = settled(ranked(ids, ["__id"], "r"))
     total, copies = order.agg(F.count(F.lit(1)), F.max("copies")).first()
     asking = order.select(
@@ -142,15 +149,16 @@ def with_next(docs: DataFrame) -> DataFrame:
         F.col("__id").alias("asker"),
         F.expr("n div 2").alias("wanted"),
     )
-    asked = order.select("r", "__id", "h").join(asking, "r").drop("r")
-    sent = keyed.join(asked, "__id").where(F.xxhash64("text") == F.col("h"))
+    asked = order.select("r", "__id").join(asking, "r").drop("r")
+    # Both joins deal the texts out by id, which Spark does once.
+    sent = keyed.join(asked, "__id")
+    if (copies or 1) > 1:
+        sent = sent.groupBy("asker", "wanted").agg(F.min("text").alias("text"))
     sent = sent.select(
         F.col("asker").alias("__id"),
         F.substring("text", F.lit(1), F.col("wanted").cast("int")).alias("next_text"),
         paragraphs(F.col("text")).alias("next_digests"),
     )
-    if (copies or 1) > 1:
-        sent = sent.dropDuplicates(["__id"])
     return keyed.join(sent, "__id")
 
 
