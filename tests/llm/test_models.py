@@ -248,3 +248,16 @@ def test_the_rest_works_without_this_part():
         "assert e.queries() and not any(n.startswith('op') or n == 'pipeline' for n in e.queries())\n"
     )
     subprocess.run([sys.executable, "-c", code], check=True, cwd=str(Path(__file__).parents[2]))
+
+
+def test_quality_reads_long_tokens_whole():
+    assert quality.shape("a1" * 40 + "!") != quality.shape("a1" * 40 + "?")
+    rng = random.Random(4)
+    signs = lambda n: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
+    shared = signs(300)
+    a, b, c = signs(100) + shared + signs(50), signs(130) + shared, signs(450)
+    of = quality.Indicators().of
+    runs = lambda text: set(of(text).tolist())
+    assert len(runs(a) & runs(b)) > 280
+    assert len(runs(a) & runs(c)) < 30
+    assert runs(a) != runs(a[:-1] + "!")

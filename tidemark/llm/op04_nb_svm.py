@@ -1,7 +1,8 @@
 """Quality: n-gram indicators scaled by class log-count ratios, and a linear hinge-loss model over them.
 
 A text's indicators are its words, and one to three neighbouring word shapes (`Aa+`, `a+.`, `A+!+`, ...; a word
-that repeats the one before has a shape of its own), hashed to a fixed number of features. How often each
+that repeats the one before has a shape of its own), hashed to a fixed number of features. A long token, as of
+text written without white space, also gives all its runs of GRAM characters, and those of its shape. How often each
 feature stands in texts of either class is counted over all labelled rows outside the held-out fold; the logs of
 the two classes' ratios scale the indicators. The linear model is fitted by dual coordinate descent, one
 row at a time, on a bounded sample of those rows. Scoring reads each whole text once in the task that has it.
@@ -36,18 +37,43 @@ PASSES = 12
 #: How much of each weight is the mean weight, which speaks for features the sample lacks.
 EVEN = 0.25
 MAP_ENTRIES = 300_000
+#: Longer tokens are rarely words: every run of GRAM characters in them is an indicator, too.
+LONG = 24
+GRAM = 4
+#: Characters of a token that are cut into runs at a time.
+SLICE = 1 << 18
 
 RUN = re.compile(r"(.)\1+")
 EDGES = re.compile(r"^\W+|\W+$")
 REPEAT = zlib.crc32(b"repeat")
 
 
+def pattern(token: str) -> str:
+    """A whole token's shape: letters by case, digits, other characters as they are, runs marked."""
+    found = ["A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token]
+    return RUN.sub(r"\1+", "".join(found))
+
+
+def crc(text: str, start: int = 0) -> int:
+    return zlib.crc32(text.encode("utf-8", "replace"), start)
+
+
 def shape(token: str) -> int:
-    """Hash of a token's shape: letters by case, digits, other characters as they are, runs marked."""
-    found = []
-    for c in token[:64]:
-        found.append("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c)
-    return zlib.crc32(RUN.sub(r"\1+", "".join(found)).encode("utf-8", "replace"))
+    return crc(pattern(token))
+
+
+def grams(text: str, seed: int, mask: int) -> set[int]:
+    """Features of all runs of GRAM characters."""
+    found: set[int] = set()
+    for start in range(0, len(text) - GRAM + 1, SLICE):
+        part = text[start : start + SLICE + GRAM - 1]
+        codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        sums = np.full(len(codes) - GRAM + 1, seed, np.uint64)
+        for i in range(GRAM):
+            sums = (sums ^ codes[i : i + len(sums)]) * np.uint64(0x9E3779B97F4A7C15)
+            sums ^= sums >> np.uint64(29)
+        found.update(np.unique(sums & np.uint64(mask)).tolist())
+    return found
 
 
 class Indicators:
@@ -61,17 +87,33 @@ class Indicators:
         if len(self.known) > MAP_ENTRIES:
             self.known = {}
         for t in tokens.difference(self.known):
-            word = zlib.crc32(EDGES.sub("", t).lower().encode("utf-8", "replace"), 1) & self.mask
-            self.known[t] = (shape(t), word)
+            self.known[t] = (shape(t), self._word(t))
+
+    def _word(self, token: str) -> int:
+        return crc(EDGES.sub("", token).lower(), 1) & self.mask
+
+    def _long(self, tokens: set[str]) -> tuple[dict[str, tuple[int, int]], set[int]]:
+        """What `known` has of other tokens, which isn't kept for long ones, and their runs of characters."""
+        read, found = {}, set()
+        for t in tokens:
+            form = pattern(t)
+            read[t] = (crc(form), self._word(t))
+            found |= grams(t.lower(), 1, self.mask) | grams(form, 2, self.mask)
+        return read, found
 
     def of(self, text: str) -> np.ndarray:
         tokens = text.split()
         distinct = set(tokens)
+        long = {t for t in distinct if len(t) > LONG}
+        distinct -= long
         if not distinct <= self.known.keys():
             self._add(distinct)
             self._add(distinct)  # the first call may have emptied the map
-        known = self.known
-        features = {known[t][1] for t in distinct}
+        known, features = self.known, set()
+        if long:
+            read, features = self._long(long)
+            known = {**{t: known[t] for t in distinct}, **read}
+        features |= {known[t][1] for t in distinct | long}
         shapes = [known[t][0] for t in tokens]
         for i in [i for i, (a, b) in enumerate(zip(tokens, tokens[1:], strict=False), 1) if a == b]:
             shapes[i] = REPEAT
