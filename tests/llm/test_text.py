@@ -139,6 +139,12 @@ def test_fingerprint_edges(spark):
     assert sketches.fingerprints(frame(spark, rows[:0])).count() == 0
 
 
+def test_paragraphs_end_at_64_characters(spark):
+    first, second = "a" * 69 + ".", "b" * 69 + "."
+    got = sketches.fingerprints(frame(spark, [(1, f"{first} {second}")])).first()
+    assert len(got["digests"]) == 2
+
+
 def test_lines_query_matches_sql(spark):
     assert differences(lines.op10_line_dedup(spark, SMALL), connect(SMALL), lines.ORACLE_SQL) == []
 
