@@ -261,3 +261,31 @@ def test_quality_reads_long_tokens_whole():
     assert len(runs(a) & runs(b)) > 280
     assert len(runs(a) & runs(c)) < 30
     assert runs(a) != runs(a[:-1] + "!")
+
+
+def test_automaton_finds_errors_anywhere():
+    rng = random.Random(6)
+    lexicon = toxicity.Lexicon(first_given=False)
+    for _ in range(3000):
+        w = list(rng.choice(toxicity.LEXICON))
+        for _ in range(rng.randint(0, 3)):
+            i, kind = rng.randrange(len(w) + 1) if rng.random() < 0.6 else 0, rng.random()
+            if kind < 0.4 and i < len(w):
+                w[i] = rng.choice("abcimost")
+            elif kind < 0.7 and 1 < len(w) and i < len(w):
+                del w[i]
+            else:
+                w.insert(i, rng.choice("abcimostz"))
+        w = "".join(w)
+        near = [d for t in toxicity.LEXICON if (d := distance(w, t)) <= toxicity.allowed_errors(t)]
+        assert lexicon.errors(w) == min(near, default=-1)
+
+
+def test_hits_at_the_start_and_between_marks():
+    reader = toxicity.Reader()
+    for token in ("diot", "xstupid", "ktupid", "athetic", "vorthless"):
+        assert reader.counts(f"so {token} here") == (0, 0, 1, 0), token
+    for token in ("you,idiot", "_idiot_", "i.d.i.o.t", "you,i.d.i.o.t", "m0r0n/ok", "id-iot"):
+        assert reader.counts(f"so {token} here") == (1, 0, 0, 0), token
+    assert reader.counts("stupid/worthless") == (2, 0, 0, 0)
+    assert reader.counts("and/or a well-known e.g. snake_case") == (0, 0, 0, 0)

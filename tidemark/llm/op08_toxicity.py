@@ -4,7 +4,9 @@ The lexicon has stated terms and terms learned from labelled texts: words that s
 texts and hardly in clean ones. (Copies of one text repeat its contexts, so their other words do not pass.) The
 lexicon is a trie. Reading a token means walking the trie and a Levenshtein automaton together: a state is
 a set of (trie node, errors so far). States and moves are found when first met and kept, so later tokens run
-through a finished automaton, character by character, and most die within a few. A hit is weighed by the words
+through a finished automaton, character by character, and most die within a few. Errors count wherever they are,
+at the start too. A token that is no term as a whole is also read in parts, between marks and underscores, and with
+single letters put together. A hit is weighed by the words
 around it: quotation marks, verbs of saying and words about words speak for a quotation. A document's counts of
 plain and quoted, exact and misspelled hits enter a logistic model whose weights are fitted to all labelled rows
 with hits outside the held-out fold, towards stated prior weights; as counts are small numbers, the fit needs one
@@ -60,6 +62,7 @@ MIN_LIFT = 50
 MAP_ENTRIES = 300_000
 
 EDGES = re.compile(r"^\W+|\W+$")
+MARKS = re.compile(r"[\W_]+")
 
 
 def allowed_errors(term: str) -> int:
@@ -71,10 +74,11 @@ def allowed_errors(term: str) -> int:
 class Lexicon:
     """A trie of terms read together with a Levenshtein automaton; both are made deterministic on the way.
 
-    The first letter counts as given: no error is allowed there.
+    With first_given, the first letter counts as given: no error is allowed there.
     """
 
-    def __init__(self, terms: tuple[str, ...] = LEXICON):
+    def __init__(self, terms: tuple[str, ...] = LEXICON, first_given: bool = True):
+        self.first_given = first_given
         self.children: list[dict[str, int]] = [{}]
         self.most = [0]  # errors that some term below a node allows
         self.term: dict[int, int] = {}  # node where a term ends, and the errors it allows
@@ -88,12 +92,13 @@ class Lexicon:
                 node = self.children[node][c]
                 self.most[node] = max(self.most[node], allowed_errors(term))
             self.term[node] = allowed_errors(term)
+        self.most[0] = max(self.most)
         self.letters = {c for node in self.children for c in node}
         self.sets: list[frozenset] = []
         self.numbers: dict[frozenset, int] = {}
         self.result: list[int] = []  # errors of the best term that ends here, -1 for none
         self.moves: list[dict[str, int]] = []
-        self.start = self._number(frozenset({(0, 0)}))
+        self.start = self._number(frozenset({(0, 0)}) if first_given else self._closed({0: 0}))
 
     def _number(self, states: frozenset) -> int:
         if states not in self.numbers:
@@ -124,7 +129,7 @@ class Lexicon:
                 reached[node] = errors
 
         for node, errors in self.sets[state]:
-            if node == 0:
+            if node == 0 and self.first_given:
                 if letter in self.children[0]:
                     reach(self.children[0][letter], 0)
                 continue
@@ -151,25 +156,47 @@ class Reader:
     """Counts the hits of whole texts by kind."""
 
     def __init__(self, terms: tuple[str, ...] = LEXICON):
-        self.lexicon = Lexicon(terms)
-        self.kind: dict[str, int] = {}  # token: 0 no hit, 1 exact, 2 misspelled
+        self.lexicon = Lexicon(terms, first_given=False)
+        self.kind: dict[str, tuple[int, int]] = {}  # token: its exact and misspelled hits
+
+    def _errors(self, forms: set[str]) -> int:
+        return min((e for e in map(self.lexicon.errors, forms) if e >= 0), default=-1)
+
+    def _read(self, token: str) -> tuple[int, int]:
+        lower = token.lower()
+        leet = lower.translate(LEET)
+        found = [self._errors({EDGES.sub("", lower), EDGES.sub("", leet)})]
+        if found[0] != 0 and (MARKS.search(lower) or MARKS.search(leet)):
+            # Other ways to read it: that with the most hits counts, and of these that with the most exact ones.
+            ways = [found, [self._errors({"".join(MARKS.split(lower)), "".join(MARKS.split(leet))})]]
+            ways += [[self._errors({p, p.translate(LEET)}) for p in self._parts(form)] for form in (lower, leet)]
+            found = max(ways, key=lambda errors: (sum(e >= 0 for e in errors), errors.count(0)))
+        return found.count(0), sum(e > 0 for e in found)
+
+    @staticmethod
+    def _parts(form: str) -> list[str]:
+        """What stands between marks; neighbouring single letters are one part."""
+        found: list[str] = []
+        single = False
+        for part in filter(None, MARKS.split(form)):
+            if single and len(part) == 1:
+                found[-1] += part
+            else:
+                found.append(part)
+            single = len(part) == 1
+        return found
 
-    def hit(self, token: str) -> int:
+    def hit(self, token: str) -> tuple[int, int]:
         found = self.kind.get(token)
         if found is None:
             if len(self.kind) > MAP_ENTRIES:
                 self.kind = {}
-            bare = EDGES.sub("", token.lower())
-            errors = min(
-                (e for e in map(self.lexicon.errors, {bare, EDGES.sub("", token.lower().translate(LEET))}) if e >= 0),
-                default=-1,
-            )
-            found = self.kind[token] = 0 if errors < 0 else 1 if errors == 0 else 2
+            found = self.kind[token] = self._read(token)
         return found
 
     def counts(self, text: str) -> tuple[int, int, int, int]:
         tokens = text.split()
-        hits = {t for t in set(tokens) if self.hit(t)}
+        hits = {t: found for t in set(tokens) if any(found := self.hit(t))}
         found = [0, 0, 0, 0]
         if hits:
             marks = np.cumsum([sum(map(t.count, QUOTES)) for t in tokens])
@@ -181,7 +208,8 @@ class Reader:
                     or (before % 2 == 1 and marks[min(len(tokens) - 1, i + 12 * WINDOW)] > before)
                     or any(EDGES.sub("", t.lower()) in REPORTING for t in near)
                 )
-                found[2 * (self.hit(tokens[i]) - 1) + quoted] += 1
+                for kind, n in enumerate(hits[tokens[i]]):
+                    found[2 * kind + quoted] += n
         return tuple(min(n, LEVELS) for n in found)
 
 
