@@ -151,3 +151,9 @@ def test_packing_edges(spark):
     assert sum(r["doc_id"] == 3 for r in packed) == 3
     assert [r["length"] for r in packed if r["doc_id"] == 0] == [1]
     assert packing.pack(frame(spark, rows[:0])).count() == 0
+
+
+def test_reduction_leaves_lengths_beside_which_three_fit():
+    counts = {724: 1, 250: 1, 100: 3, 387: 2}
+    assert fewest([k for k, n in counts.items() for _ in range(n)], 1024) == 2
+    assert packing.Plan(dict(counts), 1024).sequences == 2

@@ -81,7 +81,8 @@ class Plan:
 
         For the longest item left, of length j: it stays alone if not even the shortest item fits beside it;
         an item that fills the sequence exactly dominates whatever else could stand there; if no two items fit
-        beside it, the longest that fits does; so it does if it is at least as long as any two that fit.
+        beside it, the longest that fits does; so it does if it is at least as long as any two that fit and no
+        three do, as Martello and Toth ask.
         """
         for j in list(self.left):
             while j in self.left:
@@ -96,13 +97,20 @@ class Plan:
                 shortest = fitting[-1]
                 runner_up = shortest if others[shortest] > 1 else (fitting[-2] if len(fitting) > 1 else room + 1)
                 alone = shortest + runner_up > room
-                if not (partner == room or alone or partner >= self._best_pair(others, fitting, room)):
+                pairs = partner >= self._best_pair(others, fitting, room) and not self._three_fit(others, fitting, room)
+                if not (partner == room or alone or pairs):
                     break
                 # With fewer items left there are fewer sets to beat, so this holds until one of the two runs out.
                 times = own // 2 if partner == j else min(own, self.left[partner])
                 self._fix([j, partner], times)
         return self.sequences
 
+    @staticmethod
+    def _three_fit(others: dict[int, int], fitting: list[int], room: int) -> bool:
+        """Whether the three shortest other items fit."""
+        shortest = [k for k in reversed(fitting[-3:]) for _ in range(min(3, others[k]))][:3]
+        return len(shortest) == 3 and sum(shortest) <= room
+
     @staticmethod
     def _best_pair(others: dict[int, int], fitting: list[int], room: int) -> int:
         """The most that two other items can fill of the room; 0 if none fit."""
