@@ -145,6 +145,29 @@ def test_paragraphs_end_at_64_characters(spark):
     assert len(got["digests"]) == 2
 
 
+def test_fingerprints_alone_give_large_differences(spark):
+    same = [f"Line {i} is in both." for i in range(40)]
+    rows = [(2, "\n".join([*same, *(f"Own {i}" for i in range(16))])), (1, "\n".join([*same, *(f"Other {i}" for i in range(18))]))]
+    got = {r["doc_id"]: r for r in sketches.fingerprints(frame(spark, rows)).collect()}
+    a, b = ([int(p[k : k + 16], 16) for k in range(8, len(p), 16)] for p in (got[2]["fingerprint"], got[1]["fingerprint"]))
+    width = 3 * sketches.THIRD
+    assert len(a) == len(b) > 12
+    apart = [x ^ y for x, y in zip(a, b, strict=True)]
+    want = {x % 2**64 for x in set(got[2]["digests"]) ^ set(got[1]["digests"])}
+    tables, peeled = len(a) // width, 0
+    for t in range(tables):
+        cells, own = apart[t * width : (t + 1) * width], {x for x in want if x >> 42 & (tables - 1) == t}
+        while pure := {c for c in cells if c in own}:
+            for x in pure:
+                own.remove(x)
+                peeled += 1
+                for j in range(3):
+                    cells[j * sketches.THIRD + (x >> 24 + 8 * j & sketches.THIRD - 1)] ^= x
+        assert not own or any(cells)
+    assert len(want) == 34 and peeled > 25
+    assert set(got[2]["next_changes"]) == set(got[2]["digests"]) ^ set(got[2]["next_digests"])
+
+
 def test_lines_query_matches_sql(spark):
     assert differences(lines.op10_line_dedup(spark, SMALL), connect(SMALL), lines.ORACLE_SQL) == []
 

@@ -1,12 +1,12 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs; DataFrame functions only.
 
 A text is cut into paragraphs (lines, and long lines at ends of sentences); each distinct one becomes a 64-bit
-digest, 44 bits of hash and 20 that check them. A sketch is a table of cells, each the xor of its digests; a digest
-enters one cell of each third. Subtracting the sketches of two versions, which is xor again, leaves the digests
-they don't share; a cell whose check is right holds just one of these, and taking it out of its other cells makes
-more such cells, until all are empty. For that, the digests are dealt over as many small tables as the two versions
-need at most, each peeled on its own; what stands in tables that get stuck, or in a row where a check was right by
-chance, is sketched again twice as large with other hashes, until nothing is left.
+digest, 44 bits of hash and 20 that check them. A sketch deals a text's digests over small tables, a power of two of
+them that grows with the digests; a table has cells, each the xor of its digests, and a digest enters one cell of each
+third. The larger of two sketches is folded to the size of the smaller one. Subtracting them, which is xor again,
+leaves the digests they don't share; a cell whose check is right holds just one of these, and taking it out of its
+other cells makes more such cells, until all are empty. What belongs to tables that get stuck, or to a row where a check
+was right by chance, is sketched anew from the digests, twice as large and with other hashes, until nothing is left.
 
 The next document of a text is found by a sort by range over the ids alone. Texts are shuffled once, by id; a
 document sends the part that is asked for, and its digests, to the one document before it.
@@ -30,7 +30,8 @@ from tidemark.session import settled
 #: A paragraph is a line, or of a longer line at least so many characters up to an end of sentence.
 PARAGRAPH = r"[^\n]{64,400}?[.!?](?=\s|$)|[^\n]{1,400}"
 THIRD = 4  # cells in a third of a table; a power of two
-LOAD = 5  # digests that a table gets on average if two versions share nothing
+LOAD = 5  # digests that a table gets at most on average if two versions of one size share nothing
+MOST_BITS = 20  # of the number of tables of a fingerprint
 ROUNDS = 6  # of peeling; a table that needs more counts as stuck
 CHECK = (1 << 20) - 1
 EMPTY = "cast(array() AS array<bigint>)"
@@ -71,57 +72,103 @@ def _cells(digests: str, seed: int) -> str:
     return f"concat({', '.join(thirds)})"
 
 
-def _peeled(digests: str, seed: int) -> str:
+def _table(seed: int) -> str:
+    """The bits of digest x that say which table it is in."""
+    return f"shiftrightunsigned({_place(seed)}, 42)"
+
+
+def _sketch(digests: str) -> str:
+    """The cells of all tables of a text's digests, table by table."""
+    bits = f"least({MOST_BITS}, cast(ceil(log2(greatest(1, 2 * size({digests}) / {LOAD}))) AS int))"
+    one = _let("e", f"filter({digests}, x -> ({_table(0)} & (tables - 1)) = t)", _cells("e", 0))
+    return _let("tables", f"shiftleft(1, {bits})", f"flatten(transform(sequence(0, tables - 1), t -> {one}))")
+
+
+def _folded(cells: str, size: str) -> str:
+    """A sketch made as small as another, whose number of cells is given."""
+    summed = f"""transform(sequence(0, {size} - 1), c ->
+        aggregate(sequence(c, size({cells}) - 1, {size}), 0L, (a, k) -> a ^ {cells}[k]))"""
+    return f"if(size({cells}) = {size}, {cells}, {summed})"
+
+
+def _peeled(cells: str, seed: int) -> str:
     """The digests that can be taken out of a table's cells, and the cells left."""
     pure = f"array_distinct(filter(s.cells, c -> c <> 0 AND (xxhash64(c & {~CHECK}L) & {CHECK}) = (c & {CHECK})))"
     taken = f"transform(s.cells, (c, i) -> aggregate(p, c, (a, x) -> if({_hit(seed)}, a ^ x, a)))"
     turn = f"""if(size(p) = 0, named_struct('cells', s.cells, 'found', s.found, 'over', true),
         named_struct('cells', {taken}, 'found', concat(s.found, p), 'over', false))"""
-    start = f"""named_struct('cells', {_cells(digests, seed)}, 'found', cast(array() AS array<bigint>),
-        'over', size({digests}) = 0)"""
+    start = f"""named_struct('cells', {cells}, 'found', cast(array() AS array<bigint>),
+        'over', NOT exists({cells}, c -> c <> 0))"""
     return f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> if(s.over, s, {_let('p', pure, turn)}))"
 
 
 def with_fingerprint(df: DataFrame, digests: str, name: str) -> DataFrame:
-    """Add the number of digests and the cells of one table of them all, as hex."""
-    shown = F.transform(F.expr(_cells(digests, 0)), lambda c: F.lpad(F.hex(c), 16, "0"))
+    """Add the number of digests and the cells of their sketch, as hex."""
+    shown = F.transform(F.expr(_sketch(digests)), lambda c: F.lpad(F.hex(c), 16, "0"))
     return df.withColumn(name, F.concat(F.lpad(F.hex(F.size(digests)), 8, "0"), F.array_join(shown, "")))
 
 
-def _attempt(a: str, b: str, level: int) -> str:
-    """(found, left): digests that a and b don't share, and those of the tables that got stuck.
+STUCK = "exists(p.end.cells, c -> c <> 0)"
+
+
+def _sound(result: str) -> str:
+    """A check that was right by chance leaves digests that neither side has: then the whole row is left."""
+    return _let(
+        "r", result, f"if(size(array_except(r.found, entries)) = 0, r, named_struct('found', {EMPTY}, 'left', entries))"
+    )
+
+
+def _subtracted(a: str, b: str, cells_a: str, cells_b: str) -> str:
+    """(found, left): digests that a and b don't share, from the difference of their sketches, and the digests of the
+    tables that got stuck."""
+    width = 3 * THIRD
+    one = _let("e", f"slice(apart, t * {width} + 1, {width})", f"named_struct('t', t, 'end', {_peeled('e', 0)})")
+    peeled = f"transform(sequence(0, size(apart) div {width} - 1), t -> {one})"
+    in_stuck = f"array_contains(stuck, cast({_table(0)} & (size(apart) div {width} - 1) AS int))"
+    split = _let(
+        "stuck",
+        f"transform(filter(peeled, p -> {STUCK}), p -> cast(p.t AS int))",
+        f"""named_struct(
+        'found', flatten(transform(filter(peeled, p -> NOT {STUCK}), p -> p.end.found)),
+        'left', if(size(stuck) = 0, {EMPTY}, filter(entries, x -> {in_stuck})))""",
+    )
+    least = f"least(size({cells_a}), size({cells_b}))"
+    apart = f"zip_with({_folded(cells_a, 'least')}, {_folded(cells_b, 'least')}, (x, y) -> x ^ y)"
+    whole = _let("least", least, _let("apart", apart, _let("peeled", peeled, _sound(split))))
+    return _let("entries", f"concat({a}, {b})", whole)
+
 
-    Sketches are xors, so the sketch of both arrays together is the difference of the two sketches.
-    """
+def _again(entries: str, level: int) -> str:
+    """(found, left) of digests that are left, which stand twice if they are shared."""
     tables = f"{2**level} * greatest(1, cast(ceil(size(entries) / {LOAD}) AS int))"
-    table_of = f"pmod(shiftright({_place(level)}, 48), tables)"
-    one = _let("e", f"filter(entries, x -> {table_of} = t)", f"named_struct('of', e, 'end', {_peeled('e', level)})")
-    peeled = f"transform(sequence(0, tables - 1), t -> {one})"
-    stuck = "exists(p.end.cells, c -> c <> 0)"
+    one = _let(
+        "e",
+        f"filter(entries, x -> {_table(level)} % tables = t)",
+        _let("cells", _cells("e", level), f"named_struct('of', e, 'end', {_peeled('cells', level)})"),
+    )
     split = f"""named_struct(
-        'found', flatten(transform(filter(peeled, p -> NOT {stuck}), p -> p.end.found)),
-        'left', flatten(transform(filter(peeled, p -> {stuck}), p -> p.of)))"""
-    # A check that was right by chance leaves digests that neither side has: then the whole row is left.
-    sound = f"if(size(array_except(r.found, entries)) = 0, r, named_struct('found', {EMPTY}, 'left', entries))"
-    whole = _let("tables", tables, _let("peeled", peeled, _let("r", split, sound)))
-    return _let("entries", f"concat({a}, {b})", whole)
+        'found', flatten(transform(filter(peeled, p -> NOT {STUCK}), p -> p.end.found)),
+        'left', flatten(transform(filter(peeled, p -> {STUCK}), p -> p.of)))"""
+    peeled = f"transform(sequence(0, tables - 1), t -> {one})"
+    return _let("entries", entries, _let("tables", tables, _let("peeled", peeled, _sound(split))))
 
 
 def differences(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
     """Add, for each (a, b) of digest arrays, the digests that stand in one of them only."""
     done, level, columns = [], 0, df.columns
-    pending = df
+    cells = {c: f"__cells_{i}" for i, c in enumerate(dict.fromkeys(c for pair in pairs.values() for c in pair))}
+    pending = df.withColumns({name: F.expr(_sketch(c)) for c, name in cells.items()})
     while True:
         for into, (a, b) in pairs.items():
             found = f"{into}_found"
             if level:
-                tried = pending.withColumn("__r", F.expr(_attempt(f"{into}_left", EMPTY, level)))
+                tried = pending.withColumn("__r", F.expr(_again(f"{into}_left", level)))
                 pending = tried.withColumn(found, F.concat(found, "__r.found"))
             else:
-                tried = pending.withColumn("__r", F.expr(_attempt(a, b, level)))
+                tried = pending.withColumn("__r", F.expr(_subtracted(a, b, cells[a], cells[b])))
                 pending = tried.withColumn(found, F.col("__r.found"))
             pending = pending.withColumn(f"{into}_left", F.col("__r.left")).drop("__r")
-        pending = settled(pending)
+        pending = settled(pending.drop(*cells.values()))
         solved = reduce(lambda x, y: x & y, [F.size(f"{c}_left") == 0 for c in pairs])
         done.append(pending.where(solved))
         pending = pending.where(~solved)
@@ -182,12 +229,13 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         paragraphs(F.col("edited")).alias("edited_digests"),
         "next_digests",
     )
-    digested = with_fingerprint(digested, "digests", "fingerprint")
-    digested = with_fingerprint(digested, "edited_digests", "edited_fingerprint")
     compared = differences(
         settled(digested),
         {"edited_changes": ("digests", "edited_digests"), "next_changes": ("digests", "next_digests")},
     )
+    # Fingerprints are larger than the digests they are made of, so they are not written in between.
+    compared = with_fingerprint(compared, "digests", "fingerprint")
+    compared = with_fingerprint(compared, "edited_digests", "edited_fingerprint")
     return compared.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("digests"), F.col("edited_digests"), F.col("edited_changes")).alias("near_edited"),
