@@ -289,3 +289,23 @@ def test_hits_at_the_start_and_between_marks():
         assert reader.counts(f"so {token} here") == (1, 0, 0, 0), token
     assert reader.counts("stupid/worthless") == (2, 0, 0, 0)
     assert reader.counts("and/or a well-known e.g. snake_case") == (0, 0, 0, 0)
+
+
+def test_rows_with_one_id_and_different_texts_stay(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    b, c = a.replace("a", "b"), a.replace("a", "c")
+    docs = frame(spark, [(1, a), (1, b), (1, b), (2, b + " more"), (3, c), (3, a + " more")])
+    rows = minhash.near_duplicates(docs)[0].collect()
+    assert len(rows) == 5
+    assert {r["group_id"] for r in rows} == {1, 3}
+    kept = minhash.one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, a), (1, b), (3, c)]
+
+
+def test_vectors_with_one_id_are_each_a_row(spark):
+    x, y = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, x, None), (1, x, 0), (1, y, 0), (2, x, 0), (3, y, 0), (3, y, 0), (None, x, 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"] or 0, r["kept"]) for r in trees.near_embeddings(df).collect())
+    assert got == [(0, 0, 0, True), (1, 0, 1, True), (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]

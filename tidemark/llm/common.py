@@ -60,6 +60,16 @@ def ranked(df: DataFrame, order: list[str], rank: str) -> DataFrame:
     )
 
 
+def named(rows: DataFrame, id_column: str, content: list[Column]) -> DataFrame:
+    """Add k1 and k2, which only rows with the same id and content share, and key, their number in the order of the
+    ids: rows with one id and different content have keys of their own."""
+    k1, k2 = digest(*content)
+    rows = rows.withColumns({"k1": k1, "k2": k2})
+    order = [id_column, "k1", "k2"]
+    names = settled(ranked(rows.select(*order).distinct(), order, "key"))
+    return rows.join(names, order)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node of each node's connected component: (node, component), for nodes that have an edge.
 

@@ -10,8 +10,8 @@ points is compared in double precision. A pair of blocks returns, for each vecto
 the smallest vector it is connected to, never the pairs themselves.
 
 Defined results: a vector that is null, empty, zero or has null or non-finite components, or has no label or no
-id, links with nothing; vectors of different lengths don't link; rows with one id are one vector (the least one by
-label and components); a row with a null id has no component and stays; an empty table gives an empty result.
+id, links with nothing; vectors of different lengths don't link; rows equal in id, label and components are one vector,
+rows equal in the id alone are vectors of their own; a row with a null id has no component and stays; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, digest, table
+from tidemark.llm.common import components, digest, named, table
 from tidemark.session import settled
 
 COSINE = 0.98
@@ -223,9 +223,14 @@ def near_embeddings(
         F.col(vector_column).alias("e"),
     )
     known = plain.where("vec_id is not null")
+    names = None
     if not known.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        least = settled(known.groupBy("vec_id").agg(F.min(F.struct("label", "e")).alias("s")))
-        plain = least.select("vec_id", "s.label", "s.e").union(plain.where("vec_id is null"))
+        # A hash skips nulls, so where they stand goes in, too.
+        content = [F.col("label"), F.col("e"), F.transform("e", lambda x: x.isNull())]
+        whole = named(known, "vec_id", content).groupBy("key", "vec_id").agg(F.min(F.struct("label", "e")).alias("s"))
+        whole = settled(whole)
+        names = whole.select("key", "vec_id")
+        plain = whole.select(F.col("key").alias("vec_id"), "s.label", "s.e").union(plain.where("vec_id is null"))
     finite = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x) < float("inf")))
     sound = plain.where(
         F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("e").isNotNull() & finite
@@ -258,11 +263,15 @@ def near_embeddings(
         )
     )
     every = plain.select("vec_id").join(by_first, F.col("vec_id") == F.col("id"), "left")
-    return every.select(
+    result = every.select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    if names is not None:
+        for column in ("vec_id", "component_id"):
+            result = result.join(names.toDF(column, "__id"), column, "left").drop(column).withColumnRenamed("__id", column)
+    return result.select("vec_id", "n_links", "component_id", "kept")
 
 
 def op6_cover_tree(spark: SparkSession, folder: str) -> DataFrame:

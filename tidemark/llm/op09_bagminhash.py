@@ -15,8 +15,8 @@ what was apart in it; components of these are groups, the same as of all links.
 
 Defined results: a word is what stands between white space, in lower case, without marks at its ends; texts of one
 to four words are one shingle; texts without words (null, empty, marks only) are one class; rows with a null id
-link with nothing; of several texts with one id the least speaks for it; texts of any length are read whole; an empty table gives an
-empty result.
+link with nothing; rows with one id and different texts are documents of their own, and rows equal in both are one;
+texts of any length are read whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_batch, components, rows_of, table
+from tidemark.llm.common import by_batch, components, digest, named, rows_of, table
 from tidemark.session import settled
 
 WORDS = 5
@@ -282,13 +282,17 @@ def near_duplicates(
     threshold: float = THRESHOLD,
     words: int = WORDS,
 ) -> tuple[DataFrame, DataFrame]:
-    """(groups, links): doc_id, class_id, group_id for each id; verified links that connect the classes of a group.
+    """(groups, links): doc_id, class_id, group_id, kept for each document; verified links that connect the classes
+    of a group.
 
-    class_id is the smallest id with an equal multiset, group_id the smallest one reachable by links.
+    class_id is the smallest id with an equal multiset, group_id the smallest one reachable by links. One document
+    of each group is kept, with the smallest id. If ids repeat, groups also has k1 and k2, the digest of the text.
     """
     docs = rows_of(docs, id_column, text_column).toDF("doc_id", "text").where("doc_id is not null")
+    names = None
     if not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        docs = settled(docs.groupBy("doc_id").agg(F.min("text").alias("text")))
+        whole = settled(named(docs, "doc_id", [F.col("text")]).groupBy("key", "doc_id", "k1", "k2").agg(F.min("text").alias("text")))
+        names, docs = whole.drop("text"), whole.select(F.col("key").alias("doc_id"), "text")
     sketches = settled(sketched(docs))
     classes = sketches.groupBy("c1", "c2").agg(F.min("doc_id").alias("class_id"))
     members = settled(sketches.select("doc_id", "c1", "c2").join(classes, ["c1", "c2"]).select("doc_id", "class_id"))
@@ -313,20 +317,34 @@ def near_duplicates(
     groups = members.join(found, "class_id", "left").select(
         "doc_id", "class_id", F.coalesce("group_id", "class_id").alias("group_id")
     )
-    return groups, links
+    groups = groups.withColumn("kept", F.col("doc_id") == F.col("group_id"))
+    if names is None:
+        return groups, links
+    ids = names.select("key", "doc_id")
+    for column in ("class_id", "group_id"):
+        groups = groups.join(ids.toDF(column, "__id"), column).drop(column).withColumnRenamed("__id", column)
+    for column in ("a", "b"):
+        links = links.join(ids.toDF(column, "__id"), column).drop(column).withColumnRenamed("__id", column)
+    groups = groups.withColumnRenamed("doc_id", "key").join(names, "key")
+    return groups.select("doc_id", "class_id", "group_id", "kept", "k1", "k2"), links.select("a", "b")
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The documents, with the columns they have, of which one of each group stays: that with the smallest id.
 
-    Rows with a null id stay; rows with one id are one document, of which one row stays.
+    Rows with a null id stay; of rows with one id and one text, which are one document, one row stays.
     """
     groups, _ = near_duplicates(docs)
-    kept = groups.where("doc_id = group_id").select(F.col("doc_id").alias("__kept"))
-    stay = docs.join(kept, F.col("doc_id") == F.col("__kept")).drop("__kept").dropDuplicates(["doc_id"])
-    return stay.unionByName(docs.where("doc_id is null"))
+    own = {"__doc": F.col("doc_id").cast("long")}
+    if "k1" in groups.columns:
+        own["__k1"], own["__k2"] = digest(F.col("text").cast("string"))
+    kept = groups.where("kept").select("doc_id", *[c[2:] for c in own if c != "__doc"]).toDF(*own)
+    stay = docs.where("doc_id is not null").withColumns(own).join(kept, list(own))
+    if "k1" in groups.columns:
+        stay = stay.dropDuplicates(list(own))
+    return stay.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def op9_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
     groups, _ = near_duplicates(table(spark, folder, "documents"))
-    return groups.withColumn("kept", F.col("doc_id") == F.col("group_id"))
+    return groups.select("doc_id", "class_id", "group_id", "kept")
