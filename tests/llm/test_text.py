@@ -184,3 +184,19 @@ def test_line_edges(spark):
     first = lines.dedup_lines(frame(spark, rows[1:10] + rows[10:12]), min_documents=2, keep_first=True).collect()
     assert sum("the line" in r["text"].lower() for r in first) == 1
     assert lines.dedup_lines(frame(spark, rows[:0])).count() == 0
+
+
+def test_wrappers_around_the_content_are_kept():
+    words = "This is a plain sentence of the article that says something at length, and then some more of it."
+    body = "".join(f"<p>{words} {i}</p>" for i in range(5))
+    want = regions.main_text(f"<body><div><article>{body}</article></div></body>")
+    assert words in str(want)
+    for mark in (
+        "class='content has-sidebar'", "class='no-sidebar'", "class='with-comments'", "class='single-related'",
+        "id='page-header-fixed'",
+    ):
+        assert regions.main_text(f"<body><div {mark}><article>{body}</article></div></body>") == want
+        assert words in str(regions.main_text(f"<body><div {mark}>{body}</div></body>"))
+    assert words in str(regions.main_text(f"<body><form>{body}<nav>Home and more</nav></form></body>"))
+    beside = "<div class='ad-container'><p>Buy this now, it is good, it is cheap.</p></div>"
+    assert "Buy" not in str(regions.main_text(f"<body><form><article>{body}</article>{beside}</form></body>"))

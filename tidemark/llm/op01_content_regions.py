@@ -52,24 +52,48 @@ MARKS = frozenset(
     "tagcloud tags".split()
 )
 WORDS = re.compile(r"[a-z]+(?:-[a-z]+)*|[a-z]+")
+#: Parts of a class or id that say it has something or not, and that only hold what is named before them.
+NEGATING = frozenset("has no not with without".split())
+HOLDERS = frozenset(
+    "area bar block body box container content group inner item items links list outer panel posts section slot stories "
+    "unit wrap wrapper".split()
+)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 SPACE = re.compile(r"\s+")
 
 SIGMA = 1.0
 
 
-def no_content(tag: str, attributes: dict[str, str | None]) -> bool:
-    """Whether an element stands around the content instead of being it."""
-    if tag in AROUND:
+def unseen(attributes: dict[str, str | None]) -> bool:
+    return (
+        "hidden" in attributes
+        or attributes.get("aria-hidden") == "true"
+        or bool(HIDDEN.search(attributes.get("style") or ""))
+    )
+
+
+def marked(word: str) -> bool:
+    """Whether a word of a class or id is a mark, or a compound of which a mark is the head."""
+    if word in MARKS:
         return True
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or HIDDEN.search(attributes.get("style") or ""):
+    parts = word.split("-")
+    if NEGATING.intersection(parts):
+        return False
+    while len(parts) > 1 and parts[-1] in HOLDERS and parts[-1] not in MARKS:
+        parts.pop()
+    return parts[-1] in MARKS
+
+
+def no_content(tag: str, attributes: dict[str, str | None]) -> bool:
+    """Whether an element seems to stand around the content instead of being it."""
+    if tag in AROUND or unseen(attributes):
         return True
     if (attributes.get("role") or "").lower() in ROLES:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
     named = f"{attributes.get('class') or ''} {attributes.get('id') or ''}".lower().replace("_", "-")
-    return any(w in MARKS or any(p in MARKS for p in w.split("-")) for w in WORDS.findall(named))
+    return any(map(marked, WORDS.findall(named)))
 
 
 class Lines(HTMLParser):
@@ -77,21 +101,23 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, int]] = []
-        self.open: list[tuple[str, bool, bool, int]] = []  # tag, silent, around, region
+        self.lines: list[tuple[str, int, int, tuple[int, ...], int]] = []  # with the elements around it
+        self.open: list[tuple[str, bool, tuple[int, ...], int]] = []  # tag, silent, around, region
+        self.seen: list[bool] = []  # of each element that seems to be no content: whether it is shown
+        self.containers: dict[int, tuple[int, ...]] = {}  # region of an article or main: the elements around it
         self.parents: list[int] = [-1]  # of each region
         self.kinds: list[str] = ["html"]
         self.text: list[str] = []
         self.tags = self.linked = self.links = 0
 
-    def _state(self) -> tuple[str, bool, bool, int]:
-        return self.open[-1] if self.open else ("", False, False, 0)
+    def _state(self) -> tuple[str, bool, tuple[int, ...], int]:
+        return self.open[-1] if self.open else ("", False, (), 0)
 
     def _flush(self) -> None:
         _, silent, around, region = self._state()
         text = SPACE.sub(" ", "".join(self.text)).strip()
         if text and not silent:
-            self.lines.append((text, self.tags, self.linked, not around, region))
+            self.lines.append((text, self.tags, self.linked, around, region))
         self.text, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag, attrs):
@@ -110,7 +136,13 @@ class Lines(HTMLParser):
             self.kinds.append(tag)
             region = len(self.parents) - 1
         self.links += tag == "a"
-        self.open.append((tag, silent or tag in SILENT, around or no_content(tag, dict(attrs)), region))
+        attributes = dict(attrs)
+        if no_content(tag, attributes):
+            around = (*around, len(self.seen))
+            self.seen.append(not unseen(attributes))
+        if tag in CONTAINERS:
+            self.containers[region] = around
+        self.open.append((tag, silent or tag in SILENT, around, region))
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
@@ -156,7 +188,27 @@ class Lines(HTMLParser):
         self.feed(html)
         self.close()
         self._flush()
-        return self.lines
+        kept = self._holding()
+        return [(*line[:3], kept.issuperset(line[3]), line[4]) for line in self.lines]
+
+    def _holding(self) -> set[int]:
+        """Elements that seem to be no content, but hold it: those around the articles and mains with the fewest such
+        elements around them, or if there are none, those with most of the page's plain text."""
+        plain = [0] * len(self.seen)
+        total, filled = 0, set()
+        for text, _, linked, around, region in self.lines:
+            if all(self.seen[k] for k in around):
+                total += len(text) - linked
+                for k in around:
+                    plain[k] += len(text) - linked
+                while region > 0:
+                    filled.add(region)
+                    region = self.parents[region]
+        held = [around for region, around in self.containers.items() if region in filled and all(self.seen[k] for k in around)]
+        if held:
+            fewest = min(map(len, held))
+            return {k for around in held if len(around) == fewest for k in around}
+        return {k for k, n in enumerate(plain) if self.seen[k] and 2 * n > total}
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
