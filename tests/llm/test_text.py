@@ -200,3 +200,18 @@ def test_wrappers_around_the_content_are_kept():
     assert words in str(regions.main_text(f"<body><form>{body}<nav>Home and more</nav></form></body>"))
     beside = "<div class='ad-container'><p>Buy this now, it is good, it is cheap.</p></div>"
     assert "Buy" not in str(regions.main_text(f"<body><form><article>{body}</article>{beside}</form></body>"))
+
+
+def test_unit_hashes_use_all_their_bits():
+    hashes = [threads._hash(f"line {i:06}") for i in range(1000)]
+    # What two checksums of one text differ by depends on its length alone; no two halves may be bound like that.
+    assert len({(h >> 31 ^ h) & 0x7FFFFFFF for h in hashes}) > 990
+
+
+def test_copies_are_numbered_without_a_window_per_key(spark):
+    keyed = spark.range(0, 1000, 1, 8).selectExpr("if(id < 700, 1, id) as k1", "if(id < 700, 2, id) as k2")
+    got = threads._copies(keyed, ["k1", "k2"])
+    rows = got.collect()
+    assert sorted(r["copy"] for r in rows if r["k1"] == 1) == list(range(700))
+    assert all(r["copy"] == 0 for r in rows if r["k1"] != 1)
+    assert "row_number" not in got._jdf.queryExecution().toString()

@@ -18,7 +18,7 @@ is ordered first; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-import zlib
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -61,7 +61,7 @@ def split_quotes(text: str | None) -> tuple[str, list[tuple[int, str]]]:
 
 def _hash(unit: str) -> int:
     raw = unit.encode("utf-8", "replace")
-    return (zlib.crc32(raw) << 31) ^ zlib.crc32(raw, 0x9E3779B9) ^ (len(raw) << 8)
+    return int.from_bytes(blake2b(raw, digest_size=8).digest(), "big", signed=True)
 
 
 def units(passage: str) -> dict[int, int]:
@@ -175,6 +175,17 @@ def _threads(replies: DataFrame) -> DataFrame:
             return up
 
 
+def _copies(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Add rank in the order, which ends with k1 and k2, and copy: the number among the rows with its k1 and k2.
+
+    Copies lie together in the order, and a row's place parts them, so that many are dealt over many tasks.
+    """
+    placed = rows.withColumn("__row", F.monotonically_increasing_id())
+    numbered = settled(ranked(placed, [*order, "__row"], "rank").drop("__row"))
+    firsts = numbered.groupBy("k1", "k2").agg(F.min("rank").alias("first"))
+    return numbered.join(firsts, ["k1", "k2"]).withColumn("copy", F.col("rank") - F.col("first")).drop("first")
+
+
 def reply_ordered(messages: DataFrame) -> DataFrame:
     """One row per message: conv_id, position, turn, role, text without quotes, n_quotes, n_linked, reply_to, thread,
     depth."""
@@ -193,14 +204,13 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
         "conv_id", "turn", "k1", "k2", "n_quotes", F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "reply_to",
         F.coalesce("root", "turn").alias("thread"), F.coalesce("depth", F.lit(0)).alias("depth"),
     )
-    numbered = settled(ranked(ordered, ["conv_id", "thread", "turn", "k1", "k2"], "rank"))
+    numbered = settled(_copies(ordered, ["conv_id", "thread", "turn", "k1", "k2"]))
     starts = numbered.groupBy("conv_id").agg(F.min("rank").alias("start"))
     same = numbered["conv_id"].eqNullSafe(starts["conv_id"])
     placed = numbered.join(starts, same).drop(starts["conv_id"])
     # Rows equal in every column have equal keys: each takes one of their places.
-    copy = Window.partitionBy("k1", "k2").orderBy("rank")
     spread = placed.select(
-        "k1", "k2", F.row_number().over(copy).alias("copy"), (F.col("rank") - F.col("start")).alias("position"),
+        "k1", "k2", "copy", (F.col("rank") - F.col("start")).alias("position"),
         "n_quotes", "n_linked", "reply_to", "thread", "depth",
     )
 
@@ -213,7 +223,7 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
         return step
 
     own = keyed.mapInArrow(by_batch(make), keyed.schema)
-    own = own.withColumn("copy", F.row_number().over(Window.partitionBy("k1", "k2").orderBy("turn")))
+    own = _copies(own, ["k1", "k2"]).drop("rank")
     return own.join(spread, ["k1", "k2", "copy"]).select(
         "conv_id", "position", "turn", "role", "text", "n_quotes", "n_linked", "reply_to", "thread", "depth"
     )
