@@ -14,6 +14,7 @@ from tidemark.llm import (
     op08_toxicity,
     op09_bagminhash,
     op10_line_dedup,
+    op12_prefix_join,
     op13_pair_bitmaps,
 )
 
@@ -28,10 +29,12 @@ QUERIES = {
     "op8_levenshtein_toxicity": op08_toxicity.op8_levenshtein_toxicity,
     "op9_bagminhash": op09_bagminhash.op9_bagminhash,
     "op10_line_dedup": op10_line_dedup.op10_line_dedup,
+    "op12_prefix_join": op12_prefix_join.op12_prefix_join,
     "op13_pair_bitmaps": op13_pair_bitmaps.op13_pair_bitmaps,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
     "op10_line_dedup": op10_line_dedup.ORACLE_SQL,
+    "op12_prefix_join": op12_prefix_join.ORACLE_SQL,
 }
