@@ -14,6 +14,7 @@ from tidemark.llm import (
     op08_toxicity,
     op09_bagminhash,
     op10_line_dedup,
+    op11_packed_products,
     op12_prefix_join,
     op13_pair_bitmaps,
 )
@@ -29,6 +30,7 @@ QUERIES = {
     "op8_levenshtein_toxicity": op08_toxicity.op8_levenshtein_toxicity,
     "op9_bagminhash": op09_bagminhash.op9_bagminhash,
     "op10_line_dedup": op10_line_dedup.op10_line_dedup,
+    "op11_packed_products": op11_packed_products.op11_packed_products,
     "op12_prefix_join": op12_prefix_join.op12_prefix_join,
     "op13_pair_bitmaps": op13_pair_bitmaps.op13_pair_bitmaps,
     "pipeline": corpus_pipeline.run,
@@ -36,5 +38,6 @@ QUERIES = {
 
 ORACLE = {
     "op10_line_dedup": op10_line_dedup.ORACLE_SQL,
+    "op11_packed_products": op11_packed_products.ORACLE_SQL,
     "op12_prefix_join": op12_prefix_join.ORACLE_SQL,
 }
