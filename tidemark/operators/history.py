@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from datetime import date, datetime
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.digests import row_digest
 from tidemark.functions.moments import day, moment
+from tidemark.session import settled
 
 CHANGE = "_change"  # kept, closed, new or changed
 
@@ -101,6 +103,65 @@ def overwrite_dimension(
     return upsert(existing, incoming, [key], run_ts=run_ts, order_by=order_by)
 
 
+def dimension_changes(current: DataFrame, batch: DataFrame, key: str, compare: list[str]) -> DataFrame:
+    """The keys of a batch that are new or changed: key, `_change`, and the version the changed ones are at.
+
+    Only keys and digests of the compared columns meet; a digest tells text and NULL apart. `batch` has each key
+    once. A key with more than one current row is an error.
+    """
+    compared = [c for c in compare if c in batch.columns and c in current.columns]
+
+    def digested(df: DataFrame) -> list[Column]:
+        return [c.alias(f"_d{i}") for i, c in enumerate(row_digest([F.col(c) for c in compared]))]
+
+    unique = F.when(
+        F.count(F.lit(1)) > 1, F.raise_error(F.concat(F.lit(f"more than one current row of {key} "), F.col(key).cast("string")))
+    )
+    old = (
+        current.where(F.col(key).isNotNull())
+        .select(key, F.coalesce("version_number", F.lit(1)).alias("_v"), *digested(current))
+        .groupBy(key)
+        .agg(F.coalesce(unique.cast("int"), F.max("_v")).alias("_at"), F.max("_d0").alias("_o0"), F.max("_d1").alias("_o1"))
+    )
+    differs = (F.col("_d0") != F.col("_o0")) | (F.col("_d1") != F.col("_o1"))
+    change = F.when(F.col("_at").isNull(), "new").when(differs, "changed")
+    return (
+        batch.select(key, *digested(batch))
+        .join(old, key, "left")
+        .select(key, change.alias(CHANGE), "_at")
+        .where(F.col(CHANGE).isNotNull())
+    )
+
+
+def changed_versions(
+    current: DataFrame, batch: DataFrame, key: str, changes: DataFrame, as_of: date, run_ts: datetime | None = None
+) -> DataFrame:
+    """What current rows become: kept, closed, and opened as new or changed, told apart by `_change`."""
+    now = moment(run_ts) if run_ts else F.lit(None)
+    moved = changes.where(F.col(CHANGE) == "changed").select(key)
+
+    def rows(df: DataFrame, change: Column, values: dict[str, Column]) -> DataFrame:
+        columns = [
+            values.get(f.name, F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in current.schema
+        ]
+        return df.select(*columns, change.alias(CHANGE))
+
+    kept = rows(current.join(moved, key, "left_anti"), F.lit("kept"), {})
+    ended = {"effective_end_date": day(as_of), "is_current": F.lit(False), "updated_at": now}
+    closed = rows(current.join(moved, key, "left_semi"), F.lit("closed"), ended)
+    started = {
+        "effective_start_date": day(as_of),
+        "effective_end_date": F.lit(None),
+        "is_current": F.lit(True),
+        "version_number": F.coalesce(F.col("_at") + 1, F.lit(1)),
+        "created_at": now,
+        "updated_at": now,
+    }
+    opened = rows(batch.join(changes, key), F.col(CHANGE), started)
+    return kept.unionByName(closed).unionByName(opened)
+
+
 def version_dimension(
     current: DataFrame,
     incoming: DataFrame,
@@ -115,61 +176,12 @@ def version_dimension(
     A key not seen before opens version 1. A key whose compared columns differ as text closes its
     current row and opens the next version. Keys absent from the batch and unchanged ones stay. The
     result has the columns of `current` plus `_change`, which tells kept, closed, new and changed rows
-    apart; rows closed earlier are not read, and need not be rewritten.
+    apart; rows closed earlier are not read, and need not be rewritten. The changes are settled first, so
+    wide rows move only where one changed.
     """
     batch = one_per_key(incoming.where(F.col(key).isNotNull()), [key], order_by)
-    old = current.select(F.struct(*current.columns).alias("_old"), F.col(key).alias("_o"))
-    new = batch.select(F.struct(*batch.columns).alias("_new"), F.col(key).alias("_n"))
-    compared = [c for c in compare if c in batch.columns and c in current.columns]
-    differs = reduce(
-        or_,
-        [~F.col(f"_new.{c}").cast("string").eqNullSafe(F.col(f"_old.{c}").cast("string")) for c in compared],
-        F.lit(False),
-    )
-    now = moment(run_ts) if run_ts else F.lit(None)
-    is_new = F.col("_old").isNull()
-    stays = F.col("_new").isNull() | ~differs
-
-    def row(change: Column, values: dict[str, Column], source: str, source_columns: list[str]) -> Column:
-        fields = []
-        for f in current.schema:
-            if f.name in values:
-                c = values[f.name]
-            elif f.name in source_columns:
-                c = F.col(f"{source}.{f.name}")
-            else:
-                c = F.lit(None)
-            fields.append(c.cast(f.dataType).alias(f.name))
-        return F.struct(*fields, change.alias(CHANGE))
-
-    kept = row(F.lit("kept"), {}, "_old", current.columns)
-    closed = row(
-        F.lit("closed"),
-        {"effective_end_date": day(as_of), "is_current": F.lit(False), "updated_at": now},
-        "_old",
-        current.columns,
-    )
-    opened = row(
-        F.when(is_new, F.lit("new")).otherwise(F.lit("changed")),
-        {
-            "effective_start_date": day(as_of),
-            "effective_end_date": F.lit(None),
-            "is_current": F.lit(True),
-            "version_number": F.when(is_new, F.lit(1)).otherwise(
-                F.coalesce(F.col("_old.version_number"), F.lit(1)) + 1
-            ),
-            "created_at": now,
-            "updated_at": now,
-        },
-        "_new",
-        batch.columns,
-    )
-    outcome = F.when(is_new, F.array(opened)).when(stays, F.array(kept)).otherwise(F.array(closed, opened))
-    return (
-        old.join(new, F.col("_o") == F.col("_n"), "full_outer")
-        .select(F.explode(outcome).alias("_row"))
-        .select("_row.*")
-    )
+    changes = settled(dimension_changes(current, batch, key, compare))
+    return changed_versions(current, batch, key, changes, as_of, run_ts)
 
 
 def change_counts(versions: DataFrame) -> DataFrame:

@@ -43,12 +43,16 @@ def number_rows(df: DataFrame, key: str, order_by: list[str], start: int = 0) ->
     )
 
 
-def number_new_rows(df: DataFrame, key: str, order_by: list[str], existing: DataFrame) -> DataFrame:
+def number_new_rows(
+    df: DataFrame, key: str, order_by: list[str], existing: DataFrame, highest: int | None = None
+) -> DataFrame:
     """Number the rows whose `key` is NULL after the highest key of `existing`; keep the other keys.
 
-    The rows are read twice, those to be numbered and the others, so they are settled first.
+    The rows are read twice, those to be numbered and the others, so they are settled first. A caller that
+    knows the highest key saves the look through `existing`.
     """
     df = settled(df)
-    highest = existing.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    if highest is None:
+        highest = existing.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
     fresh = number_rows(df.where(F.col(key).isNull()), key, order_by, highest)
     return df.where(F.col(key).isNotNull()).unionByName(fresh)

@@ -18,6 +18,11 @@ COMPARED = ["city", "state", "zip_code_prefix"]
 FIRST_DAY, LAST_DAY = date(2017, 1, 1), date(2025, 12, 31)
 
 
+# What a customer and a seller take from silver.
+CUSTOMER = ["customer_id", "customer_unique_id", "zip_code_prefix", "city", "state", "state_name", "region"]
+SELLER = ["seller_id", "zip_code_prefix", "city", "state", "state_name", "region"]
+
+
 def _versioned_dimension(
     silver: DataFrame, existing: DataFrame, key: str, surrogate: str, columns: list[str], as_of: date, run_ts: datetime
 ) -> DataFrame:
@@ -29,14 +34,12 @@ def _versioned_dimension(
 
 def build_dim_customer(silver: DataFrame, existing: DataFrame, as_of: date, run_ts: datetime) -> DataFrame:
     """Current and newly closed customer versions, with `_change` (see `version_dimension`)."""
-    columns = ["customer_id", "customer_unique_id", "zip_code_prefix", "city", "state", "state_name", "region"]
-    return _versioned_dimension(silver, existing, "customer_id", "customer_key", columns, as_of, run_ts)
+    return _versioned_dimension(silver, existing, "customer_id", "customer_key", CUSTOMER, as_of, run_ts)
 
 
 def build_dim_seller(silver: DataFrame, existing: DataFrame, as_of: date, run_ts: datetime) -> DataFrame:
     """Current and newly closed seller versions, with `_change`."""
-    columns = ["seller_id", "zip_code_prefix", "city", "state", "state_name", "region"]
-    return _versioned_dimension(silver, existing, "seller_id", "seller_key", columns, as_of, run_ts)
+    return _versioned_dimension(silver, existing, "seller_id", "seller_key", SELLER, as_of, run_ts)
 
 
 def size_category(volume: Column) -> Column:
@@ -48,7 +51,9 @@ def size_category(volume: Column) -> Column:
     )
 
 
-def build_dim_product(silver: DataFrame, existing: DataFrame, run_ts: datetime) -> DataFrame:
+def build_dim_product(
+    silver: DataFrame, existing: DataFrame, run_ts: datetime, highest: int | None = None
+) -> DataFrame:
     """Products without history; a product keeps its key when its row is replaced."""
     incoming = silver.select(
         "product_id", "product_category_name", "product_category_english", "product_name_length",
@@ -56,7 +61,7 @@ def build_dim_product(silver: DataFrame, existing: DataFrame, run_ts: datetime)
         size_category(F.col("product_volume_cm3")).alias("size_category"),
     )
     merged = overwrite_dimension(existing, incoming, "product_id", run_ts)
-    return number_new_rows(merged, "product_key", ["product_id"], existing)
+    return number_new_rows(merged, "product_key", ["product_id"], existing, highest)
 
 
 def build_dim_date(bounds: DataFrame) -> DataFrame:

@@ -111,11 +111,6 @@ def superseded(loads: DataFrame) -> DataFrame:
     return loads.join(F.broadcast(last), F.struct("start_time", "batch") < F.col("last")).select("batch").distinct()
 
 
-def superseded_batches(runs: DataFrame, table: str) -> list[str]:
-    """One id per earlier load of the table: a list as long as the table's history of runs."""
-    return sorted(r["batch"] for r in superseded(loads_of(runs, table)).collect())
-
-
 def log_error(warehouse: Warehouse, batch_id: str, name: str, error: BaseException, now: datetime) -> None:
     table = "metadata.error_log"
     row = {

@@ -138,6 +138,11 @@ TABLES = {
         "cumulative_revenue decimal(32,2), prev_month_revenue decimal(22,2), mom_growth_pct decimal(22,2), "
         "computed_at timestamp_ntz"
     ),
+    # What the mart carries from month to month: revenue so far, and the last revenue of a category.
+    "gold.mart_state": (
+        "year int, month int, state string, region string, product_category string, last_revenue decimal(22,2), "
+        "running_revenue decimal(32,2)"
+    ),
     "gold.kpi_summary": (
         "kpi_name string, kpi_value decimal(28,4), kpi_unit string, dimension string, dimension_value string, "
         "as_of_date date, computed_at timestamp_ntz"

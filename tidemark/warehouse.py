@@ -1,23 +1,29 @@
 """Tables on shared storage.
 
-Two kinds of table, both plain Parquet:
+Three kinds of table, all plain Parquet:
 
 * partitioned by batch: writing a batch again replaces that batch and nothing else;
-* versioned: each write makes a new `version=n` folder, and a row in the table's `commits` makes it
-  the current one. A version is read only after its commit, so a lost job leaves the old one in
-  force, and a table may be read while its next version is written. One writer per table.
+* in parts, which are buckets of the key or months: a write makes new files for the parts it touches, below
+  `version=n/part=p`, and a row in the table's `commits` names the version that each part is at;
+* whole: each write makes a new `version=n` folder, and the commit makes it the current one.
 
-In a versioned table with history, `is_current=true` holds the whole current state of its version and
-`is_current=false` only the rows which that version closed, so history is never rewritten.
+A version is read only after its commit, so a lost job leaves the old one in force, and a table may be read
+while its next version is written. Files of earlier versions stay, so a commit can also be compared with an
+earlier one, part by part. One writer per table.
+
+A table with history holds its current rows in parts and appends the rows that a version closed below
+`closed/version=n`, so history is never rewritten.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass, field
 from datetime import datetime
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,13 +37,48 @@ BATCHED = {
     "bronze.rejected_records": ["batch_id", "source_table"],
     "silver.order_items": ["batch_id"],
     "silver.payments": ["batch_id"],
-    "gold.fact_sales": ["batch_id"],
     "metadata.dq_results": ["batch_id", "table_name"],
 }
 APPENDED = [
     "metadata.pipeline_runs", "metadata.watermarks", "metadata.error_log", "metadata.schema_changes",
 ]
 HISTORY = ["silver.customers", "silver.sellers", "gold.dim_customer", "gold.dim_seller"]
+# Tables in buckets of these keys.
+KEYED = {
+    "silver.customers": ["customer_id"],
+    "silver.orders": ["order_id"],
+    "silver.products": ["product_id"],
+    "silver.sellers": ["seller_id"],
+    "gold.dim_customer": ["customer_id"],
+    "gold.dim_product": ["product_id"],
+    "gold.dim_seller": ["seller_id"],
+}
+# Tables in months, as yyyymm; a row without a date is in month 0.
+MONTHLY = {
+    "gold.fact_sales": "coalesce(order_date_key div 100, 0)",
+    "gold.revenue_mart": "year * 100 + month",
+    "gold.mart_state": "year * 100 + month",
+}
+#: Buckets of a new table, unless the session says otherwise in this setting: some gigabytes of table each.
+BUCKETS, BUCKETS_SETTING = 8, "spark.tidemark.buckets"
+PART = "part"
+COMMIT = "version bigint, committed_at timestamp_ntz, parts map<bigint,bigint>, buckets int, notes map<string,string>"
+
+
+@dataclass(frozen=True)
+class Commit:
+    """What a version of a table consists of: the version of each part, the buckets, and what its writer noted."""
+
+    version: int = 0
+    parts: dict[int, int] = field(default_factory=dict)
+    buckets: int | None = None
+    notes: dict[str, str] = field(default_factory=dict)
+
+    def since(self, earlier: Commit) -> list[int]:
+        """The parts written, or emptied, after an earlier commit of the table."""
+        if self.buckets != earlier.buckets:  # buckets were dealt anew
+            return sorted(self.parts)
+        return sorted(p for p in self.parts.keys() | earlier.parts.keys() if self.parts.get(p) != earlier.parts.get(p))
 
 
 def _empty(schema: T.StructType) -> str:
@@ -62,30 +103,63 @@ class Warehouse:
                 return None
             raise
 
+    def commit(self, table: str, version: int | None = None) -> Commit:
+        """The commit in force, or that of an earlier version; version 0 is the table before its first."""
+        commits = self._load(f"{self.path(table)}/commits", T.StructType.fromDDL(COMMIT))
+        if commits is None or version == 0:
+            return Commit()
+        if version is not None:
+            commits = commits.where(F.col("version") == version)
+        row = commits.orderBy(F.desc("version")).first()
+        return Commit(row["version"], row["parts"] or {}, row["buckets"], row["notes"] or {}) if row else Commit()
+
     def version(self, table: str) -> int:
         """The committed version; 0 before the first."""
-        commits = self._load(f"{self.path(table)}/commits", T.StructType.fromDDL("version bigint"))
-        return 0 if commits is None else commits.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        return self.commit(table).version
 
-    def read(self, table: str) -> DataFrame:
-        """The table as last committed; empty if it was never written."""
+    def read(self, table: str, parts: Iterable[int] | None = None, version: int | None = None) -> DataFrame:
+        """The table as last committed, or at an earlier version; empty if it was never written.
+
+        Given parts, only their files are opened; of a table with history these hold its current rows.
+        """
         schema = schema_of(table)
         if table in BATCHED or table in APPENDED:
             df = self._load(self.path(table), schema)
-        elif table in HISTORY:
-            version = self.version(table)
-            df = None
-            if version:
-                df = self._load(f"{self.path(table)}/data", T.StructType(schema.fields + [T.StructField("version", T.LongType())]))
-                now, past = F.col("version") == version, F.col("version") <= version
-                df = df.where((F.col("is_current") & now) | (~F.col("is_current") & past))
+        elif table in KEYED or table in MONTHLY:
+            found = self.commit(table, version)
+            wanted = found.parts if parts is None else [p for p in dict.fromkeys(parts) if p in found.parts]
+            folders = [f"{self.path(table)}/data/version={found.parts[p]}/{PART}={p}" for p in wanted]
+            df = self.spark.read.schema(schema).parquet(*folders) if folders else None
+            if table in HISTORY and parts is None and found.version:
+                closed = self._closed(table, found.version)
+                df = df if closed is None else closed if df is None else df.unionByName(closed)
         else:
-            version = self.version(table)
-            df = self._load(f"{self.path(table)}/data/version={version}", schema) if version else None
+            at = self.commit(table, version).version
+            df = self._load(f"{self.path(table)}/data/version={at}", schema) if at else None
         if df is None:
             return self.spark.sql(_empty(schema))
         return df.select(*schema.names)
 
+    def _closed(self, table: str, version: int) -> DataFrame | None:
+        schema = schema_of(table)
+        rows = self._load(f"{self.path(table)}/closed", T.StructType([*schema.fields, T.StructField("version", T.LongType())]))
+        return None if rows is None else rows.where(F.col("version") <= version).select(*schema.names)
+
+    def _buckets(self, table: str, known: Commit) -> int | None:
+        if table not in KEYED:
+            return None
+        return known.buckets or int(self.spark.conf.get(BUCKETS_SETTING, str(BUCKETS)))
+
+    def _part(self, table: str, buckets: int | None) -> Column:
+        if table in MONTHLY:
+            return F.expr(MONTHLY[table]).cast("bigint")
+        return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in KEYED[table]]), F.lit(buckets))
+
+    def parts_of(self, table: str, df: DataFrame) -> list[int]:
+        """The parts that rows with the table's key belong to: at most as many as the table has buckets or months."""
+        part = self._part(table, self._buckets(table, self.commit(table)))
+        return sorted(r[0] for r in df.select(part.alias(PART)).distinct().collect())
+
     def exists(self, table: str) -> bool:
         if table in BATCHED or table in APPENDED:
             return self._load(self.path(table), schema_of(table)) is not None
@@ -109,15 +183,53 @@ class Warehouse:
     def append(self, df: DataFrame, table: str) -> None:
         align_columns(df, schema_of(table)).write.mode("append").parquet(self.path(table))
 
-    def replace(self, df: DataFrame, table: str, run_ts: datetime) -> None:
-        """Write the next version and commit it."""
-        following = self.version(table) + 1
-        writer = align_columns(df, schema_of(table)).write.mode("overwrite")
-        if table in HISTORY:
-            writer = writer.partitionBy("is_current")
-        writer.parquet(f"{self.path(table)}/data/version={following}")
-        commit = self.spark.range(1).select(F.lit(following).cast("bigint").alias("version"), moment(run_ts).alias("committed_at"))
-        commit.coalesce(1).write.mode("append").parquet(f"{self.path(table)}/commits")
+    def replace(self, df: DataFrame, table: str, run_ts: datetime, notes: dict[str, str] | None = None) -> None:
+        """Write the whole table anew and commit it. A table in buckets takes the session's number of them."""
+        if table in KEYED or table in MONTHLY:
+            self.write_parts(df, table, None, run_ts, notes)
+            return
+        known = self.commit(table)
+        align_columns(df, schema_of(table)).write.mode("overwrite").parquet(f"{self.path(table)}/data/version={known.version + 1}")
+        self._commit(table, Commit(known.version + 1, {}, None, notes or {}), run_ts)
+
+    def write_parts(
+        self,
+        df: DataFrame,
+        table: str,
+        parts: list[int] | None,
+        run_ts: datetime,
+        notes: dict[str, str] | None = None,
+        closed: DataFrame | None = None,
+    ) -> None:
+        """Put these rows in place of the given parts, or of all, and leave the files of the others as they are.
+
+        The rows must belong to those parts. Notes are added to the ones before. `closed` are rows of a table with
+        history that this version closes.
+        """
+        known = self.commit(table)
+        following = known.version + 1
+        buckets = self._buckets(table, Commit() if parts is None else known)
+        folder = f"{self.path(table)}/data/version={following}"
+        rows = align_columns(df, schema_of(table)).withColumn(PART, self._part(table, buckets))
+        # Neighbours in one file, and a part of any size spread over as many tasks as it needs.
+        rows.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(folder)
+        if closed is not None:
+            align_columns(closed, schema_of(table)).write.mode("overwrite").parquet(f"{self.path(table)}/closed/version={following}")
+        listed = self._load(folder, T.StructType.fromDDL(f"{PART} bigint"))
+        written = {r[0]: following for r in listed.distinct().collect()}
+        kept = {} if parts is None else {p: v for p, v in known.parts.items() if p not in set(parts)}
+        self._commit(table, Commit(following, kept | written, buckets, known.notes | (notes or {})), run_ts)
+
+    def note(self, table: str, notes: dict[str, str], run_ts: datetime) -> None:
+        """Commit the table as it is, with other notes."""
+        known = self.commit(table)
+        if any(known.notes.get(k) != v for k, v in notes.items()):
+            self._commit(table, Commit(known.version + 1, known.parts, known.buckets, known.notes | notes), run_ts)
+
+    def _commit(self, table: str, commit: Commit, run_ts: datetime) -> None:
+        row = (commit.version, run_ts, commit.parts, commit.buckets, commit.notes)
+        rows = self.spark.createDataFrame([row], COMMIT).coalesce(1)
+        rows.write.mode("append").parquet(f"{self.path(table)}/commits")
 
     def publish(self) -> list[str]:
         """Make every table readable in SQL as `layer.table`, at its current version."""
@@ -153,14 +265,17 @@ class Warehouse:
         fields = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
         if table in APPENDED:
             return f"SELECT {fields} FROM parquet.`{self.path(table)}`"
-        version = self.version(table)
-        if table in HISTORY:
-            return (
-                f"SELECT {fields} FROM parquet.`{self.path(table)}/data` "
-                f"WHERE (CAST(is_current AS BOOLEAN) AND version = {version}) "
-                f"OR (NOT CAST(is_current AS BOOLEAN) AND version <= {version})"
-            )
-        return f"SELECT {fields} FROM parquet.`{self.path(table)}/data/version={version}`"
+        found = self.commit(table)
+        if table not in KEYED and table not in MONTHLY:
+            return f"SELECT {fields} FROM parquet.`{self.path(table)}/data/version={found.version}`"
+        by_version: dict[int, list[int]] = {}
+        for part, version in found.parts.items():
+            by_version.setdefault(version, []).append(part)
+        wanted = [f"(version = {v} AND {PART} IN ({', '.join(map(str, sorted(p)))}))" for v, p in sorted(by_version.items())]
+        selects = [f"SELECT {fields} FROM parquet.`{self.path(table)}/data` WHERE {' OR '.join(wanted)}"] if wanted else []
+        if table in HISTORY and self._closed(table, found.version) is not None:
+            selects.append(f"SELECT {fields} FROM parquet.`{self.path(table)}/closed` WHERE version <= {found.version}")
+        return " UNION ALL ".join(selects) or _empty(schema)
 
     def export_csv(self, target: str, tables: list[str]) -> dict[str, str]:
         """Write tables as CSV folders with a header; a table that fails does not stop the others."""
