@@ -92,4 +92,4 @@ def test_keys(spark):
     assert rows(repeated_current_keys(dim, "id")) == [("a", 2)]
     fact = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k bigint")
     known = spark.createDataFrame([(2,)], "k bigint")
-    assert rows(orphan_keys(fact, "k", known)) == [("k", 1, 2)]
+    assert rows(orphan_keys(fact, {"k": (known, "k")})) == [("k", 1, 2)]

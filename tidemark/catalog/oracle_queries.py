@@ -394,6 +394,10 @@ ORACLE: dict[str, str] = {
     "upsert_orders": f"""WITH {ORDERS} SELECT order_id, customer_id, CASE order_status WHEN 'delivered' THEN 'created' ELSE order_status END AS order_status,
         order_purchase_timestamp, is_late_delivery, CASE order_status WHEN 'processing' THEN {TS} ELSE {OLD} END AS created_at,
         CASE order_status WHEN 'delivered' THEN {OLD} ELSE {TS} END AS updated_at FROM s_orders""",
+    "upsert_buckets": f"""WITH {ORDERS}, dearest AS (SELECT CAST(o_orderkey AS VARCHAR) AS dear FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 1)
+      SELECT order_id, customer_id, CASE WHEN order_id = dear THEN 'disputed' WHEN order_status = 'delivered' THEN 'created' ELSE order_status END AS order_status,
+        order_purchase_timestamp, is_late_delivery, CASE order_status WHEN 'processing' THEN {TS} ELSE {OLD} END AS created_at,
+        CASE WHEN order_status = 'delivered' AND order_id <> dear THEN {OLD} ELSE {TS} END AS updated_at FROM s_orders, dearest""",
     "upsert_generic": """WITH known AS (
         SELECT o_custkey, o_orderpriority, max(CAST(o_totalprice AS DECIMAL(12,2))) AS value, count(*) AS orders, min(o_orderdate) AS first_seen
         FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
@@ -428,6 +432,7 @@ ORACLE: dict[str, str] = {
     "fact_sales": f"WITH {FACT} SELECT * FROM fact",
     "revenue_by_month": f"WITH {MONTHS} SELECT * FROM months",
     "revenue_mart": f"WITH {MART} SELECT * FROM mart",
+    "mart_increment": f"WITH {MART} SELECT * EXCLUDE (computed_at) FROM mart",
     "rank_in_month": f"WITH {MONTHS} SELECT {MONTH_COLUMNS}, {RANK} AS revenue_rank_in_month FROM months",
     "running_revenue": f"WITH {MONTHS} SELECT {MONTH_COLUMNS}, {RUNNING} AS cumulative_revenue FROM months",
     "prev_month": f"WITH {MONTHS} SELECT {MONTH_COLUMNS}, {PREVIOUS} AS prev_month_revenue FROM months",

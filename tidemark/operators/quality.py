@@ -311,13 +311,18 @@ def repeated_current_keys(dimension: DataFrame, key: str) -> DataFrame:
     return repeated_keys(dimension.where("is_current"), [key])
 
 
-def orphan_keys(fact: DataFrame, key: str, dimension: DataFrame, dimension_key: str | None = None) -> DataFrame:
-    """Non-NULL keys of a fact that the dimension lacks, with the number of rows that use them.
+def orphan_keys(fact: DataFrame, relations: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Non-NULL keys of a fact that their dimension lacks, with the number of rows that use them.
 
-    The fact is counted per key first, so the join sees each key once however often it occurs.
+    `relations` gives, for each key of the fact, the dimension and the column it points to. The keys of all
+    relations are stacked and counted together, so the fact is read and shuffled once and the counts, each key
+    once however often it occurs, meet all dimensions in one join.
     """
-    used = fact.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
-    known = dimension.select(F.col(dimension_key or key).alias("key"))
-    return used.join(known, "key", "left_anti").select(
-        F.lit(key).alias("key_name"), F.col("key").cast("bigint").alias("key"), "rows"
-    )
+    keys = [F.struct(F.lit(name).alias("key_name"), F.col(name).cast("bigint").alias("key")) for name in relations]
+    used = fact.select(F.explode(F.array(*keys)).alias("k")).select("k.*").where("key IS NOT NULL")
+    used = used.groupBy("key_name", "key").agg(F.count(F.lit(1)).alias("rows"))
+    known = [
+        dimension.select(F.lit(name).alias("key_name"), F.col(column).cast("bigint").alias("key"))
+        for name, (dimension, column) in relations.items()
+    ]
+    return used.join(reduce(DataFrame.unionByName, known), ["key_name", "key"], "left_anti")

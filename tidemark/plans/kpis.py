@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.moments import day, moment
 from tidemark.functions.numbers import ratio
+from tidemark.session import settled
 
 TOP = 10
 GROWTH_STATE = "SP"
@@ -20,18 +21,29 @@ def order_figures(fact: DataFrame) -> DataFrame:
 
     Each order is summed first; the four figures are then sums over orders.
     """
-    per_order = fact.groupBy("order_id").agg(
+    return _order_ratios(fact.groupBy("order_id").agg(*_sums()).agg(*_sums_of_orders()))
+
+
+def _sums() -> list[Column]:
+    return [
         F.sum("total_item_value").alias("value"),
         F.count("is_late_delivery").alias("flagged"),
         F.count_if("is_late_delivery").alias("late"),
-    )
-    return per_order.agg(
+    ]
+
+
+def _sums_of_orders() -> list[Column]:
+    return [
         F.sum("value").cast("decimal(26,2)").alias("revenue"),
         F.count("order_id").alias("orders"),
         F.count("value").alias("valued_orders"),
         F.sum("flagged").alias("flagged"),
         F.sum("late").alias("late"),
-    ).select(
+    ]
+
+
+def _order_ratios(sums: DataFrame) -> DataFrame:
+    return sums.select(
         F.col("revenue").alias("total_revenue"),
         F.col("orders").cast("decimal(16,0)").alias("total_orders"),
         ratio(F.col("revenue"), F.col("valued_orders").cast("decimal(12,0)"), 4).alias("avg_order_value"),
@@ -47,17 +59,36 @@ def current_customers(dim_customer: DataFrame) -> DataFrame:
 
 def _top_revenue(fact: DataFrame, dimension: DataFrame, key: str, label: str) -> DataFrame:
     # Summed per key before the join: a hot key arrives there as one row.
-    per_key = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("total_item_value").alias("value"))
+    per_key = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("total_item_value").alias("revenue"))
+    return _top_labels(per_key, dimension, key, label)
+
+
+def _top_labels(per_key: DataFrame, dimension: DataFrame, key: str, label: str) -> DataFrame:
     named = dimension.where(F.col(label).isNotNull()).select(key, F.col(label).alias("label"))
     return (
         per_key.join(named, key)
         .groupBy("label")
-        .agg(F.sum("value").cast("decimal(26,2)").alias("revenue"))
+        .agg(F.sum("revenue").cast("decimal(26,2)").alias("revenue"))
         .orderBy(F.col("revenue").desc_nulls_first(), "label")
         .limit(TOP)
     )
 
 
+# What GROUPING_ID() is for each set of (order_id, customer_key, product_key).
+_ORDERS, _CUSTOMERS, _PRODUCTS = 0b011, 0b101, 0b110
+
+
+def sums_of_sets(fact: DataFrame) -> DataFrame:
+    """Sums by order, by customer and by product from one read of the fact, settled.
+
+    The orders, by far the most, are then summed to one row; what is written is a row per customer and product.
+    """
+    keys = ["order_id", "customer_key", "product_key"]
+    sets = fact.groupingSets([[F.col(k)] for k in keys], *keys).agg(F.grouping_id().alias("set"), *_sums())
+    one = sets.groupBy("set", "customer_key", "product_key").agg(*_sums_of_orders())
+    return settled(one)
+
+
 def revenue_by_state(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     return _top_revenue(fact, dim_customer, "customer_key", "state")
 
@@ -99,9 +130,19 @@ def build_kpi_summary(
     run_ts: datetime,
     growth_state: str = GROWTH_STATE,
 ) -> DataFrame:
-    """All key figures; each part reads only the columns it needs."""
+    """All key figures, from one read of the fact."""
     everything = F.lit("all")
-    orders = order_figures(fact).select(
+    sums = sums_of_sets(fact)
+
+    def of(which: int, key: str) -> DataFrame:
+        return sums.where((F.col("set") == which) & F.col(key).isNotNull()).select(key, "revenue")
+
+    # Without a sale there is no set of orders either, but still a row of figures.
+    totals = sums.where(F.col("set") == _ORDERS).agg(
+        *[F.sum(c).alias(c) for c in ("revenue", "orders", "valued_orders", "flagged", "late")]
+    )
+    totals = totals.withColumn("orders", F.coalesce("orders", F.lit(0)))
+    orders = _order_ratios(totals).select(
         F.explode(
             F.array(
                 kpi_row("total_revenue", F.col("total_revenue"), "BRL", "overall", everything, as_of),
@@ -114,10 +155,11 @@ def build_kpi_summary(
     customers = current_customers(dim_customer).select(
         kpi_row("total_customers", F.col("total_customers"), "count", "overall", everything, as_of).alias("kpi")
     )
-    states = revenue_by_state(fact, dim_customer).select(
+    states = _top_labels(of(_CUSTOMERS, "customer_key"), dim_customer, "customer_key", "state").select(
         kpi_row("revenue_by_state", F.col("revenue"), "BRL", "state", F.col("label"), as_of).alias("kpi")
     )
-    categories = revenue_by_category(fact, dim_product).select(
+    by_product = of(_PRODUCTS, "product_key")
+    categories = _top_labels(by_product, dim_product, "product_key", "product_category_english").select(
         kpi_row("revenue_by_category", F.col("revenue"), "BRL", "category", F.col("label"), as_of).alias("kpi")
     )
     growth = latest_growth(mart, growth_state).select(
