@@ -323,6 +323,15 @@ ORACLE: dict[str, str] = {
       SELECT * FROM b WHERE batch_id <> '0002' AND (batch_id <> '0001' OR payment_value < 100000)""",
     "fact_batches": """WITH y AS (SELECT year(o_orderdate) AS y FROM orders GROUP BY 1)
       SELECT CAST(y AS VARCHAR) AS batch FROM y WHERE y >= (SELECT max(y) FROM y WHERE y % 2 = 0)""",
+    "csv_roundtrip": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, CAST(length(text) AS INTEGER) AS n_chars, sha256(text) AS text_sha256
+      FROM documents""",
+    "json_props": """SELECT event_id, event_type, array_to_string(list_transform(list_sort(json_keys(props)),
+        lambda k: k || '=' || (json_extract_string(props, '$."' || k || '"'))), ';') AS props FROM events""",
+    "xml_parts": """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_type FROM part WHERE p_type <> 'PROMO'""",
+    "json_bad_records": f"""SELECT CASE WHEN n <> '3' THEN order_id END AS order_id,
+        CASE WHEN n = '3' THEN 'Unparseable record; NULL in order_id; ' END AS reject_reason,
+        CASE WHEN n = '3' THEN '{{"order_id":"' || order_id || '","payment_sequential":"1","payment_type":"BOLETO ","payment_installments":"3","payment_value" "' || v || '"}}' END AS raw
+      FROM (SELECT CAST(o_orderkey AS VARCHAR) AS order_id, substr(o_orderpriority, 1, 1) AS n, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS v FROM orders)""",
     "upsert_last_in_file": """SELECT CAST(o_custkey AS VARCHAR) AS order_id, arg_max(o_orderstatus, o_orderkey) AS order_status
       FROM orders GROUP BY o_custkey""",
     "bronze_order_items": f"""SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber || '.0' AS order_item_id, ' ' || l_partkey AS product_id,

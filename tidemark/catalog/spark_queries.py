@@ -16,8 +16,8 @@ from tidemark.functions.moments import moment
 from tidemark.operators import audit, history, quality, rejects
 from tidemark.plans import dimensions, fact, kpis, mart, reports, silver
 from tidemark.runs import last_watermarks, run_states, superseded
-from tidemark.session import ensure_checkpoint_dir, settled
-from tidemark.sources import newer_than, read_query, read_table
+from tidemark.session import ensure_checkpoint_dir, settled, written
+from tidemark.sources import newer_than, read_csv, read_json, read_query, read_table, read_xml
 from tidemark.warehouse import Warehouse
 
 RUN_TS = datetime(2024, 6, 1, 12, 0, 0)
@@ -250,6 +250,71 @@ def batch_slice(spark, d):
     return silver.batch_slice(_batches(spark, d), "B199707")
 
 
+def _files(spark: SparkSession, lines: DataFrame, kind: str = "text") -> str:
+    """Write a given table as raw files for the readers; returns the folder."""
+    return written(lines, kind)
+
+
+@query
+def csv_roundtrip(spark, d):
+    """Documents as CSV, whose texts have line breaks, quotes and commas in one field, and back."""
+    documents = t.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "text")
+    cells = [F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in documents.columns]
+    # One file with a header, so that several tasks have to cut it.
+    lines = documents.select(F.concat_ws(",", *cells).alias("value"), F.lit(1).alias("n"))
+    head = spark.range(1).select(F.lit("doc_id,lang,text").alias("value"), F.lit(0).alias("n"))
+    path = _files(spark, head.unionByName(lines).coalesce(1).sortWithinPartitions("n").select("value"))
+    back = read_csv(spark, path)
+    return back.select("doc_id", "lang", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def json_props(spark, d):
+    """Events as one JSON list with their properties nested in it, and back, flattened."""
+    events = t.table(spark, d, "events").select(
+        F.to_json(F.struct("event_id", "event_type", F.from_json("props", "map<string,string>").alias("props"))).alias("value")
+    )
+    # Objects over several lines, and a list's commas and brackets.
+    laid_out = events.select(F.concat(F.replace("value", F.lit(","), F.lit(",\n  ")), F.lit(",")).alias("value"), F.lit(1).alias("n"))
+    ends = spark.createDataFrame([("[", 0), ('{"event_id": null}\n]', 2)], "value string, n int")
+    path = _files(spark, ends.unionByName(laid_out).coalesce(1).sortWithinPartitions("n").select("value"))
+    back = read_json(spark, path).where("event_id IS NOT NULL")
+    names = sorted(c for c in back.columns if c.startswith("props."))
+    props = F.array_join(F.filter(F.array(*[F.concat(F.lit(c[6:] + "="), F.col(f"`{c}`")) for c in names]), lambda x: x.isNotNull()), ";")
+    return back.select(F.col("event_id").cast("bigint").alias("event_id"), "event_type", props.alias("props"))
+
+
+@query
+def xml_parts(spark, d):
+    """Parts as XML records; elements of the same tag inside a record, or in a group beside them, are none."""
+    part = t.table(spark, d, "part")
+    text = [F.concat(F.lit(f"<{c}>"), F.replace(F.col(c).cast("string"), F.lit("&"), F.lit("&amp;")), F.lit(f"</{c}>")) for c in ("p_partkey", "p_name", "p_type")]
+    nested = F.concat(F.lit("<part>\n "), *text, F.lit("\n <part>of a part</part></part>"))
+    grouped = F.concat(F.lit("<group>"), nested, F.lit("</group>"))
+    record = F.when(F.col("p_type") == "PROMO", grouped).otherwise(nested)
+    rows = part.select(record.alias("value"), F.lit(1).alias("n"))
+    ends = spark.createDataFrame([("<?xml version='1.0'?>\n<!-- <part> -->\n<parts>", 0), ("</parts>", 2)], "value string, n int")
+    path = _files(spark, ends.unionByName(rows).coalesce(1).sortWithinPartitions("n").select("value"))
+    return read_xml(spark, path, record_tag="part", columns=["p_partkey", "p_name", "p_type"])
+
+
+@query
+def json_bad_records(spark, d):
+    """Payments as JSON of which some miss a colon: those are rejected with their text, the others are loaded."""
+    warehouse = _scratch(spark)
+    paid = t.raw_payments(spark, d)
+    text = F.to_json(F.struct(*paid.columns))
+    broken = F.when(F.col("payment_installments") == "3", F.replace(text, F.lit('"payment_value":'), F.lit('"payment_value" '))).otherwise(text)
+    folder = _files(spark, paid.select(F.concat(broken, F.lit("\n")).alias("value")))
+    source = next(s for s in pipeline.SOURCES if s.table == "payments")
+    pipeline.load_bronze(warehouse, source.read_files(spark, folder), source, BATCH, RUN_TS)
+    loaded = warehouse.read("bronze.payments").select("order_id", F.lit(None).cast("string").alias("reject_reason"), F.lit(None).cast("string").alias("raw"))
+    raw = F.get_json_object("raw_data", "$._bad_record")
+    return loaded.unionByName(
+        warehouse.read("bronze.rejected_records").select(F.lit(None).cast("string").alias("order_id"), "reject_reason", raw.alias("raw"))
+    )
+
+
 @query
 def incremental_filter(spark, d):
     return newer_than(t.raw_orders(spark, d), "order_delivered_at", "1998-03-15 12:00:00")

@@ -18,6 +18,8 @@ from tidemark.functions.text import is_blank
 from tidemark.session import settled
 
 POSITION = "_position"
+#: The text of a record that could not be parsed; a frame may have it as a column.
+BAD = "_bad_record"
 
 
 def named(column: str) -> Column:
@@ -116,6 +118,17 @@ class Validator:
                 )
         return self
 
+    def check_parsed(self) -> Validator:
+        """A record that could not be parsed is rejected; its text is in the row. Frames without such texts are skipped."""
+        if BAD in self.columns:
+            self._add(
+                Check(
+                    "parse_check", "parse_check", "", "ERROR", named(BAD).isNotNull(),
+                    observed="{} unparseable", expected="0 unparseable", reason="Unparseable record; ",
+                )
+            )
+        return self
+
     def check_unique(self, columns: Iterable[str], severity: str = "ERROR") -> Validator:
         """Every row of a key but the first fails; an ERROR rejects it."""
         keys = tuple(columns)

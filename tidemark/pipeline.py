@@ -17,7 +17,7 @@ from tidemark.functions.numbers import to_decimal
 from tidemark.operators.audit import add_audit_columns
 from tidemark.operators.history import CHANGE, changed_versions, dimension_changes, one_per_key, upsert
 from tidemark.operators.keys import number_new_rows
-from tidemark.operators.quality import POSITION, REASON, Validator
+from tidemark.operators.quality import BAD, POSITION, REASON, Validator
 from tidemark.operators.rejects import reject_records
 from tidemark.plans import dimensions, increment, reports, silver
 from tidemark.plans.fact import build_fact_sales, with_sales_keys
@@ -59,17 +59,20 @@ class Source:
     record_tag: str | None = "product"  # XML
 
     def read(self, spark: SparkSession, raw_dir: str) -> DataFrame:
-        path = f"{raw_dir.rstrip('/')}/{self.file}"
-        columns = SOURCE_COLUMNS[self.table]
+        return self.read_files(spark, f"{raw_dir.rstrip('/')}/{self.file}")
+
+    def read_files(self, spark: SparkSession, path: str | list[str]) -> DataFrame:
+        """The rows of a file or several, with their places; records that can't be parsed are rows of their own."""
+        columns, kept = SOURCE_COLUMNS[self.table], {"keep_position": True}
         if self.system == "CSV":
-            return read_csv(spark, path, multi_line=self.multi_line, keep_position=True)
+            return read_csv(spark, path, multi_line=self.multi_line, **kept)
+        kept["keep_bad"] = True
         if self.system == "JSON":
-            return read_json(
-                spark, path, columns=columns, lines=self.lines, record_path=self.record_path, keep_position=True
-            )
-        return read_xml(spark, path, record_tag=self.record_tag, columns=columns, keep_position=True)
+            return read_json(spark, path, columns=columns, lines=self.lines, record_path=self.record_path, **kept)
+        return read_xml(spark, path, record_tag=self.record_tag, columns=columns, **kept)
 
     def rules(self, validator: Validator) -> Validator:
+        validator.check_parsed()
         validator.check_nulls(self.not_null)
         if self.unique:
             validator.check_unique(self.unique)
@@ -152,7 +155,7 @@ def load_bronze(
     """
     table = f"bronze.{source.table}"
     staged = stage(warehouse, df, source.table, batch_id)
-    found = T.StructType([f for f in staged.schema if f.name != POSITION])
+    found = T.StructType([f for f in staged.schema if f.name not in (POSITION, BAD)])
     log_schema_changes(warehouse, table, text_schema(SOURCE_COLUMNS[source.table]), found, batch_id, run_ts)
     checks = source.rules(Validator(staged, table, batch_id))
     metrics = [*checks.count_columns(), F.count_if(checks.is_rejected()).alias("rejected")]

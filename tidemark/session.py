@@ -37,14 +37,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def written(df: DataFrame, kind: str) -> str:
+    """Write a frame below the checkpoint folder; returns where."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/settled-{uuid.uuid4().hex}"
+    df.write.format(kind).save(path)
+    return path
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Write a frame below the checkpoint folder and read it back.
 
     Its rows are then fixed, whatever is lost or computed again later; readers prune columns, and the
     optimizer knows its size, which is what decides about broadcasting it.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/settled-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, "parquet"))

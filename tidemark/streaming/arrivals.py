@@ -1,7 +1,8 @@
-"""Raw text files as they arrive: each one enters bronze exactly once.
+"""Raw files as they arrive: each one enters bronze exactly once.
 
-The same checks and writes as in a full run, driven by a file stream that keeps its place in a
-checkpoint and stops when it has caught up.
+The same reading, checks and writes as in a full run, driven by a file stream that keeps its place in a
+checkpoint and stops when it has caught up. The stream carries only the names of new files: each of them is then
+read by as many tasks as its size asks for, and its bad records go to the rejects.
 """
 
 from __future__ import annotations
@@ -9,49 +10,41 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.text import null_if_in
-from tidemark.lookups import CSV_NULL_TEXTS, JSON_NULL_TEXTS
-from tidemark.operators.quality import POSITION
 from tidemark.pipeline import Source, load_bronze
-from tidemark.schemas import SOURCE_COLUMNS, text_schema
 from tidemark.warehouse import Warehouse
 
+#: Files of one batch at most: their names go through the driver.
+BATCH_FILES = 1_000
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def ingest_arrivals(
-    warehouse: Warehouse, source: Source, folder: str, checkpoint: str, run_ts: datetime, batch_name: str
+    warehouse: Warehouse,
+    source: Source,
+    folder: str,
+    checkpoint: str,
+    run_ts: datetime,
+    batch_name: str,
+    batch_files: int = BATCH_FILES,
 ) -> StreamingQuery:
     """Load the files of a folder that no earlier call has loaded; returns the finished-or-running query.
 
     Batch ids come from the stream's own batch numbers, so a batch repeated after a failure replaces
     what its first attempt wrote.
     """
-    columns = SOURCE_COLUMNS[source.table]
-    reader = warehouse.spark.readStream.schema(text_schema(columns))
-    if source.system == "CSV":
-        files = reader.options(header=True, multiLine=True, escape='"').csv(folder)
-    elif source.system == "JSON":
-        files = reader.options(multiLine=True, mode="FAILFAST").json(folder)
-    else:
-        files = reader.format("xml").options(rowTag="product", mode="FAILFAST").load(folder)
-    null_texts = CSV_NULL_TEXTS if source.system == "CSV" else [*JSON_NULL_TEXTS, ""]
-    rows = files.select(
-        *[null_if_in(F.col(c), null_texts).alias(c) for c in columns],
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
+    reader = warehouse.spark.readStream.format("binaryFile").schema(_FILES).option("maxFilesPerTrigger", batch_files)
+    names = reader.load(folder).select("path")  # the content is not read
 
     def load(batch: DataFrame, number: int) -> None:
-        place = F.struct(
-            F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row")
-        )
-        batch = batch.withColumn(POSITION, place).drop("_file", "_block")
-        load_bronze(warehouse, batch, source, f"{batch_name}_{number:08d}", run_ts)
+        files = [r["path"] for r in batch.collect()]
+        if files:
+            rows = source.read_files(warehouse.spark, files)
+            load_bronze(warehouse, rows, source, f"{batch_name}_{number:08d}", run_ts)
 
     return (
-        rows.writeStream.foreachBatch(load)
+        names.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
