@@ -332,6 +332,30 @@ ORACLE: dict[str, str] = {
         CASE WHEN n = '3' THEN 'Unparseable record; NULL in order_id; ' END AS reject_reason,
         CASE WHEN n = '3' THEN '{{"order_id":"' || order_id || '","payment_sequential":"1","payment_type":"BOLETO ","payment_installments":"3","payment_value" "' || v || '"}}' END AS raw
       FROM (SELECT CAST(o_orderkey AS VARCHAR) AS order_id, substr(o_orderpriority, 1, 1) AS n, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS v FROM orders)""",
+    "schema_changes": f"""WITH n AS (SELECT count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'error') AS errors,
+        count(*) FILTER (event_type = 'click') AS clicks FROM events), c AS (
+        SELECT 'ADD_COLUMN' AS change_type, 'props.k' AS column_name, 0 AS day FROM n WHERE views > 0
+        UNION ALL SELECT 'ADD_COLUMN', 'props.cause.level', 1 FROM n WHERE errors > 0
+        UNION ALL SELECT 'DROP_COLUMN', 'props.cause.level', 2 FROM n WHERE errors > 0 AND clicks > 0
+        UNION ALL SELECT 'DROP_COLUMN', 'event_type', 2 FROM n WHERE clicks > 0)
+      SELECT 'bronze.events' AS table_name, change_type, column_name, CASE change_type WHEN 'DROP_COLUMN' THEN 'string' END AS old_definition,
+        CASE change_type WHEN 'ADD_COLUMN' THEN 'string' END AS new_definition, {TS} + to_days(day) AS detected_at, 'B' || day AS batch_id FROM c""",
+    "json_records": "SELECT o_orderkey AS id, o_orderstatus AS status FROM orders",
+    "json_null_texts": "SELECT p_partkey, CASE WHEN p_type NOT IN ('PROMO', 'SMALL') THEN p_type END AS p_type FROM part",
+    "bronze_load": f"""SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber || '.0' AS order_item_id, ' ' || l_partkey AS product_id,
+        CAST(l_suppkey AS VARCHAR) AS seller_id, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipping_limit_date,
+        CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS price,
+        CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(12,2)) AS VARCHAR) AS freight_value,
+        'CSV' AS source_system, '{BATCH}' AS batch_id, {TS} AS load_timestamp, false AS is_rejected FROM lineitem WHERE l_returnflag <> 'R'""",
+    "bronze_rejects_csv": """SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber || '.0' AS order_item_id, ' ' || l_partkey AS product_id,
+        CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) || 'd' AS price, 'NULL in seller_id; ' AS reject_reason FROM lineitem WHERE l_returnflag = 'R'""",
+    "run_record": f"""SELECT '{BATCH}' AS batch_id, 'bronze.order_items' AS pipeline_name, 'PARTIAL' AS status, count(*) AS total_records_read,
+        count(*) FILTER (l_returnflag <> 'R') AS records_inserted, count(*) FILTER (l_returnflag = 'R') AS records_rejected,
+        strftime(max(l_shipdate) FILTER (l_returnflag <> 'R'), '%Y-%m-%d %H:%M:%S') AS last_loaded_value, 0::BIGINT AS errors FROM lineitem""",
+    "csv_export": """SELECT CAST(p_partkey + 1 AS VARCHAR) AS product_key, CAST(p_partkey AS VARCHAR) AS product_id, lower(p_type) AS product_category_name,
+        CASE WHEN p_type <> 'LARGE' THEN CAST(CAST(p_size * p_size * p_size AS DECIMAL(12,2)) AS VARCHAR) END AS product_volume_cm3 FROM part""",
+    "table_reloaded": """SELECT n_name AS state_code, n_name AS state_name, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey
+      WHERE r_name <> 'ASIA'""",
     "upsert_last_in_file": """SELECT CAST(o_custkey AS VARCHAR) AS order_id, arg_max(o_orderstatus, o_orderkey) AS order_status
       FROM orders GROUP BY o_custkey""",
     "bronze_order_items": f"""SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber || '.0' AS order_item_id, ' ' || l_partkey AS product_id,

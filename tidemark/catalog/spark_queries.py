@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import pipeline, schemas
@@ -15,10 +15,10 @@ from tidemark.catalog import tables as t
 from tidemark.functions.moments import moment
 from tidemark.operators import audit, history, quality, rejects
 from tidemark.plans import dimensions, fact, kpis, mart, reports, silver
-from tidemark.runs import last_watermarks, run_states, superseded
+from tidemark.runs import PipelineRun, last_schema, last_watermarks, log_schema_changes, run_states, superseded
 from tidemark.session import ensure_checkpoint_dir, settled, written
-from tidemark.sources import newer_than, read_csv, read_json, read_query, read_table, read_xml
-from tidemark.warehouse import Warehouse
+from tidemark.sources import leaf_fields, newer_than, read_csv, read_json, read_query, read_table, read_xml
+from tidemark.warehouse import CSV_OPTIONS, Warehouse
 
 RUN_TS = datetime(2024, 6, 1, 12, 0, 0)
 AS_OF = date(2024, 6, 1)
@@ -315,6 +315,98 @@ def json_bad_records(spark, d):
     )
 
 
+@query
+def schema_changes(spark, d):
+    """Events as JSON in three loads: views only, then with the errors, whose properties have a level, then clicks
+    without a type. The log has each nested field's coming and going once."""
+    warehouse, declared = _scratch(spark), schemas.text_schema(["event_id", "event_type"])
+    events = t.table(spark, d, "events").select("event_id", "event_type", F.from_json("props", "map<string,string>")["k"].alias("k"))
+    props = F.struct("k", F.when(F.col("event_type") == "error", F.struct(F.lit(1).alias("level"))).alias("cause"))
+    whole = F.to_json(F.struct("event_id", "event_type", props.alias("props")))
+    loads = [events.where("event_type = 'view'"), events, events.where("event_type = 'click'").withColumn("event_type", F.lit(None).cast("string"))]
+    for day, rows in enumerate(loads):
+        seen, at = Observation(), RUN_TS + timedelta(days=day)
+        path = _files(spark, rows.select(whole.alias("value")))
+        read_json(spark, path, columns=declared.names, lines=True, seen=seen).write.format("noop").mode("overwrite").save()
+        before = last_schema(warehouse.read("metadata.schema_changes"), "bronze.events", declared)
+        log_schema_changes(warehouse, "bronze.events", before, leaf_fields(seen.get["schema"]), f"B{day}", at)
+    return warehouse.read("metadata.schema_changes")
+
+
+@query
+def json_records(spark, d):
+    """Orders as one document per customer, with the list of them inside: the list's elements are the rows."""
+    orders = t.table(spark, d, "orders").select("o_custkey", F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status")).alias("o"))
+    whole = orders.groupBy("o_custkey").agg(F.collect_list("o").alias("orders"))
+    path = _files(spark, whole.select(F.to_json(F.struct("o_custkey", "orders")).alias("value")))
+    return read_json(spark, path, record_path="orders", lines=True).select(F.col("id").cast("bigint").alias("id"), "status")
+
+
+@query
+def json_null_texts(spark, d):
+    """Parts whose types say in words that there is none."""
+    words = F.when(F.col("p_type") == "PROMO", "None").when(F.col("p_type") == "SMALL", "nan").otherwise(F.col("p_type"))
+    path = _files(spark, t.table(spark, d, "part").select(F.to_json(F.struct("p_partkey", words.alias("p_type"))).alias("value")))
+    return read_json(spark, path, lines=True).select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_type")
+
+
+def _loaded_items(spark: SparkSession, d: str) -> Warehouse:
+    """Line items loaded from CSV, of which those that were returned lack their seller."""
+    warehouse = _scratch(spark)
+    items = t.raw_order_items(spark, d)
+    seller = F.when(F.col("price").endswith("d"), F.lit("")).otherwise(F.col("seller_id"))
+    path = f"{warehouse.root}/raw"
+    items.withColumn("seller_id", seller).write.options(**CSV_OPTIONS).csv(path)
+    source = next(s for s in pipeline.SOURCES if s.table == "order_items")
+    with PipelineRun(warehouse, "bronze.order_items", batch_id=BATCH, source_table="order_items", clock=lambda: RUN_TS) as run:
+        counts = pipeline.load_bronze(warehouse, source.read_files(spark, path), source, BATCH, RUN_TS)
+        run.records_read, run.records_inserted, run.records_rejected = counts["read"], counts["inserted"], counts["rejected"]
+    return warehouse
+
+
+@query
+def bronze_load(spark, d):
+    return _loaded_items(spark, d).read("bronze.order_items").select(*schemas.SOURCE_COLUMNS["order_items"], "source_system", "batch_id", "load_timestamp", "is_rejected")
+
+
+@query
+def bronze_rejects_csv(spark, d):
+    """The rejected rows as the CSV that is written beside the table."""
+    warehouse = _loaded_items(spark, d)
+    folder = f"{warehouse.root}/rejected/order_items_{BATCH}_{RUN_TS:%Y%m%d_%H%M%S}_rejected.csv"
+    return read_csv(spark, folder).select("order_id", "order_item_id", "product_id", "price", "reject_reason")
+
+
+@query
+def run_record(spark, d):
+    """The record of a load with rejects, its error log being empty, and the watermark it set."""
+    warehouse = _loaded_items(spark, d)
+    state = run_states(warehouse.read("metadata.pipeline_runs"))
+    mark = last_watermarks(warehouse.read("metadata.watermarks")).where("source_table = 'order_items'").select("last_loaded_value")
+    errors = warehouse.read("metadata.error_log").agg(F.count(F.lit(1)).alias("errors"))
+    columns = ["batch_id", "pipeline_name", "status", "total_records_read", "records_inserted", "records_rejected"]
+    return state.select(*columns).join(F.broadcast(mark)).join(F.broadcast(errors))  # one row each
+
+
+@query
+def csv_export(spark, d):
+    """A dimension exported as CSV, and read back."""
+    warehouse = _scratch(spark)
+    warehouse.replace(t.products(spark, d), "gold.dim_product", RUN_TS)
+    warehouse.export_csv(f"{warehouse.root}/export", ["gold.dim_product"])
+    return read_csv(spark, f"{warehouse.root}/export/dim_product").select("product_key", "product_id", "product_category_name", "product_volume_cm3")
+
+
+@query
+def table_reloaded(spark, d):
+    """A table written whole, and again with fewer rows."""
+    warehouse = _scratch(spark)
+    places = t.places(spark, d).select("state_code", "state_name", "region")
+    warehouse.replace(places, "silver.state_lookup", RUN_TS)
+    warehouse.replace(places.where("region <> 'ASIA'"), "silver.state_lookup", RUN_TS)
+    return warehouse.read("silver.state_lookup")
+
+
 @query
 def incremental_filter(spark, d):
     return newer_than(t.raw_orders(spark, d), "order_delivered_at", "1998-03-15 12:00:00")

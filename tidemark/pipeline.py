@@ -26,6 +26,7 @@ from tidemark.plans.mart import month_states, revenue_by_month, with_metrics
 from tidemark.runs import (
     PipelineRun,
     get_watermark,
+    last_schema,
     loads_of,
     log_schema_changes,
     new_batch_id,
@@ -36,8 +37,8 @@ from tidemark.runs import (
 )
 from tidemark.schemas import FILE_ORDER, NUMBER_LIMITS, SOURCE_COLUMNS, TEXT_LIMITS, schema_of, text_schema
 from tidemark.session import ensure_checkpoint_dir, settled
-from tidemark.sources import newer_than, read_csv, read_json, read_xml
-from tidemark.warehouse import EXPORTED, KEYED, MONTHLY, Warehouse
+from tidemark.sources import leaf_fields, newer_than, read_csv, read_json, read_xml
+from tidemark.warehouse import CSV_OPTIONS, EXPORTED, KEYED, MONTHLY, Warehouse
 
 
 @dataclass(frozen=True)
@@ -58,19 +59,26 @@ class Source:
     record_path: str | None = None  # JSON: where in a document the records are
     record_tag: str | None = "product"  # XML
 
-    def read(self, spark: SparkSession, raw_dir: str) -> DataFrame:
-        return self.read_files(spark, f"{raw_dir.rstrip('/')}/{self.file}")
+    def read(self, spark: SparkSession, raw_dir: str, seen: Observation | None = None) -> DataFrame:
+        return self.read_files(spark, f"{raw_dir.rstrip('/')}/{self.file}", seen)
 
-    def read_files(self, spark: SparkSession, path: str | list[str]) -> DataFrame:
-        """The rows of a file or several, with their places; records that can't be parsed are rows of their own."""
+    def read_files(self, spark: SparkSession, path: str | list[str], seen: Observation | None = None) -> DataFrame:
+        """The rows of a file or several, with their places; records that can't be parsed are rows of their own.
+        `seen` is for `load_bronze`, which learns from it the fields that the columns leave out."""
         columns, kept = SOURCE_COLUMNS[self.table], {"keep_position": True}
         if self.system == "CSV":
             return read_csv(spark, path, multi_line=self.multi_line, **kept)
         kept["keep_bad"] = True
         if self.system == "JSON":
-            return read_json(spark, path, columns=columns, lines=self.lines, record_path=self.record_path, **kept)
+            layout = {"lines": self.lines, "record_path": self.record_path}
+            return read_json(spark, path, columns=columns, seen=seen if self.has_fields else None, **layout, **kept)
         return read_xml(spark, path, record_tag=self.record_tag, columns=columns, **kept)
 
+    @property
+    def has_fields(self) -> bool:
+        """Whether a read says which fields its records have, beside the columns."""
+        return self.system == "JSON" and self.record_path is None
+
     def rules(self, validator: Validator) -> Validator:
         validator.check_parsed()
         validator.check_nulls(self.not_null)
@@ -147,6 +155,7 @@ def load_bronze(
     source: Source,
     batch_id: str,
     run_ts: datetime,
+    seen: Observation | None = None,
 ) -> dict[str, int]:
     """Check the rows and write the valid ones to bronze, the others to the rejects.
 
@@ -156,15 +165,19 @@ def load_bronze(
     table = f"bronze.{source.table}"
     staged = stage(warehouse, df, source.table, batch_id)
     found = T.StructType([f for f in staged.schema if f.name not in (POSITION, BAD)])
-    log_schema_changes(warehouse, table, text_schema(SOURCE_COLUMNS[source.table]), found, batch_id, run_ts)
+    if seen is not None and source.has_fields:
+        found = leaf_fields(seen.get["schema"])
+    before = last_schema(warehouse.read("metadata.schema_changes"), table, text_schema(SOURCE_COLUMNS[source.table]))
+    if found.fields:  # a source without a record has lost no column
+        log_schema_changes(warehouse, table, before, found, batch_id, run_ts)
     checks = source.rules(Validator(staged, table, batch_id))
     metrics = [*checks.count_columns(), F.count_if(checks.is_rejected()).alias("rejected")]
     if source.watermark_col:
         # Over the valid rows only, which are the ones the table will hold.
         stamp = F.when(~checks.is_rejected(), to_moment(F.col(source.watermark_col)))
         metrics.append(F.max(stamp).cast("string").alias("watermark"))
-    seen = Observation()
-    marked = checks.marked().observe(seen, *metrics)
+    counted = Observation()
+    marked = checks.marked().observe(counted, *metrics)
     valid = marked.where(~checks.is_rejected())
     place = staged.schema[POSITION].dataType
     at, row = F.col(POSITION), None
@@ -176,7 +189,7 @@ def load_bronze(
         row = at["row"] if known_file else at
     placed = valid.withColumns({"source_block": at["block"] if known_file else F.lit(0), "source_row": row})
     warehouse.write_batch(add_audit_columns(placed, source.system, batch_id, run_ts, file), table, batch_id)
-    counts = seen.get
+    counts = counted.get
     watermark = counts.get("watermark")
 
     schema = "total bigint, rejected bigint" + "".join(f", {k} bigint" for k in counts if k.startswith("failed"))
@@ -193,7 +206,7 @@ def load_bronze(
             (F.col("batch_id") == batch_id) & (F.col("source_table") == source.table)
         )
         parsed = F.from_json("raw_data", rejected.schema).alias("row")
-        written.select(parsed).select("row.*").write.mode("overwrite").option("header", True).csv(folder)
+        written.select(parsed).select("row.*").write.mode("overwrite").options(**CSV_OPTIONS).csv(folder)
     inserted = counts["total"] - counts["rejected"]
     if inserted:
         update_watermark(warehouse, source.table, watermark or run_ts.strftime("%Y-%m-%d %H:%M:%S"), run_ts)
@@ -520,10 +533,11 @@ def run_bronze(
     warehouse, batch = recorder.warehouse, recorder.outcome.batch_id
 
     def ingest(source: Source) -> dict[str, int]:
-        df = source.read(spark, raw_dir)
+        seen = Observation()
+        df = source.read(spark, raw_dir, seen)
         if incremental and source.watermark_col:
             df = newer_than(df, source.watermark_col, get_watermark(warehouse, source.table))
-        return load_bronze(warehouse, df, source, batch, run_ts)
+        return load_bronze(warehouse, df, source, batch, run_ts, seen)
 
     for source in SOURCES if sources is None else sources:
         recorder.step(

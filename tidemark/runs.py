@@ -158,6 +158,19 @@ def schema_changes(table: str, old: T.StructType, new: T.StructType) -> list[dic
     return changes
 
 
+def last_schema(changes: DataFrame, table: str, declared: T.StructType) -> T.StructType:
+    """The columns a source had when it was last loaded: the declared ones and what the log says since. The log has a
+    row for each change, not for each load."""
+    fields = {f.name: f for f in declared}
+    logged = changes.where(F.col("table_name") == table).orderBy("detected_at", "batch_id", "column_name")
+    for row in logged.collect():
+        if row["change_type"] == "DROP_COLUMN":
+            fields.pop(row["column_name"], None)
+        else:
+            fields[row["column_name"]] = T.StructField(row["column_name"], T._parse_datatype_string(row["new_definition"]))
+    return T.StructType(list(fields.values()))
+
+
 def log_schema_changes(
     warehouse: Warehouse, table: str, old: T.StructType, new: T.StructType, batch_id: str, now: datetime
 ) -> int:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,7 @@ def read_json(
     lines: bool = False,
     keep_position: bool = False,
     keep_bad: bool = False,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Objects, or a list of them, as text columns.
 
@@ -57,7 +58,8 @@ def read_json(
     data is needed to find it. The objects of a list, however it is laid out, are cut by many tasks (see
     `ranges`); with a record path a file is one document and read by one. `lines` says that there is one object
     per line, which saves looking for them. An object that can't be parsed is an error, unless `keep_bad` asks
-    for it as a row that has only `_bad_record`, its text.
+    for it as a row that has only `_bad_record`, its text. `seen` is told, by the job that reads the rows, the
+    schema merged over all objects, also of fields that `columns` leaves out (see `leaf_fields`).
     """
     if record_path is None and encoding.lower() in BYTEWISE:
         if lines:
@@ -65,6 +67,9 @@ def read_json(
             records_ = text.where(F.trim("value") != "").select(position(), F.col("value").alias(RECORD))
         else:
             records_ = records(pieces(spark, path, "}", encoding), json_layout())
+        if seen is not None:
+            merged = F.schema_of_variant_agg(F.try_parse_json(F.regexp_replace(RECORD, _BEFORE, "")))
+            records_ = records_.observe(seen, merged.alias("schema"))
         raw = _parsed_records(records_, columns, keep_bad)
         place = [F.col(POSITION)] if keep_position else []
         leaves = _flat(raw.drop(POSITION, BAD).schema) if normalize else _top(raw.drop(POSITION, BAD).schema)
@@ -98,11 +103,31 @@ def read_json(
     return raw.select(*[null_if_in(c, JSON_NULL_TEXTS).alias(name) for name, c in leaves], *bad, *place)
 
 
+#: What stands before an object: the list's bracket, commas, blanks, a byte order mark.
+_BEFORE = r"^[\s,\[\uFEFF]+"
+
+
+def leaf_fields(merged: str) -> T.StructType:
+    """The fields of a merged JSON schema under dotted names, as `read_json` names its columns. A field with objects
+    in some records and other values in others counts as one field."""
+    kind = T._parse_datatype_string(merged.replace("OBJECT<", "STRUCT<"))
+    if not isinstance(kind, T.StructType):  # no record, or none that is an object
+        return T.StructType()
+
+    def leaves(struct: T.StructType, prefix: str) -> list[T.StructField]:
+        found = []
+        for f in struct:
+            inner = isinstance(f.dataType, T.StructType) and f.dataType.fields
+            found += leaves(f.dataType, f"{prefix}{f.name}.") if inner else [T.StructField(prefix + f.name, T.StringType())]
+        return found
+
+    return T.StructType(leaves(kind, ""))
+
+
 def _parsed_records(found: DataFrame, columns: list[str] | None, keep_bad: bool) -> DataFrame:
     """Objects as columns with their place. Without given columns the schema is merged over all of them."""
     spark = found.sparkSession
-    # What stands before an object: the list's bracket, commas, blanks, a byte order mark.
-    text = F.regexp_replace(RECORD, r"^[\s,\[\uFEFF]+", "")
+    text = F.regexp_replace(RECORD, _BEFORE, "")
     options = {"primitivesAsString": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
     found = found.select(text.alias(RECORD), POSITION)
     if columns:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.pipeline import Source, load_bronze
@@ -40,8 +40,9 @@ def ingest_arrivals(
     def load(batch: DataFrame, number: int) -> None:
         files = [r["path"] for r in batch.collect()]
         if files:
-            rows = source.read_files(warehouse.spark, files)
-            load_bronze(warehouse, rows, source, f"{batch_name}_{number:08d}", run_ts)
+            seen = Observation()
+            rows = source.read_files(warehouse.spark, files, seen)
+            load_bronze(warehouse, rows, source, f"{batch_name}_{number:08d}", run_ts, seen)
 
     return (
         names.writeStream.foreachBatch(load)

@@ -62,6 +62,8 @@ MONTHLY = {
 #: Buckets of a new table, unless the session says otherwise in this setting: some gigabytes of table each.
 BUCKETS, BUCKETS_SETTING = 8, "spark.tidemark.buckets"
 PART = "part"
+#: Quotes in a field are doubled and blanks kept, as common CSV has it.
+CSV_OPTIONS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 COMMIT = "version bigint, committed_at timestamp_ntz, parts map<bigint,bigint>, buckets int, notes map<string,string>"
 
 
@@ -283,7 +285,7 @@ class Warehouse:
         for table in tables:
             try:
                 name = table.split(".")[1]
-                self.read(table).write.mode("overwrite").option("header", True).csv(f"{target.rstrip('/')}/{name}")
+                self.read(table).write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{target.rstrip('/')}/{name}")
                 outcome[table] = "exported"
             except Exception as error:  # noqa: BLE001 - reported per table
                 outcome[table] = f"failed: {error}"
