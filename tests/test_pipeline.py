@@ -304,17 +304,30 @@ def test_overflow_and_new_columns_leave_a_trace(spark, tmp_path):
     (raw / "order_items.csv").write_text(
         "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value,colour\n"
         "o1,1,p1,s1,2024-01-10 00:00:00,12345678901.50,10.00,red\no1,2,p2,s2,2024-01-10 00:00:00,9999999999.00,5,red\n"
-        "o2,1,p1,s1,2024-02-10 00:00:00,abc,1.00,red\n", encoding="utf-8")
+        "o2,1,p1,s1,2024-02-10 00:00:00,abc,1.00,red\no2,2,p1,s1,2024-02-10 00:00:00,1e999,1.00,red\n", encoding="utf-8")
     sources = [s for s in pipeline.SOURCES if s.table == "order_items"]
     outcome = pipeline.run_bronze(spark, str(raw), str(tmp_path / "wh"), RUN_TS, sources)
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     assert (outcome.errors, outcome.rows) == ({}, {"bronze.order_items": 1})
     reasons = sorted(r.reject_reason for r in warehouse.read("bronze.rejected_records").collect())
-    assert reasons == ["Out of range: price; ", "Out of range: total_item_value; "]
-    change = warehouse.read("metadata.schema_changes").first()
+    assert reasons == ["Out of range: price; ", "Out of range: price; ", "Out of range: total_item_value; "]
+    assert pipeline.latest_load(warehouse, "order_items") == outcome.batch_id
+    # The same columns again are no change.
+    assert pipeline.run_bronze(spark, str(raw), str(tmp_path / "wh"), LATER, sources).errors == {}
+    (change,) = warehouse.read("metadata.schema_changes").collect()
     assert (change.table_name, change.column_name, change.change_type) == ("bronze.order_items", "colour", "ADD_COLUMN")
 
 
+def test_new_fields_of_json_are_noticed_once(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw_files(raw, orders_after=[dict(order_id="o9", customer_id="c1", address=dict(zip="1", floor=None))])
+    sources = [s for s in pipeline.SOURCES if s.table == "orders"]
+    for day in (RUN_TS, LATER):
+        assert pipeline.run_bronze(spark, str(raw), str(tmp_path / "wh"), day, sources).errors == {}
+    got = Warehouse(spark, str(tmp_path / "wh")).read("metadata.schema_changes").collect()
+    assert sorted((r.column_name, r.change_type) for r in got) == [("address.floor", "ADD_COLUMN"), ("address.zip", "ADD_COLUMN")]
+
+
 def test_last_row_of_a_file_wins_under_manual_rules(spark, tmp_path):
     raw, root = raw_files(tmp_path / "raw"), str(tmp_path / "wh")
     sources = [s for s in pipeline.MANUAL_SOURCES if s.table == "orders"]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.moments import moment
-from tidemark.functions.numbers import is_number
+from tidemark.functions.numbers import NUMBER_PATTERN, is_number
 from tidemark.functions.text import is_blank
 from tidemark.session import settled
 
@@ -197,7 +197,8 @@ class Validator:
                 c = named(name)
                 failing = c.isNotNull() & c.try_cast(f"decimal({precision},{scale})").isNull()
                 if severity == "ERROR" and self._text(name):
-                    failing = failing & F.coalesce(is_number(c), F.lit(False))
+                    # As it is written: also a number beyond a double is one that the column can't hold.
+                    failing = failing & F.coalesce(c.rlike(NUMBER_PATTERN), F.lit(False))
                 self._add(
                     Check(
                         f"precision_check_{name}", "limit_check", name, severity, failing,

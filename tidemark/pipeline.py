@@ -244,6 +244,14 @@ def load_silver(warehouse: Warehouse, table: str, batch_id: str, run_ts: datetim
     return {**counts, "updated": 0}
 
 
+def latest_load(warehouse: Warehouse, table: str) -> str:
+    """The batch that a bronze table loaded last: by the run records, so that of bronze only that batch's folder is
+    opened; only without any record by a look through the table."""
+    newest = F.max_by("batch", F.struct("start_time", "batch"))
+    noted = loads_of(warehouse.read("metadata.pipeline_runs"), table).agg(newest).first()[0]
+    return noted or silver.latest_batch(warehouse.read(f"bronze.{table}")).first()[0]
+
+
 def merge_rows(
     warehouse: Warehouse, target: str, incoming: DataFrame, run_ts: datetime, order_by: list[str] | None = None
 ) -> dict[str, int]:
@@ -548,14 +556,13 @@ def run_bronze(
 
 
 def run_silver(spark: SparkSession, root: str, run_ts: datetime, batch_id: str | None = None) -> Outcome:
-    """Bring silver up to a bronze batch; without one, to the batch each table loaded last."""
+    """Bring silver up to a bronze batch; without one, to the batch that each table loaded last."""
     recorder = _Recorder(spark, root, batch_id or new_batch_id("silver", run_ts))
     warehouse = recorder.warehouse
     seed_lookups(warehouse, run_ts)
 
     def transform(table: str) -> dict[str, int]:
-        batch = batch_id or silver.latest_batch(warehouse.read(f"bronze.{table}")).first()[0]
-        return load_silver(warehouse, table, batch, run_ts)
+        return load_silver(warehouse, table, batch_id or latest_load(warehouse, table), run_ts)
 
     for table in SOURCE_COLUMNS:
         recorder.step(f"silver.{table}", lambda t=table: transform(t), source_table=f"bronze.{table}")
