@@ -15,7 +15,6 @@ null; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import os
 import zlib
 from dataclasses import dataclass
 
@@ -26,14 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import by_batch, ranked, rows_of, table
-from tidemark.llm.words import encode_batch
+from tidemark.llm.words import ByteLevel, encode_joined
 from tidemark.session import settled
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 CAPACITY = 1024
 END_ID = 2
-#: Chunks whose ids are kept for later batches, before the map is emptied.
-MAP_ENTRIES = 300_000
+#: Bytes of text that are handled together: the more, the fewer distinct chunks in all.
+SLICE_BYTES = 16_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -165,26 +164,10 @@ def token_pieces(
     """One row per piece of a document's ids: doc_id, piece, start, length, ids_crc32."""
 
     def make():
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(vocabulary)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
-        known: dict[str, bytes] = {}
-
-        def encode(chunks: list[str]) -> list[bytes]:
-            if len(known) > MAP_ENTRIES:
-                known.clear()
-            new = [c for c in chunks if c not in known]
-            for i in range(0, len(new), 10_000):
-                part = new[i : i + 10_000]
-                found = tokenizer.encode_batch_fast(part, add_special_tokens=False)
-                known.update(zip(part, [np.array(e.ids, "<i4").tobytes() for e in found], strict=True))
-            return [known[c] for c in chunks]
+        tokenizer = ByteLevel(vocabulary)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids, offsets = encode_batch(batch.column(text_column), encode)
+            ids, offsets = encode_joined(batch.column(text_column), tokenizer)
             n = np.diff(offsets) + 1
             many = -(-n // capacity)
             of = np.repeat(np.arange(len(n)), many)
@@ -213,7 +196,7 @@ def token_pieces(
 
         return step
 
-    return rows_of(docs, id_column, text_column).mapInArrow(by_batch(make), PIECES)
+    return rows_of(docs, id_column, text_column).mapInArrow(by_batch(make, SLICE_BYTES), PIECES)
 
 
 def placed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -23,8 +23,6 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-import os
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import LOCAL_BITS, SLICE_BYTES, rows_of, table
+from tidemark.llm.words import CUT, ByteLevel, Side, gather
 from tidemark.session import settled
 
 VOCABULARY_A = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,7 +50,6 @@ DENSE = 4_096
 #: Rows of postings in one Arrow batch.
 BATCH_ROWS = 20_000
 
-CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Texts with blanks at an end, or with two neighbours that may be white space to a library, are cut with care.
 CAREFUL = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}|\A[\s\x0b\x1c-\x1f\x{85}\p{Z}]|[\s\x0b\x1c-\x1f\x{85}\p{Z}]\z"
 BLANK_PIECE = "▁"
@@ -62,47 +60,10 @@ INDEX = (
 )
 
 
-def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The indices start, start + 1, ... of runs of the given sizes, one after another."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-
-
 def _offsets(sizes) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(np.asarray(sizes, np.int64))]).astype(np.int64)
 
 
-class Side:
-    """A tokenizer: ids of texts, and the bytes of each id."""
-
-    def __init__(self, tokens: list[bytes]):
-        self.sizes = np.array([len(t) for t in tokens], np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.data = np.frombuffer(b"".join(tokens), np.uint8)
-
-    def spelt(self, ids: np.ndarray) -> bytes:
-        return self.data[_gather(self.starts[ids], self.sizes[ids])].tobytes()
-
-
-class ByteLevel(Side):
-    """Byte-level BPE by the tokenizers library. Its input begins with the blank."""
-
-    def __init__(self, vocabulary: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        other = [b for b in range(256) if b not in printable]
-        byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(other)}
-        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        super().__init__([bytes(byte_of.get(c, 0) for c in name) for name in names])
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-
-
 class Pieces(Side):
     """BPE with byte fallback by sentencepiece, which puts the blank before its input itself."""
 
@@ -162,7 +123,7 @@ class Aligner:
         sizes = pc.list_value_length(lists).to_numpy()
         starts = np.cumsum(sizes) - sizes
         back = np.argsort(np.concatenate([np.flatnonzero(~careful), np.flatnonzero(careful)]), kind="stable")
-        code = coded.indices.to_numpy()[_gather(starts[back], sizes[back])]
+        code = coded.indices.to_numpy()[gather(starts[back], sizes[back])]
         return coded.dictionary.to_pylist(), code, _offsets(sizes[back])
 
     def _encode(self, chunks: list[str]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
@@ -392,7 +353,7 @@ def _documents(aligner: Aligner, ids: pa.Array, texts: pa.Array, block: Block) -
     key, times = np.unique(doc[used] * max(1, len(chunks)) + code[used], return_counts=True)
     of, chunk = key // max(1, len(chunks)), key % max(1, len(chunks))
     sizes = np.diff(found.pair_offsets)[chunk]
-    link = found.pairs[_gather(found.pair_offsets[chunk], sizes)]
+    link = found.pairs[gather(found.pair_offsets[chunk], sizes)]
     place = np.repeat(of, sizes) + block.docs
     key = ((link >> 32) << 40) | ((link & 0xFFFFFFFF) << 16) | place
     order = np.argsort(key, kind="stable")

@@ -7,6 +7,7 @@ the distinct chunks and laying out the ids are array operations; only distinct c
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable
 
@@ -28,7 +29,7 @@ def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return lists, np.concatenate([np.flatnonzero(~careful), np.flatnonzero(careful)])
 
 
-def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The indices start, start + 1, ... of runs of the given sizes, one after another."""
     ends = np.cumsum(sizes)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
@@ -39,15 +40,8 @@ def encode_batch(texts: pa.Array, encode: Callable[[list[str]], list[bytes]]) ->
 
     encode gives the ids of distinct non-empty chunks as little-endian 32-bit integers. Null reads as empty.
     """
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    lists, of_text = _pieces(texts)
-    parts = lists.flatten()
-    coded = parts.dictionary_encode()
-    code = coded.indices.to_numpy().astype(np.int64)
-    counts = np.diff(lists.offsets.to_numpy())
-    first = np.zeros(len(code), bool)
-    first[(lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py())[counts > 0]] = True
-    names = coded.dictionary.to_pylist()
+    coded, code, first, order, counts = _coded(texts)
+    names = coded.to_pylist()
 
     # A part that opens its text stands alone; any other has its blank before it.
     inner, opening = np.unique(code[~first]), np.unique(code[first])
@@ -62,10 +56,105 @@ def encode_batch(texts: pa.Array, encode: Callable[[list[str]], list[bytes]]) ->
     chunk = np.empty(len(code), np.int64)
     chunk[~first] = np.searchsorted(inner, code[~first])
     chunk[first] = len(inner) + np.searchsorted(opening, code[first])
-    # The texts in their own order again.
-    back = np.argsort(of_text, kind="stable")
+    return _laid_out(vocabulary, start, size, chunk[order], counts)
+
+
+def _coded(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct parts, the part at each place, whether it opens its text, the places in the order of the texts, how
+    many each text has)."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    lists, of_text = _pieces(texts)
+    coded = lists.flatten().dictionary_encode()
+    code = coded.indices.to_numpy().astype(np.int64)
     begins = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
-    chunk = chunk[_gather(begins[back], counts[back])]
-    ids = vocabulary[_gather(start[chunk], size[chunk])]
+    counts = np.diff(lists.offsets.to_numpy())
+    first = np.zeros(len(code), bool)
+    first[begins[counts > 0]] = True
+    back = np.argsort(of_text, kind="stable")
+    return coded.dictionary, code, first, gather(begins[back], counts[back]), counts[back]
+
+
+def _laid_out(
+    vocabulary: np.ndarray, start: np.ndarray, size: np.ndarray, chunk: np.ndarray, counts: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, and their offsets, from the ids of each chunk and the chunks of each text."""
+    ids = vocabulary[gather(start[chunk], size[chunk])]
     edges = np.concatenate([[0], np.cumsum(size[chunk])])
-    return ids, edges[np.concatenate([[0], np.cumsum(counts[back])])]
+    return ids, edges[np.concatenate([[0], np.cumsum(counts)])]
+
+
+#: White space to any library at an end of a part.
+EDGE_BLANK = r"\A[\s\x0b\x1c-\x1f\x{85}\p{Z}]|[\s\x0b\x1c-\x1f\x{85}\p{Z}]\z"
+#: Chunks that go into one call of the library.
+TOGETHER = 2_000
+
+
+def encode_joined(texts: pa.Array, tokenizer: ByteLevel) -> tuple[np.ndarray, np.ndarray]:
+    """As `encode_batch`, with the distinct chunks put together again by their blanks, thousands in one call of the
+    library, and told apart by the bytes of their tokens: no token crosses such a blank."""
+    distinct, code, first, order, counts = _coded(texts)
+    names = distinct.to_pylist()
+    sizes = pc.binary_length(distinct).to_numpy().astype(np.int64)
+    fit = ~pc.match_substring_regex(distinct, EDGE_BLANK).to_numpy(zero_copy_only=False) & (sizes > 0)
+    inner, opening = np.unique(code[~first]), np.unique(code[first])
+    joint = inner[fit[inner]]
+    runs = [joint[k : k + TOGETHER] for k in range(0, len(joint), TOGETHER)]
+    joined = [" " + " ".join([names[c] for c in run.tolist()]) for run in runs]
+    many, parts, alone = np.zeros(len(joint), np.int64), [], [inner[~fit[inner]]]
+    for k, (run, ids) in enumerate(zip(runs, tokenizer.encode_bare(joined), strict=True)):
+        ids = np.array(ids, np.int64)
+        token_ends, ends = np.cumsum(tokenizer.sizes[ids]), np.cumsum(sizes[run] + 1)
+        at = np.searchsorted(token_ends, ends)
+        if np.array_equal(token_ends[at], ends):
+            many[k * TOGETHER : k * TOGETHER + len(run)] = np.diff(at + 1, prepend=0)
+            parts.append(ids)
+        else:
+            alone.append(run)
+    single = np.concatenate(alone)
+    bare = [" " + names[c] for c in single.tolist()] + [names[c] for c in opening.tolist()]
+    found = tokenizer.encode_bare(bare)
+
+    vocabulary = np.concatenate([*parts, *[np.array(ids, np.int64) for ids in found], np.zeros(0, np.int64)])
+    size = np.concatenate([many, [len(ids) for ids in found]]).astype(np.int64)
+    start = np.cumsum(size) - size
+    # Where each part is found: as an inner chunk, and as one that opens a text.
+    inside, at_start = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+    inside[joint] = np.arange(len(joint))
+    inside[single] = len(joint) + np.arange(len(single))
+    at_start[opening] = len(joint) + len(single) + np.arange(len(opening))
+    chunk = np.where(first, at_start[code], inside[code])
+    return _laid_out(vocabulary, start, size, chunk[order], counts)
+
+
+class Side:
+    """A tokenizer: ids of texts, and the bytes of each id."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def spelt(self, ids: np.ndarray) -> bytes:
+        return self.data[gather(self.starts[ids], self.sizes[ids])].tobytes()
+
+
+class ByteLevel(Side):
+    """Byte-level BPE by the tokenizers library; `encode` puts a blank before each text."""
+
+    def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = [b for b in range(256) if b not in printable]
+        byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(other)}
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        super().__init__([bytes(byte_of.get(c, 0) for c in name) for name in names])
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return self.encode_bare([" " + t for t in texts])
+
+    def encode_bare(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
