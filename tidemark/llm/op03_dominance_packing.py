@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import by_batch, ranked, rows_of, table
-from tidemark.llm.words import ByteLevel, encode_joined
+from tidemark.llm.words import ByteLevel, Joined
 from tidemark.session import settled
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -164,10 +164,10 @@ def token_pieces(
     """One row per piece of a document's ids: doc_id, piece, start, length, ids_crc32."""
 
     def make():
-        tokenizer = ByteLevel(vocabulary)
+        encoder = Joined(ByteLevel(vocabulary))
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids, offsets = encode_joined(batch.column(text_column), tokenizer)
+            ids, offsets = encoder.encode(batch.column(text_column))
             n = np.diff(offsets) + 1
             many = -(-n // capacity)
             of = np.repeat(np.arange(len(n)), many)

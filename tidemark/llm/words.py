@@ -85,45 +85,63 @@ def _laid_out(
 
 #: White space to any library at an end of a part.
 EDGE_BLANK = r"\A[\s\x0b\x1c-\x1f\x{85}\p{Z}]|[\s\x0b\x1c-\x1f\x{85}\p{Z}]\z"
-#: Chunks that go into one call of the library.
-TOGETHER = 2_000
+#: Chunks that go into one call of the library, and that are kept for the next batch.
+TOGETHER, KEPT = 2_000, 600_000
 
 
-def encode_joined(texts: pa.Array, tokenizer: ByteLevel) -> tuple[np.ndarray, np.ndarray]:
-    """As `encode_batch`, with the distinct chunks put together again by their blanks, thousands in one call of the
+class Joined:
+    """As `encode_batch`, with the new chunks put together again by their blanks, thousands in one call of the
     library, and told apart by the bytes of their tokens: no token crosses such a blank."""
-    distinct, code, first, order, counts = _coded(texts)
-    names = distinct.to_pylist()
-    sizes = pc.binary_length(distinct).to_numpy().astype(np.int64)
-    fit = ~pc.match_substring_regex(distinct, EDGE_BLANK).to_numpy(zero_copy_only=False) & (sizes > 0)
-    inner, opening = np.unique(code[~first]), np.unique(code[first])
-    joint = inner[fit[inner]]
-    runs = [joint[k : k + TOGETHER] for k in range(0, len(joint), TOGETHER)]
-    joined = [" " + " ".join([names[c] for c in run.tolist()]) for run in runs]
-    many, parts, alone = np.zeros(len(joint), np.int64), [], [inner[~fit[inner]]]
-    for k, (run, ids) in enumerate(zip(runs, tokenizer.encode_bare(joined), strict=True)):
-        ids = np.array(ids, np.int64)
-        token_ends, ends = np.cumsum(tokenizer.sizes[ids]), np.cumsum(sizes[run] + 1)
-        at = np.searchsorted(token_ends, ends)
-        if np.array_equal(token_ends[at], ends):
-            many[k * TOGETHER : k * TOGETHER + len(run)] = np.diff(at + 1, prepend=0)
-            parts.append(ids)
-        else:
-            alone.append(run)
-    single = np.concatenate(alone)
-    bare = [" " + names[c] for c in single.tolist()] + [names[c] for c in opening.tolist()]
-    found = tokenizer.encode_bare(bare)
-
-    vocabulary = np.concatenate([*parts, *[np.array(ids, np.int64) for ids in found], np.zeros(0, np.int64)])
-    size = np.concatenate([many, [len(ids) for ids in found]]).astype(np.int64)
-    start = np.cumsum(size) - size
-    # Where each part is found: as an inner chunk, and as one that opens a text.
-    inside, at_start = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
-    inside[joint] = np.arange(len(joint))
-    inside[single] = len(joint) + np.arange(len(single))
-    at_start[opening] = len(joint) + len(single) + np.arange(len(opening))
-    chunk = np.where(first, at_start[code], inside[code])
-    return _laid_out(vocabulary, start, size, chunk[order], counts)
+
+    def __init__(self, tokenizer: ByteLevel):
+        self.tokenizer = tokenizer
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}  # of each chunk that is not the first of its text, without its blank
+        self.ids, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        distinct, code, first, order, counts = _coded(texts)
+        names = distinct.to_pylist()
+        if len(self.number) > KEPT:
+            self._forget()
+        inner, opening = np.unique(code[~first]), np.unique(code[first])
+        inner_names = [names[c] for c in inner.tolist()]
+        self._learn(distinct, inner[[name not in self.number for name in inner_names]], names)
+        found = self.tokenizer.encode_bare([names[c] for c in opening.tolist()])
+
+        vocabulary = np.concatenate([self.ids, *[np.array(ids, np.int32) for ids in found]])
+        size = np.concatenate([self.size, [len(ids) for ids in found]]).astype(np.int64)
+        inside, at_start = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        inside[inner] = [self.number[name] for name in inner_names]
+        at_start[opening] = len(self.size) + np.arange(len(opening))
+        chunk = np.where(first, at_start[code], inside[code])
+        return _laid_out(vocabulary, np.cumsum(size) - size, size, chunk[order], counts)
+
+    def _learn(self, distinct: pa.Array, new: np.ndarray, names: list[str]) -> None:
+        sizes = pc.binary_length(distinct).to_numpy().astype(np.int64)
+        fit = ~pc.match_substring_regex(distinct, EDGE_BLANK).to_numpy(zero_copy_only=False) & (sizes > 0)
+        joint = new[fit[new]]
+        runs = [joint[k : k + TOGETHER] for k in range(0, len(joint), TOGETHER)]
+        joined = [" " + " ".join([names[c] for c in run.tolist()]) for run in runs]
+        learnt, many, parts, alone = [], [], [], [new[~fit[new]]]
+        for run, ids in zip(runs, self.tokenizer.encode_bare(joined), strict=True):
+            ids = np.array(ids, np.int32)
+            token_ends, ends = np.cumsum(self.tokenizer.sizes[ids]), np.cumsum(sizes[run] + 1)
+            at = np.searchsorted(token_ends, ends)
+            if np.array_equal(token_ends[at], ends):
+                learnt.append(run)
+                many.append(np.diff(at + 1, prepend=0))
+                parts.append(ids)
+            else:
+                alone.append(run)
+        single = np.concatenate(alone)
+        found = self.tokenizer.encode_bare([" " + names[c] for c in single.tolist()])
+        every = np.concatenate([*learnt, single])
+        self.number.update(zip([names[c] for c in every.tolist()], range(len(self.size), len(self.size) + len(every)), strict=True))
+        self.ids = np.concatenate([self.ids, *parts, *[np.array(ids, np.int32) for ids in found]])
+        self.size = np.concatenate([self.size, *many, [len(ids) for ids in found]]).astype(np.int64)
 
 
 class Side:
