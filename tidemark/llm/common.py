@@ -102,13 +102,13 @@ def components(edges: DataFrame) -> DataFrame:
 SLICE_BYTES = 8_000_000
 
 
-def by_batch(make, slice_bytes: int = SLICE_BYTES):
+def by_batch(make):
     """For mapInArrow: set up once a task, then turn each batch into one batch, a slice of it at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            rows = max(1, int(batch.num_rows * slice_bytes / max(1, batch.nbytes)))
+            rows = max(1, int(batch.num_rows * SLICE_BYTES / max(1, batch.nbytes)))
             for start in range(0, batch.num_rows, rows):
                 yield step(batch.slice(start, rows))
 
