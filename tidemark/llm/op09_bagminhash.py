@@ -7,7 +7,8 @@ smallest value; two registers are equal with just the probability of the weighte
 Points come in rising order, so a process stops once it is past the largest register.
 
 Texts with equal multisets are one class, and only one of them goes on. Classes that share a band of registers are
-candidates. The members of a band's bucket are dealt into blocks of bounded size, and each pair of blocks is
+candidates; a bucket whose members are those of an earlier band's is left out, as its pairs met there. The members of
+a band's bucket are dealt into blocks of bounded size, and each pair of blocks is
 one piece of work: no row is made for a pair of documents. There, pairs that met in an earlier band are left out, and
 so are those whose registers agree too little to leave any doubt; the others are verified on the multisets
 themselves, as products of 0-1 vectors. Of the verified pairs, which are links, a piece returns those that connect
@@ -131,6 +132,16 @@ def signatures(text: np.ndarray, shingle: np.ndarray, times: np.ndarray, n: int,
     return registers.reshape(n, m)
 
 
+def band_hashes(registers: np.ndarray) -> np.ndarray:
+    """The hash of each band of registers, which are given by their bits: n x BANDS."""
+    n = len(registers)
+    bits = registers.astype(U).reshape(n, BANDS, ROWS)
+    band = np.broadcast_to(np.arange(BANDS, dtype=U), (n, BANDS)).copy()
+    for k in range(ROWS):
+        band = mixed(band * U(31) + bits[:, :, k] + U(1))
+    return band
+
+
 def sketched(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, (c1, c2) equal for equal multisets only, registers, and the hash of each band."""
 
@@ -145,10 +156,7 @@ def sketched(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
                     np.add.at(sums, text, mixed(shingle + U(salt)) * times.astype(U))
                 classes.append(pa.array(sums.view(np.int64)))
             registers = signatures(text, shingle, times, n).astype("<f4")
-            bits = registers.view(np.uint32).astype(U).reshape(n, BANDS, ROWS)
-            band = np.broadcast_to(np.arange(BANDS, dtype=U), (n, BANDS)).copy()
-            for k in range(ROWS):
-                band = mixed(band * U(31) + bits[:, :, k] + U(1))
+            band = band_hashes(registers.view(np.uint32))
             bands = pa.ListArray.from_arrays(
                 pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(band.reshape(-1).view(np.int64))
             )
@@ -234,8 +242,8 @@ def _occurrences(texts: pa.Array, words: int) -> list[np.ndarray]:
 
 
 def _links(blocks: DataFrame, threshold: float, words: int) -> DataFrame:
-    """(a, b): connecting links of each piece (band, bucket, i, j). blocks: these, doc_id, part, registers, bands,
-    text; rows of a piece lie together."""
+    """(a, b): connecting links of each piece (band, bucket, i, j). blocks: these, doc_id, part, registers, text;
+    rows of a piece lie together."""
 
     def pieces(batches):
         """Tables that hold whole pieces, a bounded number of bytes beyond a single piece at a time."""
@@ -262,7 +270,7 @@ def _links(blocks: DataFrame, threshold: float, words: int) -> DataFrame:
             ids, part = rows.column("doc_id").to_numpy(), rows.column("part").to_numpy()
             band = rows.column("band").to_numpy()
             registers = np.frombuffer(b"".join(rows.column("registers").to_pylist()), "<u4").reshape(len(ids), -1)
-            bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+            bands = band_hashes(registers)
             found = []
             for x, y in zip(edges, edges[1:], strict=False):
                 sets = [distinct[w] for w in which[x:y]]
@@ -299,12 +307,16 @@ def near_duplicates(
     own = settled(sketches.join(members.where("doc_id = class_id").select("doc_id"), "doc_id"))
 
     banded = own.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
-    sizes = banded.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # A bucket with the same members as one of an earlier band holds only pairs that met there.
+    members_of = [F.count(F.lit(1)).alias("size"), *(F.bit_xor(F.xxhash64(F.lit(k), "doc_id")).alias(f"m{k}") for k in (1, 2))]
+    buckets = banded.groupBy("band", "bucket").agg(*members_of).where("size > 1")
+    first = buckets.groupBy("size", "m1", "m2").agg(F.min(F.struct("band", "bucket")).alias("at"))
+    sizes = first.select("at.band", "at.bucket", "size")
     shared = settled(banded.join(sizes.hint("merge"), ["band", "bucket"]))
     # Only documents that share a bucket are needed again; they are many, so both joins shuffle at any size.
     wanted = shared.select("doc_id").distinct()
     texts = docs.join(wanted.hint("merge"), "doc_id", "left_semi")
-    needed = texts.join(own.select("doc_id", "registers", "bands").hint("merge"), "doc_id")
+    needed = texts.join(own.select("doc_id", "registers").hint("merge"), "doc_id")
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = shared.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
     key = ["band", "bucket", "i", "j"]
@@ -312,7 +324,7 @@ def near_duplicates(
         "band", "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "doc_id", "part"
     )
     blocks = paired.join(needed.hint("merge"), "doc_id").repartition(*key).sortWithinPartitions(*key)
-    links = settled(_links(blocks.select(*key, "doc_id", "part", "registers", "bands", "text"), threshold, words))
+    links = settled(_links(blocks.select(*key, "doc_id", "part", "registers", "text"), threshold, words))
     found = components(links).toDF("class_id", "group_id")
     groups = members.join(found, "class_id", "left").select(
         "doc_id", "class_id", F.coalesce("group_id", "class_id").alias("group_id")
