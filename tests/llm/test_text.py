@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from html import unescape
 
 import pytest
@@ -43,6 +44,75 @@ def test_regions_of_odd_pages(html, text):
     assert regions.main_text(html) == text
 
 
+LONG = "A long paragraph with many words in it, which goes on for quite a while and is the text of this page"
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        # a reader's comment that is an article too
+        (f"<main><article><p>{LONG}</p></article><article class='comment'><p>{LONG} no</p></article></main>", [LONG]),
+        (f"<main><article class='comment'><p>{LONG} no</p></article><article><p>Short.</p></article></main>", ["Short."]),
+        (f"<article><p>{LONG}</p><section id=comments><article><p>{LONG} no</p></article></section></article>", [LONG]),
+        (f"<main><p>{LONG}</p><article class='related-post related'><p>{LONG}</p></article></main>", [LONG]),
+        # marked, but nothing else holds the text
+        (f"<main><article class='widget'><h1>T</h1><p>{LONG}</p></article></main>", ["T", LONG]),
+        (f"<div class='content sidebar'><article><p>{LONG}</p></article></div>", [LONG]),
+        (f"<form><p>Skip</p><div class=sidebar><p>{LONG}</p><p>{LONG}</p></div></form>", [LONG, LONG]),
+        (f"<form><p>{LONG}</p><div class=comments><p>{LONG}</p><p>{LONG} no</p></div></form>", [LONG]),
+        # several articles, and one of links only
+        (f"<article><p>{LONG}</p></article><article><p>Short.</p></article>", [LONG, "Short."]),
+        (f"<main><article><p>{LONG}</p></article><article><p><a>Next</a></p><p><a>Last</a></p></article></main>", [LONG]),
+        # camel case
+        (f"<body><div class='postComments'><p>{LONG} no</p></div><div><h1>T</h1><p>{LONG}</p></div></body>", ["T", LONG]),
+        # a division for each paragraph
+        (f"<div><h1>Title here</h1></div><div><p>{LONG}</p></div><div><p>Short end.</p></div>", ["Title here", LONG, "Short end."]),
+        # divisions of links, within an article and beside a text without one
+        (f"<article><p>{LONG}</p><div>See <a>one of the others</a> <a>and another</a></div><div>End.</div></article>", [LONG, "End."]),
+        (f"<body><div><p>{LONG}</p><p>{LONG}</p><div>On: <a>this topic</a> <a>and that one</a></div></div></body>", [LONG, LONG]),
+        # tables for layout
+        (f"<table><tr><td><a>Home</a><td><p>{LONG}</p><p>{LONG}</p><p>End.</p></table>", [LONG, LONG, "End."]),
+        # nothing but hidden text
+        (f"<div hidden><p>{LONG}</p></div>", []),
+    ],
+)
+def test_regions_by_marks_and_ratio(html, text):
+    assert regions.main_text(html) == text
+
+
+def test_regions_are_chosen_by_the_threshold(monkeypatch):
+    links = "".join(f"<div><a href=x>Some topic {i}</a> and <b>more</b></div>" for i in range(6))
+    html = f"<body><div>{links}</div><div>{f'<p>{LONG}</p>' * 6}<p>End.</p></div></body>"
+    assert regions.main_text(html) == [LONG] * 6 + ["End."]
+    monkeypatch.setattr(regions, "threshold", lambda values: float("-inf"))
+    assert len(regions.main_text(html)) > 7
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div>x" * 50_000,
+        "<div class=ad>x" * 50_000,
+        "<div>x" * 25_000 + "</span>x" * 25_000,
+        "<p><div>" + "<span>" * 25_000 + "<p>x</p>" * 25_000,
+        "<article><b>x" * 25_000,
+        "<div>x</section>" * 25_000,
+    ],
+)
+def test_regions_of_deep_pages(html):
+    start = time.perf_counter()
+    regions.main_text(html)
+    assert time.perf_counter() - start < 10
+
+
+def test_regions_beside_other_columns(spark):
+    rows = [(1, "u", f"<article>{LONG}</article>"), (1, "u", None), (None, None, ""), (3, "w", "a")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' as text", "1 as n_chars")
+    got = sorted(map(tuple, regions.extract(df).collect()), key=str)
+    assert got == [(1, "u", "", 0), (1, "u", LONG, len(LONG)), (3, "w", "a", 1), (None, None, "", 0)]
+    assert regions.extract(df.limit(0)).count() == 0
+
+
 def test_regions_query(spark):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
     got = {r["page_id"]: r for r in regions.op1_content_regions(spark, SMALL).collect()}

@@ -1,12 +1,14 @@
 """Main text of web pages by text-to-tag ratio: parser events, Gaussian smoothing, threshold clustering.
 
 The parser's events are folded, as they come, into lines: runs of text between block tags, each with the number
-of tags in it, the share of its text in links, and where it stands. A line's ratio is its plain text per tag;
-lines of navigation, forms, notices, adverts, comments and the like, known by element, role or the words of
-class and id, count nothing. Ratios are smoothed over neighbouring lines by a Gaussian, and a threshold that
-parts them best into two clusters chooses lines. A region is the nearest article, main, section, division or
-cell around a line; regions with a chosen line are content, and all their own lines that count belong to the
-text, however short. Pages are read in the tasks that hold them; nothing is shuffled.
+of tags in it, the share of its text in links, and the region or marked element it stands in. A line's ratio is its
+plain text per tag; lines of navigation, forms, notices, adverts, comments and the like, known by element, role or
+the words of class and id, count nothing, unless what is marked holds the content. Ratios are smoothed over
+neighbouring lines by a Gaussian, and a threshold that parts them best into two clusters chooses lines. Where a page
+has articles or a main with a chosen line or a fifth of the text, the text is theirs, else that of the smallest
+region of several lines that holds all chosen ones. Of that, all lines that count belong to the text, however short,
+but for divisions and sections without a chosen line whose text is mostly links. Work grows with the length of a page, whatever its
+depth. Pages are read in the tasks that hold them; nothing is shuffled.
 
 Defined results: null, empty or tagless html gives the empty text or the plain text; broken or cut markup is read
 as far as it goes; a page of any length is read whole; ids and urls may be null or repeated and stay as they are;
@@ -51,6 +53,10 @@ MARKS = frozenset(
     "register social share sharing sharebar follow toolbar search searchbox form copyright legal skip hidden "
     "tagcloud tags".split()
 )
+#: Divisions of a page that fall away as a whole if no line of theirs is chosen and most of their text is links.
+DIVISIONS = frozenset("div section details".split())
+LISTS = frozenset("ul ol table dl".split())
+CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 WORDS = re.compile(r"[a-z]+(?:-[a-z]+)*|[a-z]+")
 #: Parts of a class or id that say it has something or not, and that only hold what is named before them.
 NEGATING = frozenset("has no not with without".split())
@@ -90,34 +96,40 @@ def no_content(tag: str, attributes: dict[str, str | None]) -> bool:
         return True
     if (attributes.get("role") or "").lower() in ROLES:
         return True
-    if tag in ("html", "body", "article", "main"):
+    if tag in ("html", "body"):
         return False
-    named = f"{attributes.get('class') or ''} {attributes.get('id') or ''}".lower().replace("_", "-")
-    return any(map(marked, WORDS.findall(named)))
+    named = f"{attributes.get('class') or ''} {attributes.get('id') or ''}"
+    return any(map(marked, WORDS.findall(CAMEL.sub("-", named).lower().replace("_", "-"))))
 
 
 class Lines(HTMLParser):
-    """Folds parser events into lines: (text, tags, characters in links, counts, region)."""
+    """Folds parser events into lines: (text, tags, characters in links, scope).
+
+    Scopes are the elements that are regions or seem to be no content; each knows the one around it, which has a
+    smaller number, so sums over scopes take one walk from the last to the first.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, tuple[int, ...], int]] = []  # with the elements around it
-        self.open: list[tuple[str, bool, tuple[int, ...], int]] = []  # tag, silent, around, region
-        self.seen: list[bool] = []  # of each element that seems to be no content: whether it is shown
-        self.containers: dict[int, tuple[int, ...]] = {}  # region of an article or main: the elements around it
-        self.parents: list[int] = [-1]  # of each region
+        self.lines: list[tuple[str, int, int, int]] = []
+        self.open: list[tuple[str, bool, int]] = []  # tag, silent, scope
+        self.places: dict[str, list[int]] = {}  # of each tag's open elements
+        self.fences: list[int] = []  # places of open regions and lists, which an implied end doesn't pass
+        self.parents: list[int] = [-1]  # of each scope
         self.kinds: list[str] = ["html"]
+        self.marks: list[bool] = [False]  # whether it seems to be no content
+        self.hidden: list[bool] = [False]  # whether it or one around it isn't shown
         self.text: list[str] = []
-        self.tags = self.linked = self.links = 0
+        self.tags = self.linked = 0
 
-    def _state(self) -> tuple[str, bool, tuple[int, ...], int]:
-        return self.open[-1] if self.open else ("", False, (), 0)
+    def _state(self) -> tuple[str, bool, int]:
+        return self.open[-1] if self.open else ("", False, 0)
 
     def _flush(self) -> None:
-        _, silent, around, region = self._state()
+        _, silent, scope = self._state()
         text = SPACE.sub(" ", "".join(self.text)).strip()
         if text and not silent:
-            self.lines.append((text, self.tags, self.linked, around, region))
+            self.lines.append((text, self.tags, self.linked, scope))
         self.text, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag, attrs):
@@ -130,19 +142,19 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        _, silent, around, region = self._state()
-        if tag in REGIONS:
-            self.parents.append(region)
-            self.kinds.append(tag)
-            region = len(self.parents) - 1
-        self.links += tag == "a"
+        _, silent, scope = self._state()
         attributes = dict(attrs)
-        if no_content(tag, attributes):
-            around = (*around, len(self.seen))
-            self.seen.append(not unseen(attributes))
-        if tag in CONTAINERS:
-            self.containers[region] = around
-        self.open.append((tag, silent or tag in SILENT, around, region))
+        mark = no_content(tag, attributes)
+        if mark or tag in REGIONS:
+            self.parents.append(scope)
+            self.kinds.append(tag)
+            self.marks.append(mark)
+            self.hidden.append(self.hidden[scope] or unseen(attributes))
+            scope = len(self.parents) - 1
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in REGIONS or tag in LISTS:
+            self.fences.append(len(self.open))
+        self.open.append((tag, silent or tag in SILENT, scope))
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
@@ -152,63 +164,93 @@ class Lines(HTMLParser):
 
     def _implied_end(self, tag: str) -> None:
         """A new paragraph, item or cell ends the open one, unless a region or list has opened since."""
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._close(i)
-                return
-            if self.open[i][0] in REGIONS or self.open[i][0] in ("ul", "ol", "table", "dl"):
-                return
-
-    def _close(self, i: int) -> None:
-        self.links -= sum(t == "a" for t, *_ in self.open[i:])
-        del self.open[i:]
+        places = self.places.get(tag)
+        if places and (not self.fences or places[-1] >= self.fences[-1]):
+            self._close(places[-1])
+
+    def _close(self, place: int) -> None:
+        """Take an element and all in it off those that are open; each is taken once."""
+        for tag, _, _ in self.open[place:]:
+            self.places[tag].pop()
+        while self.fences and self.fences[-1] >= place:
+            self.fences.pop()
+        del self.open[place:]
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                if tag in BLOCKS or any(t in BLOCKS for t, *_ in self.open[i:]):
-                    self._flush()
-                self._close(i)
-                break
-        else:
-            if tag in BLOCKS:
+        places = self.places.get(tag)
+        if places:
+            if tag in BLOCKS or any(t in BLOCKS for t, *_ in self.open[places[-1] :]):
                 self._flush()
+            self._close(places[-1])
+        elif tag in BLOCKS:
+            self._flush()
         self.tags += 1
 
     def handle_data(self, data):
         if not self._state()[1]:
             self.text.append(data)
-            if self.links:
+            if self.places.get("a"):
                 self.linked += len(data.strip())
 
-    def result(self, html: str) -> list[tuple[str, int, int, bool, int]]:
+    def result(self, html: str) -> list[tuple[str, int, int, int]]:
+        """The lines that count."""
         cut = html.rfind("<")  # a page that ends inside a tag
         if cut > html.rfind(">") and re.match(r"[A-Za-z/!]", html[cut + 1 :]):
             html = html[:cut]
         self.feed(html)
         self.close()
         self._flush()
-        kept = self._holding()
-        return [(*line[:3], kept.issuperset(line[3]), line[4]) for line in self.lines]
+        holding = self._holding()
+        outside = [False] * len(self.parents)
+        for k, parent in enumerate(self.parents):
+            outside[k] = (k > 0 and outside[parent]) or self.hidden[k] or (self.marks[k] and k not in holding)
+        return [line for line in self.lines if not outside[line[3]]]
+
+    def inherited(self, own: list[bool]) -> list[bool]:
+        """For each scope, whether it or one around it is such."""
+        found = list(own)
+        for k in range(1, len(found)):
+            found[k] = found[k] or found[self.parents[k]]
+        return found
+
+    def summed(self, own: list[float], past_marks: bool = True) -> list[float]:
+        """For each scope, the sum over it and those in it, or only those with no mark in between."""
+        total = list(own)
+        for k in range(len(total) - 1, 0, -1):
+            if past_marks or not self.marks[k]:
+                total[self.parents[k]] += total[k]
+        return total
 
     def _holding(self) -> set[int]:
-        """Elements that seem to be no content, but hold it: those around the articles and mains with the fewest such
-        elements around them, or if there are none, those with most of the page's plain text."""
-        plain = [0] * len(self.seen)
-        total, filled = 0, set()
-        for text, _, linked, around, region in self.lines:
-            if all(self.seen[k] for k in around):
-                total += len(text) - linked
-                for k in around:
-                    plain[k] += len(text) - linked
-                while region > 0:
-                    filled.add(region)
-                    region = self.parents[region]
-        held = [around for region, around in self.containers.items() if region in filled and all(self.seen[k] for k in around)]
-        if held:
-            fewest = min(map(len, held))
-            return {k for around in held if len(around) == fewest for k in around}
-        return {k for k, n in enumerate(plain) if self.seen[k] and 2 * n > total}
+        """Marked elements that hold the content: those that the articles and mains with the fewest marked elements
+        around them stand in or are. An article needs text of its own for that, outside of marked elements in it, and a
+        main a fifth of all its text. If there are none, those with more than half of the plain text of what is around
+        them, of which less than a tenth is outside of marked elements."""
+        own = [0.0] * len(self.parents)
+        for text, _, linked, scope in self.lines:
+            if not self.hidden[scope]:
+                own[scope] += max(0, len(text) - linked)
+        plain, bare = self.summed(own), self.summed(own, past_marks=False)
+        depth = [0] * len(own)  # marked elements around it, itself included
+        for k in range(len(own)):
+            depth[k] = self.marks[k] + (depth[self.parents[k]] if k else 0)
+        least = {"article": 0.0, "main": 0.2}
+        held = [k for k, kind in enumerate(self.kinds) if kind in least and bare[k] > 0 and bare[k] >= least[kind] * plain[k]]
+        if not held:
+            kept, outer = {0}, [0] * len(own)  # outer: the marked element at or around it, else the page
+            for k in range(1, len(own)):
+                around = outer[self.parents[k]]
+                outer[k] = k if self.marks[k] else around
+                if self.marks[k] and around in kept and bare[around] < 0.1 * plain[around] < 0.2 * plain[k]:
+                    kept.add(k)
+            return kept
+        fewest, around = min(depth[k] for k in held), set()
+        for k in held:
+            if depth[k] == fewest:
+                while k > 0 and k not in around:
+                    around.add(k)
+                    k = self.parents[k]
+        return {k for k in around if self.marks[k]}
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -234,38 +276,44 @@ def threshold(values: np.ndarray) -> float:
 def main_text(html: str | None) -> list[str]:
     """The content lines of a page, in its order."""
     parser = Lines()
-    lines = [line for line in parser.result(html or "") if line[3]]
+    lines = parser.result(html or "")
     if not lines:
         return []
-    plain = np.array([max(0, len(text) - linked) for text, _, linked, _, _ in lines], float)
+    plain = np.array([max(0, len(text) - linked) for text, _, linked, _ in lines], float)
     ratios = np.log1p(plain / np.maximum(1, [tags for _, tags, *_ in lines]))
     values = smoothed(ratios)
-    cut = threshold(values)
-    chosen = (values >= cut) & (plain > 0)
+    chosen = (values >= threshold(values)) & (plain > 0)
     if not chosen.any():
         chosen = plain == plain.max()
 
-    def home(region: int) -> int:
-        """The article or main around a region, else the region itself."""
-        at = region
-        while at >= 0 and parser.kinds[at] not in CONTAINERS:
-            at = parser.parents[at]
-        return region if at < 0 else at
-
-    homes = [home(line[4]) for line in lines]
-    articles = {h for h in homes if parser.kinds[h] in CONTAINERS}
-    content = {h for h, c in zip(homes, chosen, strict=True) if c}
-    if articles & content:
-        content &= articles
-    elif articles:
-        weight = {h: sum(p for k, p in zip(homes, plain, strict=True) if k == h) for h in articles}
-        best = max(weight.values())
-        if best >= 0.2 * plain.sum():
-            content = {h for h, w in weight.items() if w == best}
+    n = len(parser.parents)
+    length, linked, picked, count = ([0.0] * n for _ in range(4))
+    for (text, _, in_links, scope), c in zip(lines, chosen, strict=True):
+        length[scope] += len(text)
+        linked[scope] += min(in_links, len(text))
+        picked[scope] += bool(c)
+        count[scope] += 1
+    length, linked, picked, count = map(parser.summed, (length, linked, picked, count))
+
+    # Without a chosen line, an article that is all links is none, and a division that is mostly links is no content.
+    share = [1.0 if kind in CONTAINERS else 0.5 if kind in DIVISIONS else 2.0 for kind in parser.kinds]
+    aside = [not picked[k] and linked[k] >= 0.9 * share[k] * length[k] for k in range(n)]
+    home = [-1] * n  # the innermost article or main around each scope
+    for k, kind in enumerate(parser.kinds):
+        home[k] = k if kind in CONTAINERS and not aside[k] else home[parser.parents[k]] if k else -1
+    at_home = np.array([home[line[3]] >= 0 for line in lines])
+    if (at_home & chosen).any() or (at_home.any() and plain[at_home].sum() >= 0.2 * plain.sum()):
+        inside = [h >= 0 for h in home]
+    else:
+        # The scopes that hold all chosen lines lie in each other, so the last opened is the smallest; one of a
+        # single line is a paragraph, not a region of the page.
+        smallest = max(k for k in range(n) if picked[k] == picked[0] and (k == 0 or count[k] > 1))
+        inside = parser.inherited([k == smallest for k in range(n)])
+    aside = parser.inherited(aside)
     return [
-        line[0]
-        for line, h in zip(lines, homes, strict=True)
-        if h in content and (line[2] < 0.9 * len(line[0]) or parser.kinds[h] in CONTAINERS)
+        text
+        for text, _, in_links, scope in lines
+        if inside[scope] and not aside[scope] and (in_links < 0.9 * len(text) or home[scope] >= 0)
     ]
 
 
