@@ -225,8 +225,8 @@ def test_fingerprints_alone_give_large_differences(spark):
     apart = [x ^ y for x, y in zip(a, b, strict=True)]
     want = {x % 2**64 for x in set(got[2]["digests"]) ^ set(got[1]["digests"])}
     tables, peeled = len(a) // width, 0
-    for t in range(tables):
-        cells, own = apart[t * width : (t + 1) * width], {x for x in want if x >> 42 & (tables - 1) == t}
+    for t in range(tables):  # a digest's first bits name its table, in the order of signed numbers
+        cells, own = apart[t * width : (t + 1) * width], {x for x in want if (x ^ 2**63) * tables >> 64 == t}
         while pure := {c for c in cells if c in own}:
             for x in pure:
                 own.remove(x)
@@ -238,6 +238,19 @@ def test_fingerprints_alone_give_large_differences(spark):
     assert set(got[2]["next_changes"]) == set(got[2]["digests"]) ^ set(got[2]["next_digests"])
 
 
+def test_fingerprints_of_many_lines(spark):
+    many = [f"Line {i}" for i in range(50_000)]
+    rows = [(3, "\n".join(many)), (2, "\n".join(many[:49_000] + ["New"])), (1, "\n".join(many[:3_000]))]
+    start = time.perf_counter()
+    got = {r["doc_id"]: r for r in sketches.fingerprints(frame(spark, rows)).collect()}
+    assert time.perf_counter() - start < 60
+    assert [len(got[i]["digests"]) for i in (3, 2, 1)] == [50_000, 49_001, 3_000]
+    assert len(set(got[3]["next_changes"])) == len(got[3]["next_changes"]) == 1_001
+    for r in got.values():
+        a, e, n = (set(r[c]) for c in ("digests", "edited_digests", "next_digests"))
+        assert (set(r["edited_changes"]), set(r["next_changes"])) == (a ^ e, a ^ n)
+
+
 def test_lines_query_matches_sql(spark):
     assert differences(lines.op10_line_dedup(spark, SMALL), connect(SMALL), lines.ORACLE_SQL) == []
 

@@ -2,7 +2,8 @@
 
 A text is cut into paragraphs (lines, and long lines at ends of sentences); each distinct one becomes a 64-bit
 digest, 44 bits of hash and 20 that check them. A sketch deals a text's digests over small tables, a power of two of
-them that grows with the digests; a table has cells, each the xor of its digests, and a digest enters one cell of each
+them that grows with the digests; a digest's first bits name its table, so sorted digests are cut into tables, and
+work grows with n log n. A table has cells, each the xor of its digests, and a digest enters one cell of each
 third. The larger of two sketches is folded to the size of the smaller one. Subtracting them, which is xor again,
 leaves the digests they don't share; a cell whose check is right holds just one of these, and taking it out of its
 other cells makes more such cells, until all are empty. What belongs to tables that get stuck, or to a row where a check
@@ -43,7 +44,7 @@ def paragraphs(text: Column) -> Column:
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PARAGRAPH), 0)
     trimmed = F.filter(F.transform(found, lambda p: F.trim(p)), lambda p: p != "")
     hashes = F.transform(trimmed, lambda p: F.xxhash64(p).bitwiseAND(~CHECK))
-    return F.array_sort(F.array_distinct(F.transform(hashes, lambda h: h.bitwiseOR(F.xxhash64(h).bitwiseAND(CHECK)))))
+    return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: h.bitwiseOR(F.xxhash64(h).bitwiseAND(CHECK)))))
 
 
 def _let(name: str, value: str, body: str) -> str:
@@ -72,22 +73,37 @@ def _cells(digests: str, seed: int) -> str:
     return f"concat({', '.join(thirds)})"
 
 
-def _table(seed: int) -> str:
-    """The bits of digest x that say which table it is in."""
-    return f"shiftrightunsigned({_place(seed)}, 42)"
+SIGN = "shiftleft(1L, 63)"  # turns the order of longs into that of their bits
+
+
+def _first(bits: str, x: str) -> str:
+    """The number that the first bits of x make; 0 for no bits."""
+    return f"shiftrightunsigned(shiftrightunsigned({x}, 63 - {bits}), 1)"
+
+
+def _groups(rows: str, differs: str, skip: int, of: str) -> str:
+    """For each run of rows, which are sorted, a value of the run e; differs says whether row i starts a run, of whose
+    rows some may be skipped. At least one row."""
+    starts = f"filter(sequence(0, size({rows}) - 1), i -> if(i = 0, true, {differs}))"
+    end = f"if(g + 1 < size(starts), starts[g + 1], size({rows}))"
+    run = f"slice({rows}, start + {skip + 1}, {end} - start - {skip})"
+    return _let("starts", starts, f"transform(starts, (start, g) -> {_let('e', run, of)})")
 
 
 def _sketch(digests: str) -> str:
     """The cells of all tables of a text's digests, table by table."""
     bits = f"least({MOST_BITS}, cast(ceil(log2(greatest(1, 2 * size({digests}) / {LOAD}))) AS int))"
-    one = _let("e", f"filter({digests}, x -> ({_table(0)} & (tables - 1)) = t)", _cells("e", 0))
-    return _let("tables", f"shiftleft(1, {bits})", f"flatten(transform(sequence(0, tables - 1), t -> {one}))")
+    # Each table's least number goes in before its digests, so that no table is without a run.
+    least = f"transform(sequence(0, cast(shiftleft(1, bits) - 1 AS int)), t -> shiftleft(cast(t AS bigint), 64 - bits) ^ {SIGN})"
+    cut = _groups("dealt", f"{_first('bits', 'dealt[i] ^ dealt[i - 1]')} <> 0", 1, _cells("e", 0))
+    return _let("bits", bits, _let("dealt", f"sort_array(concat({digests}, {least}))", f"flatten({cut})"))
 
 
 def _folded(cells: str, size: str) -> str:
-    """A sketch made as small as another, whose number of cells is given."""
-    summed = f"""transform(sequence(0, {size} - 1), c ->
-        aggregate(sequence(c, size({cells}) - 1, {size}), 0L, (a, k) -> a ^ {cells}[k]))"""
+    """A sketch made as small as another, whose number of cells is given: neighbouring tables are summed."""
+    width, times = 3 * THIRD, f"(size({cells}) div {size})"
+    summed = f"""transform(sequence(0, {size} - 1), c -> aggregate(sequence(0, cast({times} - 1 AS int)), 0L,
+        (a, k) -> a ^ {cells}[cast(((c div {width}) * {times} + k) * {width} + c % {width} AS int)]))"""
     return f"if(size({cells}) = {size}, {cells}, {summed})"
 
 
@@ -122,15 +138,16 @@ def _subtracted(a: str, b: str, cells_a: str, cells_b: str) -> str:
     """(found, left): digests that a and b don't share, from the difference of their sketches, and the digests of the
     tables that got stuck."""
     width = 3 * THIRD
-    one = _let("e", f"slice(apart, t * {width} + 1, {width})", f"named_struct('t', t, 'end', {_peeled('e', 0)})")
-    peeled = f"transform(sequence(0, size(apart) div {width} - 1), t -> {one})"
-    in_stuck = f"array_contains(stuck, cast({_table(0)} & (size(apart) div {width} - 1) AS int))"
+    one = _let("e", f"slice(apart, t * {width} + 1, {width})", f"named_struct('end', {_peeled('e', 0)})")
+    peeled = f"transform(sequence(0, cast(size(apart) div {width} - 1 AS int)), t -> {one})"
+    bits = f"cast(round(log2(size(apart) div {width})) AS int)"
     split = _let(
         "stuck",
-        f"transform(filter(peeled, p -> {STUCK}), p -> cast(p.t AS int))",
+        f"transform(peeled, p -> {STUCK})",
         f"""named_struct(
         'found', flatten(transform(filter(peeled, p -> NOT {STUCK}), p -> p.end.found)),
-        'left', if(size(stuck) = 0, {EMPTY}, filter(entries, x -> {in_stuck})))""",
+        'left', if(NOT exists(stuck, t -> t), {EMPTY},
+            {_let('bits', bits, f"filter(entries, x -> stuck[cast({_first('bits', f'(x ^ {SIGN})')} AS int)])")}))""",
     )
     least = f"least(size({cells_a}), size({cells_b}))"
     apart = f"zip_with({_folded(cells_a, 'least')}, {_folded(cells_b, 'least')}, (x, y) -> x ^ y)"
@@ -141,16 +158,16 @@ def _subtracted(a: str, b: str, cells_a: str, cells_b: str) -> str:
 def _again(entries: str, level: int) -> str:
     """(found, left) of digests that are left, which stand twice if they are shared."""
     tables = f"{2**level} * greatest(1, cast(ceil(size(entries) / {LOAD}) AS int))"
-    one = _let(
-        "e",
-        f"filter(entries, x -> {_table(level)} % tables = t)",
-        _let("cells", _cells("e", level), f"named_struct('of', e, 'end', {_peeled('cells', level)})"),
-    )
+    dealt = f"""sort_array(transform(entries, x ->
+        named_struct('t', shiftrightunsigned(xxhash64(x, {level}L), 42) % tables, 'x', x)))"""
+    one = _let("cells", _cells("e", level), f"named_struct('of', e, 'end', {_peeled('cells', level)})")
+    peeled = _groups("dealt", "dealt[i].t <> dealt[i - 1].t", 0, _let("e", "transform(e, q -> q.x)", one))
     split = f"""named_struct(
         'found', flatten(transform(filter(peeled, p -> NOT {STUCK}), p -> p.end.found)),
         'left', flatten(transform(filter(peeled, p -> {STUCK}), p -> p.of)))"""
-    peeled = f"transform(sequence(0, tables - 1), t -> {one})"
-    return _let("entries", entries, _let("tables", tables, _let("peeled", peeled, _sound(split))))
+    whole = _let("tables", tables, _let("dealt", dealt, _let("peeled", peeled, _sound(split))))
+    nothing = f"named_struct('found', {EMPTY}, 'left', {EMPTY})"
+    return _let("entries", entries, f"if(size(entries) = 0, {nothing}, {whole})")
 
 
 def differences(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
