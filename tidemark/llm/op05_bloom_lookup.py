@@ -246,8 +246,9 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         paragraphs(F.col("edited")).alias("edited_digests"),
         "next_digests",
     )
+    # Digests go on to the differences unwritten: they stand in what is written there.
     compared = differences(
-        settled(digested),
+        digested,
         {"edited_changes": ("digests", "edited_digests"), "next_changes": ("digests", "next_digests")},
     )
     # Fingerprints are larger than the digests they are made of, so they are not written in between.
