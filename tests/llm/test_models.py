@@ -7,6 +7,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql.functions import lit
 
 import corpus_pipeline
 from tests.conftest import SMALL
@@ -90,6 +91,17 @@ def test_context_tells_quotation_from_abuse():
     assert reader.counts("") == (0, 0, 0, 0)
 
 
+def test_null_ids_are_in_no_fold(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    nulls = docs.limit(3).withColumn("doc_id", lit(None).cast("long"))
+    docs.unionByName(nulls).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SMALL}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    for query in (quality.op4_nb_svm, toxicity.op8_levenshtein_toxicity):
+        got = query(spark, str(tmp_path)).where("doc_id is null").collect()
+        assert [r["held_out"] for r in got] == [False] * 3
+        assert all(0 <= r["score"] <= 1 for r in got)
+
+
 def test_toxicity_of_held_out_rows(spark):
     assert held_out_accuracy(spark, toxicity.op8_levenshtein_toxicity(spark, MEDIUM), "toxic") >= 0.97
 

@@ -38,6 +38,11 @@ def remainder(id_column: str, divisor: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % divisor
 
 
+def in_fold(id_column: str, divisor: int, rest: int) -> Column:
+    """Whether an id's remainder is the given one; a null id is in no fold."""
+    return F.coalesce(remainder(id_column, divisor) == rest, F.lit(False))
+
+
 def ranked(df: DataFrame, order: list[str], rank: str) -> DataFrame:
     """Number all rows from 0 in the given order, without a single-partition window.
 

@@ -8,8 +8,8 @@ the two classes' ratios scale the indicators. The linear model is fitted by dual
 row at a time, on a bounded sample of those rows. Scoring reads each whole text once in the task that has it.
 
 Defined results: null or empty text has no indicators and scores the model's intercept; texts of any length are
-read whole; ids may be null or repeated; rows without a label do not teach; with labels of one class only, or
-none, every score is that class' (or 0.5); an empty table gives an empty result.
+read whole; ids may be repeated or null, and a null one is not held out and teaches nothing; rows without a label do
+not teach; with labels of one class only, or none, every score is that class' (or 0.5); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_batch, remainder, rows_of, table
+from tidemark.llm.common import by_batch, in_fold, remainder, rows_of, table
 from tidemark.session import settled
 
 BITS = 18
@@ -270,7 +270,7 @@ def op4_nb_svm(spark: SparkSession, folder: str) -> DataFrame:
     divisor, rest = HELD_OUT
     return result.select(
         "doc_id",
-        (remainder("doc_id", divisor) == rest).alias("held_out"),
+        in_fold("doc_id", divisor, rest).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )

@@ -13,8 +13,8 @@ with hits outside the held-out fold, towards stated prior weights; as counts are
 row per combination of them. A text without hits scores the share of toxic rows among such labelled rows.
 
 Defined results: null or empty text has no hits and scores the model's base rate; texts of any length are read
-whole; ids may be null or repeated (a row's score depends on its text alone); rows without a label do not
-teach; without any labelled row the stated terms and prior weights hold; an empty table gives an empty result.
+whole; ids may be repeated or null (a row's score depends on its text alone), and a null one is not held out and
+teaches nothing; rows without a label do not teach; without any labelled row the stated terms and prior weights hold; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import remainder, rows_of, table
+from tidemark.llm.common import in_fold, remainder, rows_of, table
 from tidemark.session import settled
 
 # Terms of abuse, and what marks a quotation or talk about a word.
@@ -334,5 +334,5 @@ def op8_levenshtein_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     weights = fit(found, labels)
     divisor, rest = HELD_OUT
     score = probability(weights, F.struct(*FEATURES))
-    scored = found.select("doc_id", (remainder("doc_id", divisor) == rest).alias("held_out"), score.alias("score"))
+    scored = found.select("doc_id", in_fold("doc_id", divisor, rest).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
