@@ -255,29 +255,42 @@ def _files(spark: SparkSession, lines: DataFrame, kind: str = "text") -> str:
     return written(lines, kind)
 
 
+#: Bytes of a file that lines are written to: more than a byte range, so that several tasks have to cut it.
+FILE_BYTES = 256 << 20
+
+
+def _enclosed(spark: SparkSession, lines: DataFrame, first: str, last: str | None = None) -> str:
+    """Write the lines in `value` between a first and a last one, as files of about `FILE_BYTES`: the task that
+    writes a file holds its lines and no others."""
+    size = lines.agg(F.coalesce(F.sum(F.octet_length("value").cast("bigint")), F.lit(0))).first()[0]
+    files = 1 + size // FILE_BYTES
+    file = (F.monotonically_increasing_id() % files).cast("int").alias("file")
+    ends = [F.struct(F.lit(text).alias("value"), F.lit(n).alias("n")) for text, n in ((first, 0), (last, 2)) if text is not None]
+    edges = spark.range(files).select(F.col("id").cast("int").alias("file"), F.explode(F.array(*ends)).alias("e")).select("e.*", "file")
+    every = lines.select("value", F.lit(1).alias("n"), file).unionByName(edges)
+    return _files(spark, every.repartitionById(files, "file").sortWithinPartitions("n").select("value"))
+
+
 @query
 def csv_roundtrip(spark, d):
     """Documents as CSV, whose texts have line breaks, quotes and commas in one field, and back."""
     documents = t.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "text")
     cells = [F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in documents.columns]
-    # One file with a header, so that several tasks have to cut it.
-    lines = documents.select(F.concat_ws(",", *cells).alias("value"), F.lit(1).alias("n"))
-    head = spark.range(1).select(F.lit("doc_id,lang,text").alias("value"), F.lit(0).alias("n"))
-    path = _files(spark, head.unionByName(lines).coalesce(1).sortWithinPartitions("n").select("value"))
+    # Large files with a header each, so that several tasks have to cut them.
+    path = _enclosed(spark, documents.select(F.concat_ws(",", *cells).alias("value")), "doc_id,lang,text")
     back = read_csv(spark, path)
     return back.select("doc_id", "lang", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
 @query
 def json_props(spark, d):
-    """Events as one JSON list with their properties nested in it, and back, flattened."""
+    """Events as large JSON lists with their properties nested in them, and back, flattened."""
     events = t.table(spark, d, "events").select(
         F.to_json(F.struct("event_id", "event_type", F.from_json("props", "map<string,string>").alias("props"))).alias("value")
     )
     # Objects over several lines, and a list's commas and brackets.
-    laid_out = events.select(F.concat(F.replace("value", F.lit(","), F.lit(",\n  ")), F.lit(",")).alias("value"), F.lit(1).alias("n"))
-    ends = spark.createDataFrame([("[", 0), ('{"event_id": null}\n]', 2)], "value string, n int")
-    path = _files(spark, ends.unionByName(laid_out).coalesce(1).sortWithinPartitions("n").select("value"))
+    laid_out = events.select(F.concat(F.replace("value", F.lit(","), F.lit(",\n  ")), F.lit(",")).alias("value"))
+    path = _enclosed(spark, laid_out, "[", '{"event_id": null}\n]')
     back = read_json(spark, path).where("event_id IS NOT NULL")
     names = sorted(c for c in back.columns if c.startswith("props."))
     props = F.array_join(F.filter(F.array(*[F.concat(F.lit(c[6:] + "="), F.col(f"`{c}`")) for c in names]), lambda x: x.isNotNull()), ";")
@@ -292,9 +305,7 @@ def xml_parts(spark, d):
     nested = F.concat(F.lit("<part>\n "), *text, F.lit("\n <part>of a part</part></part>"))
     grouped = F.concat(F.lit("<group>"), nested, F.lit("</group>"))
     record = F.when(F.col("p_type") == "PROMO", grouped).otherwise(nested)
-    rows = part.select(record.alias("value"), F.lit(1).alias("n"))
-    ends = spark.createDataFrame([("<?xml version='1.0'?>\n<!-- <part> -->\n<parts>", 0), ("</parts>", 2)], "value string, n int")
-    path = _files(spark, ends.unionByName(rows).coalesce(1).sortWithinPartitions("n").select("value"))
+    path = _enclosed(spark, part.select(record.alias("value")), "<?xml version='1.0'?>\n<!-- <part> -->\n<parts>", "</parts>")
     return read_xml(spark, path, record_tag="part", columns=["p_partkey", "p_name", "p_type"])
 
 
