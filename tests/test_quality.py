@@ -3,9 +3,11 @@ import json
 from pyspark.sql import functions as F
 
 from tests.conftest import RUN_TS
+from tidemark import pipeline
 from tidemark.operators import quality
 from tidemark.operators.quality import Validator, orphan_keys, repeated_current_keys
 from tidemark.operators.rejects import reject_records
+from tidemark.warehouse import Warehouse
 
 
 def rows(df, *columns):
@@ -93,3 +95,36 @@ def test_keys(spark):
     fact = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k bigint")
     known = spark.createDataFrame([(2,)], "k bigint")
     assert rows(orphan_keys(fact, {"k": (known, "k")})) == [("k", 1, 2)]
+
+
+def test_checks_are_worked_out_once_when_the_rows_are_staged(spark, tmp_path):
+    """What is written has an outcome per check, so neither the valid nor the rejected rows check anything again."""
+    df = spark.createDataFrame([(" ", "1.5", 1), ("\u2003\t", "x", 2), ("a", "1e30", 3), (" b", "2.5d", 4), (None, None, 5)], "k string, v string, _position int")
+
+    def checked():
+        return Validator(df, "t", "B").check_nulls(["k"]).check_numeric(["v"]).check_precision({"v": (12, 2)}, "ERROR")
+
+    def write(rows):
+        rows.write.parquet(str(tmp_path / "staged"))
+        return spark.read.parquet(str(tmp_path / "staged"))
+
+    plain, staged = checked(), checked()
+    staged.staged(write)
+    for part in ("valid", "rejected"):
+        got, want = getattr(staged, part)(), getattr(plain, part)()
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert sorted(r.v for r in staged.valid().collect()) == ["2.5d"]
+    assert sorted(map(str, staged.results(RUN_TS).collect())) == sorted(map(str, plain.results(RUN_TS).collect()))
+    plan = staged.rejected()._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan and "try_cast" not in plan.lower()
+
+
+def test_a_load_checks_its_rows_once(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    source = next(s for s in pipeline.SOURCES if s.table == "order_items")
+    (tmp_path / "a.csv").write_text("order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\no1,1,p,s,,1,2\no2,1,p,,,1d,2\n")
+    counts = pipeline.load_bronze(warehouse, source.read_files(spark, str(tmp_path / "a.csv")), source, "B", RUN_TS)
+    assert counts == {"read": 2, "inserted": 1, "rejected": 1}
+    staged = spark.read.parquet(f"{warehouse.root}/staging/B/order_items")
+    assert [c for c in staged.columns if c.startswith("_fails")]
+    assert [r.reject_reason for r in warehouse.read("bronze.rejected_records").collect()] == ["NULL in seller_id; "]

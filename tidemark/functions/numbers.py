@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Fixed patterns: the texts that count as a number, and those among them that say infinity.
 NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 INFINITY_PATTERN = r"[nN]"
+#: The letters that no decimal has.
+LETTER_PATTERN = r"[A-DF-Za-df-z]"
 
 
 def is_number(c: Column) -> Column:
@@ -19,8 +21,11 @@ def is_number(c: Column) -> Column:
 
 
 def to_decimal(c: Column, precision: int, scale: int) -> Column:
-    """Decimal with half-up rounding to the scale; NULL if unparseable or too large."""
-    return c.try_cast(f"decimal({precision},{scale})")
+    """Decimal with half-up rounding to the scale; NULL if unparseable or too large.
+
+    Text with a letter is not tried: each failed cast raises and catches an exception.
+    """
+    return F.when(~c.cast("string").rlike(LETTER_PATTERN), c.try_cast(f"decimal({precision},{scale})"))
 
 
 def to_money(c: Column) -> Column:

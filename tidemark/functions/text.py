@@ -21,8 +21,12 @@ def strip(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    """True for NULL and for text of nothing but white space."""
-    return c.isNull() | (strip(c) == "")
+    """True for NULL and for text of nothing but white space.
+
+    Text with a printable ASCII character after its spaces, as most has, needs no stripping.
+    """
+    begin = F.ltrim(c)
+    return c.isNull() | (~((begin >= "!") & (begin < "\x7f")) & (strip(c) == ""))
 
 
 def title_case(c: Column) -> Column:

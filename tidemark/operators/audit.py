@@ -18,7 +18,7 @@ def add_audit_columns(
     file = F.lit(source_file) if isinstance(source_file, str) else source_file
     return df.withColumns(
         {
-            "source_file": F.element_at(F.split(file, "/"), -1),
+            "source_file": F.substring_index(file, "/", -1),
             "source_system": F.lit(source_system),
             "batch_id": F.lit(batch_id),
             "load_timestamp": moment(run_ts),

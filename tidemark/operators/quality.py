@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -197,8 +197,9 @@ class Validator:
                 c = named(name)
                 failing = c.isNotNull() & c.try_cast(f"decimal({precision},{scale})").isNull()
                 if severity == "ERROR" and self._text(name):
-                    # As it is written: also a number beyond a double is one that the column can't hold.
-                    failing = failing & F.coalesce(c.rlike(NUMBER_PATTERN), F.lit(False))
+                    # As it is written: also a number beyond a double is one that the column can't hold. The pattern
+                    # comes first, as a failed cast raises and catches an exception.
+                    failing = F.coalesce(c.rlike(NUMBER_PATTERN), F.lit(False)) & failing
                 self._add(
                     Check(
                         f"precision_check_{name}", "limit_check", name, severity, failing,
@@ -224,7 +225,15 @@ class Validator:
         return f"_fails{i}"
 
     def _plain(self) -> dict[str, Column]:
-        return {self._flag(i): c.failing for i, c in enumerate(self.checks) if c.failing is not None}
+        """The checks on single rows that the frame has no outcome of yet."""
+        flags = {self._flag(i): c.failing for i, c in enumerate(self.checks) if c.failing is not None}
+        return {name: failing for name, failing in flags.items() if name not in self._df.columns}
+
+    def staged(self, write: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Have the frame written with the outcomes of all checks on single rows, and go on with what was written: no
+        later pass works a check out again. No check may be added after it."""
+        self._df, self._marked = write(self._df.withColumns(self._plain())), None
+        return self._df
 
     def marked(self) -> DataFrame:
         """The frame with one boolean column per check on rows."""

@@ -17,7 +17,7 @@ from tidemark.functions.numbers import to_decimal
 from tidemark.operators.audit import add_audit_columns
 from tidemark.operators.history import CHANGE, changed_versions, dimension_changes, one_per_key, upsert
 from tidemark.operators.keys import number_new_rows
-from tidemark.operators.quality import BAD, POSITION, REASON, Validator
+from tidemark.operators.quality import BAD, POSITION, REASON, Validator, named
 from tidemark.operators.rejects import reject_records
 from tidemark.plans import dimensions, increment, reports, silver
 from tidemark.plans.fact import build_fact_sales, with_sales_keys
@@ -159,18 +159,18 @@ def load_bronze(
 ) -> dict[str, int]:
     """Check the rows and write the valid ones to bronze, the others to the rejects.
 
-    One job writes the valid rows and, as observed metrics, counts every check and takes the highest
+    The rows are staged with the outcome of each check beside them. One job writes the valid rows and, as observed metrics, counts every check and takes the highest
     watermark; a second one writes what was rejected, and the CSV is made of that.
     """
     table = f"bronze.{source.table}"
-    staged = stage(warehouse, df, source.table, batch_id)
-    found = T.StructType([f for f in staged.schema if f.name not in (POSITION, BAD)])
+    checks = source.rules(Validator(df, table, batch_id))
+    staged = checks.staged(lambda rows: stage(warehouse, rows, source.table, batch_id))
+    found = T.StructType([f for f in staged.schema if f.name in checks.columns and f.name != BAD])
     if seen is not None and source.has_fields:
         found = leaf_fields(seen.get["schema"])
     before = last_schema(warehouse.read("metadata.schema_changes"), table, text_schema(SOURCE_COLUMNS[source.table]))
     if found.fields:  # a source without a record has lost no column
         log_schema_changes(warehouse, table, before, found, batch_id, run_ts)
-    checks = source.rules(Validator(staged, table, batch_id))
     metrics = [*checks.count_columns(), F.count_if(checks.is_rejected()).alias("rejected")]
     if source.watermark_col:
         # Over the valid rows only, which are the ones the table will hold.
@@ -197,7 +197,7 @@ def load_bronze(
     warehouse.write_batch(checks.results(run_ts, known), "metadata.dq_results", batch_id, table)
 
     # Also without a rejected row: a batch that was mended has no rejects left.
-    rejected = checks.rejected() if counts["rejected"] else staged.drop(POSITION).withColumn(REASON, F.lit("")).limit(0)
+    rejected = checks.rejected() if counts["rejected"] else staged.select(*map(named, checks.columns)).withColumn(REASON, F.lit("")).limit(0)
     records = reject_records(rejected, source.table, batch_id, run_ts)
     warehouse.write_batch(records, "bronze.rejected_records", batch_id, source.table)
     if counts["rejected"]:

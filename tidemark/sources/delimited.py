@@ -22,7 +22,7 @@ def with_quoted_newlines(spark: SparkSession, path: str | list[str], encoding: s
     """The files, as `file`, in which some field may span lines: if one does, a line holds an odd number of quotes."""
     lines = opened(lambda: spark.read.option("encoding", encoding).text(path), path)
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return lines.where(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("file")).distinct()
+    return lines.where(F.col("value").contains('"') & (quotes % 2 == 1)).select(F.col("_metadata.file_path").alias("file")).distinct()
 
 
 def has_quoted_newlines(spark: SparkSession, path: str | list[str], encoding: str = "utf-8") -> bool:
