@@ -204,3 +204,28 @@ def test_a_full_load_takes_the_place_of_earlier_ones(spark, tmp_path):
     assert [r.order_id for r in w.read("gold.fact_sales").collect()] == ["o1"]
     assert list(w.commit("gold.fact_sales").parts) == [202402]
     assert w.read("gold.revenue_mart").count() == 1
+
+
+def test_orders_are_not_looked_through_for_dimensions_without_a_new_key(spark, tmp_path, monkeypatch):
+    """Only a dimension that has new keys makes a load of the fact read the keys of all orders or items."""
+    warehouse, asked = Warehouse(spark, str(tmp_path / "wh")), []
+    affected = increment.affected_orders
+    monkeypatch.setattr(increment, "affected_orders", lambda *a: asked.append([f is not None for f in a[5:]]) or affected(*a))
+
+    def dim(name, rows, ddl):
+        warehouse.replace(spark.createDataFrame(rows, ddl), name, RUN_TS)
+
+    dim("gold.dim_customer", [("c1", 1, True)], "customer_id string, customer_key long, is_current boolean")
+    dim("gold.dim_seller", [("s1", 1, True)], "seller_id string, seller_key long, is_current boolean")
+    dim("gold.dim_product", [("p1", 1)], "product_id string, product_key long")
+    items = spark.createDataFrame([("o1", 1, "p1", "s1"), ("o2", 1, "p2", "s1")], "order_id string, order_item_id int, product_id string, seller_id string")
+    warehouse.write_batch(items, "silver.order_items", "B1")
+    for day, product in enumerate([[], [], [("p2", 2)]]):
+        if product:
+            dim("gold.dim_product", [("p1", 1), *product], "product_id string, product_key long")
+        rows = [(f"o{n}", "c1", f"s{day}", datetime(2024, 1, n)) for n in (1, 2) if n == 1 or not day]
+        pipeline.merge_rows(warehouse, "silver.orders", orders_frame(spark, rows, RUN_TS + day * DAY), RUN_TS + day * DAY)
+        pipeline.load_fact(warehouse, RUN_TS + day * DAY)
+    assert asked == [[False, False, False], [False, True, False]]  # the first load built everything
+    got = sorted((r.order_id, r.order_status, r.product_key) for r in warehouse.read("gold.fact_sales").collect())
+    assert got == [("o1", "s2", 1), ("o2", "s0", 2)]

@@ -407,6 +407,8 @@ def load_fact(
         name: df.where(F.col(DIMENSION_KEYS[name]) > int(known.notes.get(name, 0)))
         for name, df in dims.items()
     }
+    # For a dimension without a new key no order or item is looked through.
+    fresh = {name: None if rows.isEmpty() else rows for name, rows in fresh.items()}
     affected = settled(
         increment.affected_orders(
             changed, added(items, before[0]), added(payments, before[1]), orders, items,

@@ -33,23 +33,19 @@ def affected_orders(
     new_payments: DataFrame,
     orders: DataFrame,
     items: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    sellers: DataFrame,
+    customers: DataFrame | None,
+    products: DataFrame | None,
+    sellers: DataFrame | None,
 ) -> DataFrame:
     """order_id of every order whose fact rows may differ: changed itself, with new items or payments, or pointing
-    to one of the given customers, products or sellers, whose current key is new.
+    to one of the given customers, products or sellers, whose current key is new; None says that there are none.
 
     Of orders and items only two columns are read, and they meet nothing but the few new keys.
     """
-    found = [
-        changed_orders.select("order_id"),
-        new_items.select("order_id"),
-        new_payments.select("order_id"),
-        orders.select("order_id", "customer_id").join(customers.select("customer_id"), "customer_id", "left_semi"),
-        items.select("order_id", "product_id").join(products.select("product_id"), "product_id", "left_semi"),
-        items.select("order_id", "seller_id").join(sellers.select("seller_id"), "seller_id", "left_semi"),
-    ]
+    found = [changed_orders, new_items, new_payments]
+    for rows, dimension, key in ((orders, customers, "customer_id"), (items, products, "product_id"), (items, sellers, "seller_id")):
+        if dimension is not None:
+            found.append(rows.select("order_id", key).join(dimension.select(key), key, "left_semi"))
     every = reduce(DataFrame.unionByName, [f.select("order_id") for f in found])
     return every.where(F.col("order_id").isNotNull()).distinct()
 
