@@ -16,6 +16,7 @@ from tests.conftest import SMALL
 from tests.llm.helpers import documents, frame
 from tidemark.llm import op03_dominance_packing as packing
 from tidemark.llm import op07_merge_replay as replay
+from tidemark.llm import words
 
 ODD = [None, "", " ", "a", "  x  ", "\n\n\n", "a\n \nb", "it's  'll ", "日本語 🙂‍", "a" * 3000, "ab" * 500, "\x1c \x85 x", "<|endoftext|>"]
 
@@ -157,3 +158,41 @@ def test_reduction_leaves_lengths_beside_which_three_fit():
     counts = {724: 1, 250: 1, 100: 3, 387: 2}
     assert fewest([k for k, n in counts.items() for _ in range(n)], 1024) == 2
     assert packing.Plan(dict(counts), 1024).sequences == 2
+
+
+class Counting(words.ByteLevel):
+    """Notes the chunks that the library is asked for."""
+
+    def __init__(self):
+        super().__init__(packing.VOCABULARY)
+        self.asked = []
+
+    def encode_bare(self, texts):
+        self.asked += [chunk for text in texts for chunk in text.split()]
+        return super().encode_bare(texts)
+
+
+def test_chunks_that_are_met_again_stay_known(monkeypatch):
+    monkeypatch.setattr(words, "KEPT", 40)
+    monkeypatch.setattr(words, "KEPT_BYTES", 20_000)
+    encoder, tokenizer = words.Joined(Counting()), Tokenizer.from_file(packing.VOCABULARY)
+    tokenizer.encode_special_tokens = True
+    rng = random.Random(5)
+    for n in range(40):
+        long = "".join(rng.choice("abé日!") for _ in range(5_000)) if n % 5 == 0 else ""
+        rare = " ".join("".join(rng.choice("abcdé1.\n\x85日") for _ in range(rng.randint(0, 9))) for _ in range(15))
+        texts = [f"start often met, words\nof all {rare} {long}", *rng.sample(ODD, 4), f"  {rare}  end often met, "]
+        ids, offsets = encoder.encode(pa.array(texts, pa.string()))
+        for text, a, b in zip(texts, offsets, offsets[1:], strict=False):
+            assert ids[a:b].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert len(encoder.known) <= 40 + 80
+        assert encoder.known.nbytes + encoder.ids.nbytes <= 20_000 + 80_000
+    assert encoder.tokenizer.asked.count("often") == 1
+
+
+def test_tasks_of_a_worker_share_what_they_learnt():
+    encoder = words.worker_encoder(packing.VOCABULARY, "one job")
+    encoder.encode(pa.array(["some text of a task"]))
+    again = words.worker_encoder(packing.VOCABULARY, "one job")
+    assert "text" in again.known.to_pylist()
+    assert not len(words.worker_encoder(packing.VOCABULARY, "next job").known)

@@ -15,6 +15,7 @@ null; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import by_batch, ranked, rows_of, table
-from tidemark.llm.words import ByteLevel, Joined
+from tidemark.llm.words import worker_encoder
 from tidemark.session import settled
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -160,9 +161,10 @@ def token_pieces(
     end_id: int = END_ID,
 ) -> DataFrame:
     """One row per piece of a document's ids: doc_id, piece, start, length, ids_crc32."""
+    job = uuid.uuid4().hex
 
     def make():
-        encoder = Joined(ByteLevel(vocabulary))
+        encoder = worker_encoder(vocabulary, job)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids, offsets = encoder.encode(batch.column(text_column))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,19 +60,25 @@ def encode_batch(texts: pa.Array, encode: Callable[[list[str]], list[bytes]]) ->
     return _laid_out(vocabulary, start, size, chunk[order], counts)
 
 
-def _coded(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct parts, the part at each place, whether it opens its text, the places in the order of the texts, how
-    many each text has)."""
+def _parts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(parts, whether each opens its text, the places in the order of the texts, how many each text has)."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     lists, of_text = _pieces(texts)
-    coded = lists.flatten().dictionary_encode()
-    code = coded.indices.to_numpy().astype(np.int64)
+    parts = lists.flatten()
     begins = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
     counts = np.diff(lists.offsets.to_numpy())
-    first = np.zeros(len(code), bool)
+    first = np.zeros(len(parts), bool)
     first[begins[counts > 0]] = True
     back = np.argsort(of_text, kind="stable")
-    return coded.dictionary, code, first, gather(begins[back], counts[back]), counts[back]
+    return parts, first, gather(begins[back], counts[back]), counts[back]
+
+
+def _coded(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct parts, the part at each place, whether it opens its text, the places in the order of the texts, how
+    many each text has)."""
+    parts, first, order, counts = _parts(texts)
+    coded = parts.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), first, order, counts
 
 
 def _laid_out(
@@ -85,49 +92,72 @@ def _laid_out(
 
 #: White space to any library at an end of a part.
 EDGE_BLANK = r"\A[\s\x0b\x1c-\x1f\x{85}\p{Z}]|[\s\x0b\x1c-\x1f\x{85}\p{Z}]\z"
-#: Chunks that go into one call of the library, and that are kept for the next batch.
-TOGETHER, KEPT = 2_000, 600_000
+#: Chunks that go into one call of the library; chunks, and bytes of them and their ids, that are kept for the next batch.
+TOGETHER, KEPT, KEPT_BYTES = 2_000, 600_000, 64_000_000
 
 
 class Joined:
     """As `encode_batch`, with the new chunks put together again by their blanks, thousands in one call of the
-    library, and told apart by the bytes of their tokens: no token crosses such a blank."""
+    library, and told apart by the bytes of their tokens: no token crosses such a blank.
+
+    Chunks are numbered by one dictionary over those known and those of the batch, so no chunk is handled by
+    itself. If they get too many or too long, those that most batches had stay, half as many.
+    """
 
     def __init__(self, tokenizer: ByteLevel):
         self.tokenizer = tokenizer
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}  # of each chunk that is not the first of its text, without its blank
-        self.ids, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.known = pa.array([], pa.large_string())  # chunks that don't open a text, without their blanks
+        self.ids = np.zeros(0, np.int32)
+        self.start, self.size, self.batches = (np.zeros(0, np.int64) for _ in range(3))  # of each known chunk
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        distinct, code, first, order, counts = _coded(texts)
-        names = distinct.to_pylist()
-        if len(self.number) > KEPT:
+        parts, first, order, counts = _parts(texts)
+        if len(self.known) > KEPT or self.known.nbytes + self.ids.nbytes > KEPT_BYTES:
             self._forget()
-        inner, opening = np.unique(code[~first]), np.unique(code[first])
-        inner_names = [names[c] for c in inner.tolist()]
-        self._learn(distinct, inner[[name not in self.number for name in inner_names]], names)
-        found = self.tokenizer.encode_bare([names[c] for c in opening.tolist()])
+        before = len(self.known)
+        inner = pa.concat_arrays([self.known, parts.filter(pa.array(~first))]).dictionary_encode()
+        number = inner.indices.to_numpy()[before:]
+        self._learn(inner.dictionary, before)
+        met = np.zeros(len(self.known), bool)
+        met[number] = True
+        self.batches += met
+        opening = parts.filter(pa.array(first)).dictionary_encode()
+        found = self.tokenizer.encode_bare(opening.dictionary.to_pylist())
 
         vocabulary = np.concatenate([self.ids, *[np.array(ids, np.int32) for ids in found]])
-        size = np.concatenate([self.size, [len(ids) for ids in found]]).astype(np.int64)
-        inside, at_start = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
-        inside[inner] = [self.number[name] for name in inner_names]
-        at_start[opening] = len(self.size) + np.arange(len(opening))
-        chunk = np.where(first, at_start[code], inside[code])
-        return _laid_out(vocabulary, np.cumsum(size) - size, size, chunk[order], counts)
-
-    def _learn(self, distinct: pa.Array, new: np.ndarray, names: list[str]) -> None:
-        sizes = pc.binary_length(distinct).to_numpy().astype(np.int64)
-        fit = ~pc.match_substring_regex(distinct, EDGE_BLANK).to_numpy(zero_copy_only=False) & (sizes > 0)
-        joint = new[fit[new]]
-        runs = [joint[k : k + TOGETHER] for k in range(0, len(joint), TOGETHER)]
-        joined = [" " + " ".join([names[c] for c in run.tolist()]) for run in runs]
-        learnt, many, parts, alone = [], [], [], [new[~fit[new]]]
-        for run, ids in zip(runs, self.tokenizer.encode_bare(joined), strict=True):
-            ids = np.array(ids, np.int32)
+        sizes = np.array([len(ids) for ids in found], np.int64)
+        size = np.concatenate([self.size, sizes])
+        start = np.concatenate([self.start, len(self.ids) + np.cumsum(sizes) - sizes])
+        chunk = np.empty(len(parts), np.int64)
+        chunk[~first] = number
+        chunk[first] = len(self.known) + opening.indices.to_numpy()
+        return _laid_out(vocabulary, start, size, chunk[order], counts)
+
+    def _forget(self) -> None:
+        bytes_ = pc.binary_length(self.known).to_numpy() + 8 + 4 * self.size
+        kept = np.argsort(-self.batches, kind="stable")[: KEPT // 2]
+        kept = np.sort(kept[np.cumsum(bytes_[kept]) <= KEPT_BYTES // 2])
+        size = self.size[kept]
+        self.known, self.ids, self.start, self.size, self.batches = (
+            self.known.take(pa.array(kept)),
+            self.ids[gather(self.start[kept], size)],
+            np.cumsum(size) - size,
+            size,
+            self.batches[kept] // 2,  # so that what is met no more goes in the end
+        )
+
+    def _learn(self, chunks: pa.Array, before: int) -> None:
+        """Add the ids of the chunks after those known, which get the next numbers."""
+        new = chunks[before:]
+        sizes = pc.binary_length(new).to_numpy().astype(np.int64)
+        fit = ~pc.match_substring_regex(new, EDGE_BLANK).to_numpy(zero_copy_only=False) & (sizes > 0)
+        joint = np.flatnonzero(fit)
+        cuts = np.append(np.arange(0, len(joint), TOGETHER), len(joint))
+        runs = pa.LargeListArray.from_arrays(pa.array(cuts), new.take(pa.array(joint)))
+        learnt, many, parts, alone = [], [], [], [np.flatnonzero(~fit)]
+        joined = pc.binary_join(runs, pa.scalar(" ", pa.large_string())).to_pylist()
+        for a, b, ids in zip(cuts[:-1], cuts[1:], self.tokenizer.encode(joined), strict=True):
+            run, ids = joint[a:b], np.array(ids, np.int32)
             token_ends, ends = np.cumsum(self.tokenizer.sizes[ids]), np.cumsum(sizes[run] + 1)
             at = np.searchsorted(token_ends, ends)
             if np.array_equal(token_ends[at], ends):
@@ -137,11 +167,24 @@ class Joined:
             else:
                 alone.append(run)
         single = np.concatenate(alone)
-        found = self.tokenizer.encode_bare([" " + names[c] for c in single.tolist()])
+        found = self.tokenizer.encode(new.take(pa.array(single)).to_pylist())
         every = np.concatenate([*learnt, single])
-        self.number.update(zip([names[c] for c in every.tolist()], range(len(self.size), len(self.size) + len(every)), strict=True))
-        self.ids = np.concatenate([self.ids, *parts, *[np.array(ids, np.int32) for ids in found]])
-        self.size = np.concatenate([self.size, *many, [len(ids) for ids in found]]).astype(np.int64)
+        size = np.concatenate([*many, [len(ids) for ids in found]]).astype(np.int64)
+        start = len(self.ids) + np.cumsum(size) - size
+        back = np.argsort(every)
+        self.known, self.ids, self.start, self.size, self.batches = (
+            chunks,
+            np.concatenate([self.ids, *parts, *[np.array(ids, np.int32) for ids in found]]),
+            np.concatenate([self.start, start[back]]),
+            np.concatenate([self.size, size[back]]),
+            np.concatenate([self.batches, np.zeros(len(new), np.int64)]),
+        )
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(vocabulary: str, job: str) -> Joined:
+    """The encoder that a Python worker keeps from task to task of one job; the next job begins anew."""
+    return Joined(ByteLevel(vocabulary))
 
 
 class Side:
