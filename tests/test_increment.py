@@ -7,6 +7,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tests.conftest import RUN_TS
@@ -14,6 +15,7 @@ from tidemark import pipeline
 from tidemark.operators.audit import align_columns
 from tidemark.plans import increment
 from tidemark.schemas import schema_of
+from tidemark.session import CLEANUP
 from tidemark.warehouse import Warehouse
 
 DAY = timedelta(days=1)
@@ -229,3 +231,45 @@ def test_orders_are_not_looked_through_for_dimensions_without_a_new_key(spark, t
     assert asked == [[False, False, False], [False, True, False]]  # the first load built everything
     got = sorted((r.order_id, r.order_status, r.product_key) for r in warehouse.read("gold.fact_sales").collect())
     assert got == [("o1", "s2", 1), ("o2", "s0", 2)]
+
+
+def test_full_builds_join_a_slice_at_a_time(spark, tmp_path, monkeypatch):
+    """Fact and mart are the same built in slices, and no build gets more than its slice."""
+    shop = Shop(spark, str(tmp_path / "wh"), 4)
+    w, draw, joined, summed = shop.warehouse, shop.draw, [], []
+    pipeline.load_dim(w, "dim_date", RUN_TS)
+    build, sums = pipeline.build_fact_sales, pipeline.revenue_by_month
+    monkeypatch.setattr(pipeline, "build_fact_sales", lambda items, *a: joined.append(items.count()) or build(items, *a))
+    monkeypatch.setattr(pipeline, "revenue_by_month", lambda sales, *a: summed.append(sales.count()) or sums(sales, *a))
+    orders = {f"o{i}": ("c1", "shipped", datetime(2024, draw.randrange(1, 7), 1) if i % 9 else None) for i in range(8)}
+    now = shop.settle(orders, [(o, 3) for o in [*orders, "unknown"]], [(o, draw.randrange(99)) for o in orders])
+    shop.load(now)
+    whole, dated = shop.result(), sum(summed)
+    assert (joined, dated) == ([27], 24 - 3)
+    spark.conf.set("spark.tidemark.slice", "6")
+    try:
+        shop.load(now, rebuild=True)
+    finally:
+        spark.conf.unset("spark.tidemark.slice")
+    assert shop.result() == whole
+    parts = [
+        [r[1] for r in w.read(t).groupBy(part).count().collect()]
+        for t, part in (("silver.order_items", w.part_of("silver.orders")), ("gold.fact_sales", F.expr("order_date_key div 100")))
+    ]
+    for n, whole_table, sizes in ((joined[1:], 27, parts[0]), (summed[1:], dated, parts[1])):
+        assert len(n) > 2 and sum(n) == whole_table and all(x <= 6 or x in sizes for x in n)
+    keys = w.read("gold.fact_sales").select("sales_key")
+    assert keys.distinct().count() == keys.count() == 27
+
+
+def test_writes_drop_their_shuffle_files(spark, tmp_path, monkeypatch):
+    """Steps that follow each other do not pile up what they shuffled: it goes with the write, and the session is as before."""
+    shop, seen, before = Shop(spark, str(tmp_path / "wh"), 5), {}, spark.conf.get(CLEANUP)
+    pipeline.load_dim(shop.warehouse, "dim_date", RUN_TS)
+    now = shop.settle({"o1": ("c1", "shipped", datetime(2024, 1, 1))}, [("o1", 2)], [])
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **b: seen.update({path: spark.conf.get(CLEANUP)}) or write(self, path, *a, **b))
+    shop.load(now, rebuild=True)
+    assert {path.split("/wh/")[1].split("/data")[0] for path, on in seen.items() if on == "true"} >= {"gold/fact_sales", "gold/revenue_mart", "gold/mart_state"}
+    assert all(path.endswith("/commits") for path, on in seen.items() if on != "true")
+    assert spark.conf.get(CLEANUP) == before == "false"

@@ -16,7 +16,7 @@ from tidemark.functions.moments import moment
 from tidemark.operators import audit, history, quality, rejects
 from tidemark.plans import dimensions, fact, kpis, mart, reports, silver
 from tidemark.runs import PipelineRun, last_schema, last_watermarks, log_schema_changes, run_states, superseded
-from tidemark.session import ensure_checkpoint_dir, settled, written
+from tidemark.session import ensure_checkpoint_dir, settled, shuffles_dropped, written
 from tidemark.sources import leaf_fields, newer_than, read_csv, read_json, read_query, read_table, read_xml
 from tidemark.warehouse import CSV_OPTIONS, Warehouse
 
@@ -687,7 +687,8 @@ def mart_increment(spark, d):
     }
     for name, dim in dims.items():
         warehouse.replace(dim, name, early)
-    every = settled(t.orders(spark, d))
+    with shuffles_dropped(spark):
+        every = settled(t.orders(spark, d))
     day = F.col("order_purchase_timestamp")
     ends = every.agg(F.max(F.date_trunc("month", day)).alias("last_month"), F.min_by("order_id", F.struct(day, "order_id")).alias("oldest"),
                      F.max_by("order_id", F.struct("order_id")).alias("corrected"))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ from tidemark.runs import (
     update_watermark,
 )
 from tidemark.schemas import FILE_ORDER, NUMBER_LIMITS, SOURCE_COLUMNS, TEXT_LIMITS, schema_of, text_schema
-from tidemark.session import ensure_checkpoint_dir, settled
+from tidemark.session import ensure_checkpoint_dir, settled, shuffles_dropped
 from tidemark.sources import leaf_fields, newer_than, read_csv, read_json, read_xml
 from tidemark.warehouse import CSV_OPTIONS, EXPORTED, KEYED, MONTHLY, Warehouse
 
@@ -256,7 +257,8 @@ def merge_rows(
     warehouse: Warehouse, target: str, incoming: DataFrame, run_ts: datetime, order_by: list[str] | None = None
 ) -> dict[str, int]:
     """Insert or update by the table's key, in the buckets that the rows belong to."""
-    incoming = settled(incoming)
+    with shuffles_dropped(warehouse.spark):
+        incoming = settled(incoming)
     parts = warehouse.parts_of(target, incoming)
     merged = upsert(warehouse.read(target, parts), incoming, KEYED[target], run_ts=run_ts, order_by=order_by)
     touched = F.count_if(F.col("updated_at") == moment(run_ts))
@@ -340,6 +342,29 @@ def load_dim(warehouse: Warehouse, name: str, run_ts: datetime) -> dict[str, int
     return merge_versions(warehouse, target, incoming.where("is_current").select(*columns), key, run_ts, surrogate, notes)
 
 
+#: Items or sales that a full build of the fact or the mart joins at a time, unless the session says otherwise in this
+#: setting: what its shuffles need of disk is theirs (some 200 bytes each), not that of the whole table.
+SLICE, SLICE_SETTING = 32_000_000, "spark.tidemark.slice"
+
+
+def _slices(rows: DataFrame, part: Column) -> list[list[int]]:
+    """The parts that rows belong to, as many together as hold a slice of them, or one; none if all rows are one slice.
+    Rows whose part is NULL are in none."""
+    limit = int(rows.sparkSession.conf.get(SLICE_SETTING, str(SLICE)))
+    if rows.count() <= limit:  # by the files' own counts
+        return []
+    found = rows.where(part.isNotNull()).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
+    slices: list[list[int]] = []
+    held = limit
+    for row in found:
+        if held + row["n"] > limit:
+            slices.append([])
+            held = 0
+        slices[-1].append(row["part"])
+        held += row["n"]
+    return slices
+
+
 DIMENSION_KEYS = {"dim_customer": "customer_key", "dim_product": "product_key", "dim_seller": "seller_key"}
 
 
@@ -350,7 +375,8 @@ def load_fact(
     full load of a table takes the place of all loaded before it.
 
     If every load that the fact was built from is still in force, only the orders that something has changed for
-    are built anew, and only the months they were or are in are written; else, or on request, all of it.
+    are built anew, and only the months they were or are in are written; else, or on request, all of it, by as many
+    buckets of the orders at a time as hold a slice of the items.
     """
     runs = warehouse.read("metadata.pipeline_runs")
 
@@ -379,20 +405,37 @@ def load_fact(
     }
     start = int(known.notes.get("highest", 0))
 
-    def written(rows: DataFrame, parts: list[int] | None, count: Column) -> dict[str, int]:
-        top = Observation()
-        seen = rows.observe(top, F.max("sales_key").alias("top"), count.alias("inserted"))
+    def written(pieces: list[Callable[[int], DataFrame]], parts: list[int] | None, count: Column) -> dict[str, int]:
+        """Write pieces one after the other, each a function of the highest key given before it."""
+        seen = {"top": start, "inserted": 0}
+
+        def observed() -> Iterator[DataFrame]:
+            for piece in pieces:
+                top = Observation()
+                yield piece(seen["top"]).observe(top, F.max("sales_key").alias("top"), count.alias("inserted"))
+                seen["top"] = max(seen["top"], top.get["top"] or 0)
+                seen["inserted"] += top.get["inserted"]
+
         # The highest key is known when the rows are written, so it is noted by a commit of its own.
-        warehouse.write_parts(seen, target, parts, run_ts, notes)
-        warehouse.note(target, {"highest": str(max(start, top.get["top"] or 0))}, run_ts)
-        return {"inserted": top.get["inserted"]}
+        warehouse.write_parts(observed(), target, parts, run_ts, notes)
+        warehouse.note(target, {"highest": str(seen["top"])}, run_ts)
+        return {"inserted": seen["inserted"]}
 
     before = [json.loads(known.notes.get(k, "{}")) for k in ("items", "payments")]
     stands = all(now.get(b) == at for was, now in zip(before, (item_loads, payment_loads), strict=True) for b, at in was.items())
     earlier = warehouse.commit("silver.orders", int(known.notes.get("orders", 0)))
     if rebuild or not known.version or not stands or earlier.buckets != order_commit.buckets:
-        fact = build_fact_sales(items, orders, payments, dims["dim_customer"], dims["dim_product"], dims["dim_seller"])
-        return written(with_sales_keys(fact, start, run_ts), None, F.count(F.lit(1)))
+        of_order = warehouse.part_of("silver.orders")  # an item whose order is unknown has a bucket, too
+
+        def piece(items: DataFrame, orders: DataFrame, payments: DataFrame) -> Callable[[int], DataFrame]:
+            fact = build_fact_sales(items, orders, payments, *[dims[n] for n in DIMENSION_KEYS])
+            return lambda top: with_sales_keys(fact, top, run_ts)
+
+        pieces = [
+            piece(items.where(of_order.isin(some)), warehouse.read("silver.orders", some), payments.where(of_order.isin(some)))
+            for some in _slices(items, F.when(F.col("order_id").isNotNull(), of_order))
+        ]
+        return written(pieces or [piece(items, orders, payments)], None, F.count(F.lit(1)))
 
     moved = order_commit.since(earlier)
     changed = increment.differing(
@@ -409,21 +452,23 @@ def load_fact(
     }
     # For a dimension without a new key no order or item is looked through.
     fresh = {name: None if rows.isEmpty() else rows for name, rows in fresh.items()}
-    affected = settled(
-        increment.affected_orders(
-            changed, added(items, before[0]), added(payments, before[1]), orders, items,
-            fresh["dim_customer"], fresh["dim_product"], fresh["dim_seller"],
+    with shuffles_dropped(warehouse.spark):
+        affected = settled(
+            increment.affected_orders(
+                changed, added(items, before[0]), added(payments, before[1]), orders, items,
+                fresh["dim_customer"], fresh["dim_product"], fresh["dim_seller"],
+            )
         )
-    )
-    rebuilt = settled(increment.rebuilt_orders(affected, items, orders, payments, *[dims[n] for n in DIMENSION_KEYS]))
+        rebuilt = settled(increment.rebuilt_orders(affected, items, orders, payments, *[dims[n] for n in DIMENSION_KEYS]))
     old = warehouse.read(target).select("order_id", "order_date_key").join(affected, "order_id", "left_semi")
     months = sorted({*increment.months_of(old), *increment.months_of(rebuilt)})
     if not months:
         warehouse.note(target, notes, run_ts)
         return {"inserted": 0}
     kept = warehouse.read(target, months).join(affected, "order_id", "left_anti")
-    rows = kept.unionByName(with_sales_keys(rebuilt, start, run_ts))
-    return written(rows, months, F.count_if(F.col("created_at") == moment(run_ts)))
+    return written(
+        [lambda top: kept.unionByName(with_sales_keys(rebuilt, top, run_ts))], months, F.count_if(F.col("created_at") == moment(run_ts))
+    )
 
 
 def load_mart(warehouse: Warehouse, run_ts: datetime, rebuild: bool = False) -> dict[str, int]:
@@ -463,9 +508,15 @@ def load_mart(warehouse: Warehouse, run_ts: datetime, rebuild: bool = False) ->
     opened = max((p for p in states.parts if p < first), default=None) if not whole else None
     opening = None if opened is None else warehouse.read(state, [opened])
     later = [] if whole else sorted(p for p in known.parts if p >= first and p not in months)
-    sums = revenue_by_month(warehouse.read("gold.fact_sales", sorted(months)), dates, customers, products)
+
+    def sums_of(some: list[int]) -> DataFrame:
+        return revenue_by_month(warehouse.read("gold.fact_sales", some), dates, customers, products)
+
     stored = warehouse.read(target, later)
-    rows = settled(with_metrics(sums.unionByName(stored.select(*sums.columns)), run_ts, opening))
+    with shuffles_dropped(warehouse.spark):
+        slices = _slices(warehouse.read("gold.fact_sales", sorted(months)), F.expr(MONTHLY["gold.fact_sales"]))
+        sums = reduce(DataFrame.unionByName, [settled(sums_of(s)) for s in slices]) if slices else sums_of(sorted(months))
+        rows = settled(with_metrics(sums.unionByName(stored.select(*sums.columns)), run_ts, opening))
     present = sorted(r[0] for r in rows.select(F.expr(MONTHLY[target])).distinct().collect())
     touched = months
     if later:

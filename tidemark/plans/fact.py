@@ -46,9 +46,11 @@ def build_fact_sales(
     """Items with their order, the order's payments and today's dimension keys.
 
     Everything that hangs on the order - customer key, payments - is joined at order grain first, where
-    keys are unique. The items, the only large and possibly skewed side, then shuffle once for the
-    order; each join is a single pair of exchanges, so adaptive execution can split a hot order,
-    product or seller, and broadcasts a dimension only if its measured size allows.
+    keys are unique. The items, the only large and possibly skewed side, look up products and sellers while
+    their rows are still narrow and meet the order last: its columns move once, and an order's rows come out
+    next to each other, which packs well on the way to the table and in it. Each join is a single pair of
+    exchanges, so adaptive execution can split a hot order, product or seller, and broadcasts a dimension
+    only if its measured size allows.
     """
     customers = dim_customer.where("is_current").select("customer_id", "customer_key")
     sellers = dim_seller.where("is_current").select("seller_id", "seller_key")
@@ -65,9 +67,9 @@ def build_fact_sales(
     return (
         items.where(F.col("order_id").isNotNull())
         .select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value", "total_item_value")
-        .join(per_order, "order_id", "left")
         .join(products, "product_id", "left")
         .join(sellers, "seller_id", "left")
+        .join(per_order, "order_id", "left")
         .select(
             "order_id", "order_item_id", "customer_key", "product_key", "seller_key", "order_date_key",
             "delivery_date_key", "price", "freight_value", "total_item_value", "payment_value", "payment_type",

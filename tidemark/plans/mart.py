@@ -21,7 +21,8 @@ def revenue_by_month(
     """Orders, revenue, freight, average item value and items by month, state, region and category.
 
     The distinct count makes Spark group by the grain and the order first, so rows spread by order
-    before the few final groups are formed, and each of those steps combines before its shuffle.
+    before the few final groups are formed, and each of those steps combines before its shuffle. Names are
+    looked up as late as can be: sales on their way to customers and products carry the day's key only.
     """
     days = dim_date.select(F.col("date_key").alias("order_date_key"), "year", "month", "month_name")
     customers = dim_customer.select("customer_key", "state", "region")
@@ -29,9 +30,9 @@ def revenue_by_month(
     sales = (
         fact.where(F.col("order_date_key").isNotNull())
         .select("order_id", "order_date_key", "customer_key", "product_key", "total_item_value", "freight_value")
-        .join(days, "order_date_key")
-        .join(customers, "customer_key", "left")
         .join(products, "product_key", "left")
+        .join(customers, "customer_key", "left")
+        .join(days, "order_date_key")
         .select(
             "year", "month", "month_name",
             *[F.coalesce(c, F.lit("Unknown")).alias(c) for c in ("state", "region", "product_category")],

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(name: str = "tidemark", cpus: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks; on a cluster the submit command decides."""
@@ -37,6 +41,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes in this block drop their shuffle files as they end; else these stay until the driver happens to collect
+    its garbage, and steps that follow each other pile them up."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def written(df: DataFrame, kind: str) -> str:
     """Write a frame below the checkpoint folder; returns where."""
     spark = df.sparkSession

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from tidemark.functions.moments import moment
 from tidemark.operators.audit import align_columns
 from tidemark.schemas import TABLES, schema_of
+from tidemark.session import shuffles_dropped
 
 # How each table is written: the partition columns of a batch table, or one of the words below.
 BATCHED = {
@@ -157,10 +158,13 @@ class Warehouse:
             return F.expr(MONTHLY[table]).cast("bigint")
         return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in KEYED[table]]), F.lit(buckets))
 
+    def part_of(self, table: str) -> Column:
+        """The part that a row with the table's key belongs to."""
+        return self._part(table, self._buckets(table, self.commit(table)))
+
     def parts_of(self, table: str, df: DataFrame) -> list[int]:
         """The parts that rows with the table's key belong to: at most as many as the table has buckets or months."""
-        part = self._part(table, self._buckets(table, self.commit(table)))
-        return sorted(r[0] for r in df.select(part.alias(PART)).distinct().collect())
+        return sorted(r[0] for r in df.select(self.part_of(table).alias(PART)).distinct().collect())
 
     def exists(self, table: str) -> bool:
         if table in BATCHED or table in APPENDED:
@@ -180,7 +184,8 @@ class Warehouse:
         if len(batch) != len(keys):
             raise ValueError(f"{table} is written by {', '.join(keys)}")
         folder = "/".join(f"{k}={quote(v, safe='')}" for k, v in zip(keys, batch, strict=True))
-        align_columns(df, schema_of(table)).drop(*keys).write.mode("overwrite").parquet(f"{self.path(table)}/{folder}")
+        with shuffles_dropped(self.spark):
+            align_columns(df, schema_of(table)).drop(*keys).write.mode("overwrite").parquet(f"{self.path(table)}/{folder}")
 
     def append(self, df: DataFrame, table: str) -> None:
         align_columns(df, schema_of(table)).write.mode("append").parquet(self.path(table))
@@ -191,12 +196,13 @@ class Warehouse:
             self.write_parts(df, table, None, run_ts, notes)
             return
         known = self.commit(table)
-        align_columns(df, schema_of(table)).write.mode("overwrite").parquet(f"{self.path(table)}/data/version={known.version + 1}")
+        with shuffles_dropped(self.spark):
+            align_columns(df, schema_of(table)).write.mode("overwrite").parquet(f"{self.path(table)}/data/version={known.version + 1}")
         self._commit(table, Commit(known.version + 1, {}, None, notes or {}), run_ts)
 
     def write_parts(
         self,
-        df: DataFrame,
+        df: DataFrame | Iterable[DataFrame],
         table: str,
         parts: list[int] | None,
         run_ts: datetime,
@@ -205,18 +211,24 @@ class Warehouse:
     ) -> None:
         """Put these rows in place of the given parts, or of all, and leave the files of the others as they are.
 
-        The rows must belong to those parts. Notes are added to the ones before. `closed` are rows of a table with
-        history that this version closes.
+        The rows must belong to those parts. Several frames are written one after the other and committed together,
+        so what a write needs of disk beside the table is that of the largest. Notes are added to the ones before.
+        `closed` are rows of a table with history that this version closes.
         """
         known = self.commit(table)
         following = known.version + 1
         buckets = self._buckets(table, Commit() if parts is None else known)
         folder = f"{self.path(table)}/data/version={following}"
-        rows = align_columns(df, schema_of(table)).withColumn(PART, self._part(table, buckets))
-        # Neighbours in one file, and a part of any size spread over as many tasks as it needs.
-        rows.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(folder)
+        mode = "overwrite"  # also of what a lost write left there
+        for piece in [df] if isinstance(df, DataFrame) else df:
+            rows = align_columns(piece, schema_of(table)).withColumn(PART, self._part(table, buckets))
+            with shuffles_dropped(self.spark):
+                # Neighbours in one file, and a part of any size spread over as many tasks as it needs.
+                rows.hint("rebalance", PART).write.mode(mode).partitionBy(PART).parquet(folder)
+            mode = "append"
         if closed is not None:
-            align_columns(closed, schema_of(table)).write.mode("overwrite").parquet(f"{self.path(table)}/closed/version={following}")
+            with shuffles_dropped(self.spark):
+                align_columns(closed, schema_of(table)).write.mode("overwrite").parquet(f"{self.path(table)}/closed/version={following}")
         listed = self._load(folder, T.StructType.fromDDL(f"{PART} bigint"))
         written = {r[0]: following for r in listed.distinct().collect()}
         kept = {} if parts is None else {p: v for p, v in known.parts.items() if p not in set(parts)}
